@@ -127,9 +127,9 @@ def _columns_in(spark: SparkSession, table: DataFrame, where: str) -> set[str]:
     """Columns a filter refers to: those without which it cannot be resolved."""
     used = set()
     for name in table.columns:
-        rest = table.limit(0).drop(name)
+        rest = T.StructType([field for field in table.schema if field.name != name])
         try:
-            rest.where(where).schema
+            spark.createDataFrame([], rest).where(where)
         except AnalysisException:
             used.add(name)
     return used

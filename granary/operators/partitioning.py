@@ -17,11 +17,12 @@ def repartition_by_key(df: DataFrame, partitions: int, key: str) -> DataFrame:
     """Hash partitions by ``key``.
 
     All rows of a key share a partition, except for keys that hold more than an average partition: these are cut into as few
-    pieces as bring each down to that size.
+    pieces as bring each down to that size, in neighbouring partitions.
     """
     heavy = heavy_keys(df, key, partitions)
     salted = salt_rows(df, heavy, key, partitions, null_safe=True)
-    return salted.repartition(partitions, key, PIECE).drop(PIECE)
+    place = ((F.pmod(F.xxhash64(key), F.lit(partitions)) + F.col(PIECE)) % partitions).cast("int")
+    return salted.repartitionById(partitions, place).drop(PIECE)
 
 
 def shrink_partitions(df: DataFrame, partitions: int) -> DataFrame:

@@ -26,16 +26,15 @@ def key_rows(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     return df.groupBy(*as_list(key)).agg(F.count(F.lit(1)).alias(_ROWS))
 
 
-def heavy_keys(df: DataFrame, key: str | Sequence[str], pieces: int, counts: DataFrame | None = None) -> DataFrame:
+def heavy_keys(df: DataFrame, key: str | Sequence[str], pieces: int) -> DataFrame:
     """Keys that hold more than ``1/pieces`` of the rows, with the number of pieces each should be cut into.
 
     Fewer than ``pieces`` keys can qualify, and their pieces add up to less than ``2 * pieces``, whatever the data: the result
-    is safe to broadcast. ``counts`` takes a frame with the key and a ``_rows`` column if the caller has counted already.
+    is safe to broadcast. It takes a scan of the key alone and one that only counts.
     """
-    counts = key_rows(df, key) if counts is None else counts
-    total = counts.agg(F.sum(_ROWS).alias("total")).scalar()
+    total = df.agg(F.count(F.lit(1)).alias("total")).scalar()
     scaled = F.col(_ROWS) * F.lit(pieces)
-    return counts.where(scaled > total).select(*as_list(key), F.ceil(scaled / total).cast("int").alias(PIECES))
+    return key_rows(df, key).where(scaled > total).select(*as_list(key), F.ceil(scaled / total).cast("int").alias(PIECES))
 
 
 def spread(pieces: Column | int, salt_from: Sequence[str] = ()) -> Column:
@@ -87,8 +86,7 @@ def copy_rows(df: DataFrame, heavy: DataFrame, key: str | Sequence[str], null_sa
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str | Sequence[str], salts: int | None = None, how: str = "left_outer",
-                salt_from: Sequence[str] = (), null_safe: bool = False, counts: DataFrame | None = None,
-                strategy: str | None = None) -> DataFrame:
+                salt_from: Sequence[str] = (), null_safe: bool = False, strategy: str | None = None) -> DataFrame:
     """The rows of ``left.join(right, key, how)``, with the heavy keys of ``left`` spread over many tasks.
 
     Only heavy keys are salted, so ``right`` grows by a bounded number of copies instead of by the factor ``salts``. Null keys of
@@ -99,7 +97,7 @@ def salted_join(left: DataFrame, right: DataFrame, key: str | Sequence[str], sal
         raise ValueError("copies of the right side are only harmless in inner and left outer joins")
     keys = as_list(key)
     pieces = salts or default_pieces(left)
-    heavy = heavy_keys(left if null_safe else left.dropna(subset=keys), keys, pieces, counts)
+    heavy = heavy_keys(left, keys, pieces)
     salted = salt_rows(left, heavy, keys, pieces, salt_from, null_safe)
     copies = copy_rows(right, heavy, keys, null_safe)
     # fresh names keep the condition unambiguous when both sides stem from one table

@@ -13,12 +13,12 @@ from granary.operators.skew import as_list, salted_join
 def group_max(df: DataFrame, by: str | Sequence[str], value: str, name: str) -> DataFrame:
     """Every row with the greatest ``value`` of its group in column ``name``; null keys form one group.
 
-    A window would bring all rows of a group into one task. Here the maximum is aggregated first and joined back with heavy groups
-    spread; the counts that find them come from the same aggregation.
+    A window would bring all rows of a group into one task. Here the maximum is aggregated, within the map tasks first, and joined
+    back with heavy groups spread.
     """
     keys = as_list(by)
-    top = df.groupBy(*keys).agg(F.max(value).alias(name), F.count(F.lit(1)).alias("_rows"))
-    joined = salted_join(df, top.drop("_rows"), keys, null_safe=True, counts=top)
+    top = df.groupBy(*keys).agg(F.max(value).alias(name))
+    joined = salted_join(df, top, keys, null_safe=True)
     return joined.select(*df.columns, name)
 
 

@@ -9,14 +9,25 @@ import re
 from pyspark.sql import DataFrame
 
 
+_INDENT = re.compile(r"[\s:+\-]*")
+
+
 def plan_text(df: DataFrame, mode: str = "simple") -> str:
-    """The explained plan of ``df``; after an action it is the plan that ran."""
+    """The explained plan of ``df``; after an action it is the plan that ran, without the ones adaptive execution started from."""
     out = io.StringIO()
     with contextlib.redirect_stdout(out):
         df.explain(mode=mode)
-    text = out.getvalue()
-    # keep the plan that ran and leave out the one that adaptive execution started from
-    return text.split("== Initial Plan ==")[0]
+    kept, skipped_below = [], None
+    for line in out.getvalue().splitlines():
+        depth = _INDENT.match(line).end()
+        if skipped_below is not None and depth > skipped_below:
+            continue
+        skipped_below = None
+        if "== Initial Plan ==" in line:
+            skipped_below = depth
+        else:
+            kept.append(line)
+    return "\n".join(kept)
 
 
 def count_nodes(df: DataFrame, node: str) -> int:

@@ -1,0 +1,208 @@
+import pytest
+from pyspark import StorageLevel
+from pyspark.sql import functions as F
+
+from granary.operators.aggregates import (
+    accumulated_sum,
+    distinct_values,
+    exact_avg,
+    exact_sum,
+    grouped,
+    observed_sum,
+    rows_per_key,
+    rows_per_partition,
+    sum_when,
+    word_count,
+)
+from granary.operators.caching import cached
+from granary.operators.partitioning import (
+    partition_rows,
+    repartition_by_key,
+    repartition_even,
+    shrink_partitions,
+    with_partition,
+)
+from granary.operators.setops import sort_rows, top_rows, union_all, union_by_name, union_distinct
+from granary.operators.windows import group_max, nth_per_group
+from granary.plans.inspect import count_nodes, plan_text
+from granary.session import scoped_conf
+from tests.fixtures import STAFF, STAFF_SCHEMA, rows
+
+
+@pytest.fixture(scope="module")
+def staff(spark):
+    return spark.createDataFrame(STAFF, STAFF_SCHEMA)
+
+
+def test_counts_skip_nulls_and_rows_do_not(staff):
+    result = grouped(staff, "dept", {"named": F.count("salary"), "rows": F.count(F.lit(1))})
+    assert rows(result) == [(None, 0, 1), ("10", 2, 2), ("20", 2, 2), ("30", 1, 1)]
+
+
+def test_sums_of_text_are_doubles(staff):
+    result = grouped(staff, "dept", {"total": F.sum("salary"), "average": F.avg("salary"), "exact": exact_sum("salary"),
+                                     "exact_average": exact_avg("salary")})
+    assert [kind for _, kind in result.dtypes] == ["string", "double", "double", "double", "double"]
+    assert rows(result)[1] == ("10", 61000.0, 30500.0, 61000.0, 30500.0)
+    assert rows(result)[0] == (None, None, None, None, None)
+
+
+def test_exact_sum_does_not_depend_on_order(spark):
+    df = spark.range(100_000).select((F.col("id") % 1000 / 100).alias("x"))
+    sums = {df.repartition(n).agg(exact_sum("x")).head()[0] for n in (1, 3, 7)}
+    assert sums == {499500.0}
+
+
+def test_having(staff):
+    result = grouped(staff, "dept", {"average": F.avg("salary")}, having="average > 40000")
+    assert [row[0] for row in rows(result)] == ["20", "30"]
+
+
+def test_distinct(staff):
+    assert rows(distinct_values(staff, "dept")) == [(None,), ("10",), ("20",), ("30",)]
+    assert staff.unionAll(staff).distinct().count() == 6
+
+
+def test_reports(spark):
+    df = spark.range(100).select(F.expr("if(id < 80, 0, id)").alias("k"))
+    assert rows(rows_per_key(df, "k"))[0] == (0, 80, 0.8)
+    parts = rows(rows_per_partition(df.repartition(4)))
+    assert len(parts) == 4 and sum(row[1] for row in parts) == 100
+
+
+def test_observed_and_accumulated_sum(staff):
+    condition = F.col("dept") == "20"
+    numbers = staff.withColumn("salary", F.col("salary").cast("double"))
+    frame, seen = observed_sum(numbers, "salary", condition)
+    assert frame.count() == 6
+    assert seen.get["total"] == 122000.0
+    assert accumulated_sum(numbers, "salary", condition) == 122000.0
+    assert numbers.agg(sum_when("salary", condition)).head()[0] == 122000.0
+    assert numbers.agg(sum_when("salary", F.lit(False))).head()[0] == 0.0
+    assert accumulated_sum(numbers, "salary", F.lit(False)) == 0.0
+
+
+def test_words_of_all_scripts(spark):
+    df = spark.createDataFrame([("Über-Größe, über\tété!",), ("été 42 a_b  ",), (None,), ("",), ("...",)], "t string")
+    assert dict(rows(word_count(df, "t"))) == {"über": 2, "größe": 1, "été": 2, "42": 1, "a": 1, "b": 1}
+
+
+# windows
+
+
+def test_group_max(spark, staff):
+    numbers = staff.select("id", "dept", F.col("salary").cast("double").alias("salary"))
+    expected = [("a1", "10", 52000.0, 52000.0), ("a2", "10", 9000.0, 52000.0), ("a3", "20", 61000.0, 61000.0),
+                ("a4", "20", 61000.0, 61000.0), ("a5", None, None, None), ("a6", "30", 48000.0, 48000.0)]
+    assert rows(group_max(numbers, "dept", "salary", "top")) == expected
+    window = numbers.withColumn("top", F.expr("max(salary) over (partition by dept)"))
+    assert rows(window) == expected
+    # null is a group of its own with a maximum
+    nulls = spark.createDataFrame([(None, 1), (None, 5), (1, 2)], "k int, v int")
+    assert rows(group_max(nulls, "k", "v", "m")) == [(None, 1, 5), (None, 5, 5), (1, 2, 2)]
+
+
+def test_group_max_with_a_heavy_group(spark):
+    df = spark.range(5000).repartition(6).select(F.expr("if(id % 3 = 0, null, if(id % 3 = 1, 1, id % 40))").alias("k"), "id")
+    with scoped_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": -1, "spark.sql.adaptive.autoBroadcastJoinThreshold": -1}):
+        result = group_max(df, "k", "id", "m")
+        assert rows(result) == rows(df.withColumn("m", F.expr("max(id) over (partition by k)")))
+        assert count_nodes(result, "Window") == 0
+
+
+def test_nth_per_group(spark, staff):
+    numbers = staff.select("id", "dept", F.col("salary").cast("double").alias("salary"))
+    second = nth_per_group(numbers, "dept", [F.col("salary").desc()], 2, "id")
+    assert rows(second) == [("a2", "10", 9000.0, 2), ("a4", "20", 61000.0, 2)], "the tie goes to the smaller id first"
+    sql = numbers.withColumn("rn", F.expr("row_number() over (partition by dept order by salary desc, id)")).where("rn = 2")
+    assert rows(sql) == rows(second)
+    for n in (1, 3):
+        assert nth_per_group(numbers, "dept", [F.col("salary").desc()], n, "id").count() == {1: 4, 3: 0}[n]
+    # rows are dropped before the shuffle
+    text = plan_text(second)
+    assert text.index("Final") < text.index("Exchange") < text.index("Partial")
+
+
+# order and unions
+
+
+def test_sort_and_top(spark):
+    df = spark.createDataFrame([(1, 5.0), (2, None), (3, 5.0), (4, 1.0)], "id int, x double")
+    assert [row[0] for row in sort_rows(df, [F.col("x").asc()], "id").collect()] == [2, 4, 1, 3]
+    top = top_rows(df, [F.col("x").desc()], 2, "id")
+    assert [row[0] for row in top.collect()] == [1, 3]
+    assert count_nodes(top, "TakeOrderedAndProject") == 1
+
+
+def test_sort_cuts_through_a_heavy_value(spark):
+    df = spark.range(20_000).select("id", F.expr("if(id % 4 < 3, 7, id)").alias("x"))
+    with scoped_conf(spark, {"spark.sql.adaptive.enabled": False}):
+        parts = rows_per_partition(sort_rows(df, ["x"], "id")).collect()
+    assert len(parts) >= 7 and max(row["rows"] for row in parts) < 6000
+
+
+def test_unions(spark):
+    one = spark.createDataFrame([(1, 2), (1, 2)], "a int, b int")
+    two = spark.createDataFrame([(2, 1)], "b int, a int")
+    assert rows(union_all(one, two)) == [(1, 2), (1, 2), (2, 1)]
+    assert rows(union_by_name(one, two)) == [(1, 2), (1, 2), (1, 2)]
+    assert rows(union_distinct(one, two)) == [(1, 2), (2, 1)]
+    widened = union_all(spark.createDataFrame([(1,)], "total bigint"), spark.createDataFrame([(2,)], "k int"))
+    assert widened.schema.simpleString() == "struct<total:bigint>"
+    summed = spark.range(4, 200, 2).join(spark.range(2, 200, 4), on="id").selectExpr("sum(id) as total_sum")
+    whole = union_all(summed, spark.range(2, 200, 4))
+    assert whole.columns == ["total_sum"] and whole.count() == 51 and summed.head()[0] == 4998
+
+
+# partitions
+
+
+def test_partition_counts(spark):
+    df = spark.range(1000).repartition(6)
+    assert repartition_even(df, 100).rdd.getNumPartitions() == 100
+    assert shrink_partitions(df, 4).rdd.getNumPartitions() == 4
+    assert shrink_partitions(df, 100).rdd.getNumPartitions() == 6
+    even = [row["rows"] for row in rows_per_partition(repartition_even(df, 4)).collect()]
+    assert max(even) - min(even) <= 6
+
+
+def test_repartition_by_key(spark):
+    df = spark.range(1000).select((F.col("id") % 50).alias("k"), "id")
+    placed = repartition_by_key(df, 4, "k")
+    assert placed.rdd.getNumPartitions() == 4
+    assert with_partition(placed).groupBy("k").agg(F.countDistinct("partition_num").alias("n")).where("n > 1").count() == 0
+    hot = df.repartition(8).withColumn("k", F.expr("if(id % 10 < 9, 1, k)"))
+    parts = with_partition(repartition_by_key(hot, 4, "k"))
+    assert parts.where("k = 1").select("partition_num").distinct().count() > 1
+    assert parts.groupBy("k").agg(F.countDistinct("partition_num").alias("n")).where("n > 1").count() == 1
+    assert rows(parts.select("k", "id")) == rows(hot)
+
+
+def test_rows_of_one_partition(spark):
+    df = spark.range(0, 100, 1, 4)
+    pieces = [{row[0] for row in partition_rows(df, i).collect()} for i in range(4)]
+    assert [len(piece) for piece in pieces] == [25] * 4
+    assert set().union(*pieces) == set(range(100))
+
+
+# caching
+
+
+def test_cached_and_released(spark):
+    df = spark.range(1000).where("id > 100")
+    other = spark.range(7).cache()
+    with cached(df) as kept:
+        assert kept.count() == 899
+        assert kept.storageLevel == StorageLevel.MEMORY_AND_DISK_DESER
+        assert count_nodes(kept.where("id > 500"), "InMemoryTableScan") >= 1
+        # a wider filter on the parent cannot come from the cache
+        assert "InMemoryTableScan" not in plan_text(spark.range(1000).where("id > 50"))
+    assert not df.is_cached and other.is_cached
+    other.unpersist()
+
+
+def test_storage_levels(spark):
+    for i, level in enumerate((StorageLevel.MEMORY_ONLY, StorageLevel.DISK_ONLY, StorageLevel.MEMORY_ONLY_2, StorageLevel.MEMORY_AND_DISK_2)):
+        with cached(spark.range(10 + i), level) as kept:
+            assert kept.count() == 10 + i
+            assert kept.storageLevel == level

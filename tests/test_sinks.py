@@ -1,0 +1,205 @@
+import glob
+import os
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from granary.operators.skew import PIECE
+from granary.plans.inspect import count_nodes
+from granary.sinks.extracts import TARGET, multi_extract, select_extracts
+from granary.sinks.files import run_fully, write_csv, write_few_files, write_json, write_orc, write_parquet, write_partitioned
+from granary.sinks.keyed import append_files, keyed_append, keyed_delete, new_rows
+from granary.sinks.tables import publish_version, save_bucketed, save_partitioned_table, save_table
+from granary.sources.delimited import read_csv
+from tests.fixtures import STAFF, STAFF_SCHEMA, rows
+
+
+@pytest.fixture(scope="module")
+def staff(spark):
+    return spark.createDataFrame(STAFF, STAFF_SCHEMA)
+
+
+def files(path, pattern="part-*"):
+    return sorted(glob.glob(f"{path}/**/{pattern}", recursive=True))
+
+
+def test_csv_with_and_without_header(spark, staff, tmp_path):
+    some = staff.select("id", "name").coalesce(1)
+    write_csv(some, str(tmp_path / "plain"))
+    write_csv(some, str(tmp_path / "headed"), header=True)
+    plain, headed = (open(files(tmp_path / name)[0]).read().splitlines() for name in ("plain", "headed"))
+    assert headed == ["id,name", *plain] and len(plain) == 6
+
+
+@pytest.mark.parametrize("write,format", [(write_parquet, "parquet"), (write_orc, "orc"), (write_json, "json")])
+def test_round_trips(spark, staff, tmp_path, write, format):
+    write(staff, str(tmp_path / "t"))
+    back = spark.read.schema(STAFF_SCHEMA).format(format).load(str(tmp_path / "t"))
+    assert rows(back) == rows(staff)
+
+
+def test_save_modes(spark, staff, tmp_path):
+    path = str(tmp_path / "modes")
+    write_parquet(staff, path)
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        write_parquet(staff, path)
+    write_parquet(staff, path, mode="ignore")
+    assert spark.read.parquet(path).count() == 6
+    write_parquet(staff, path, mode="append")
+    assert spark.read.parquet(path).count() == 12
+    write_parquet(staff.limit(1), path, mode="overwrite")
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_partitioned_directories(spark, staff, tmp_path):
+    path = str(tmp_path / "parts")
+    write_partitioned(staff.repartition(4), path, "gender")
+    assert sorted(d for d in os.listdir(path) if d.startswith("gender=")) == [
+        "gender=Female", "gender=Male", "gender=__HIVE_DEFAULT_PARTITION__"]
+    assert all(len(files(f"{path}/{d}")) == 1 for d in os.listdir(path) if d.startswith("gender="))
+    assert "gender" not in spark.read.parquet(f"{path}/gender=Male").columns
+    back = spark.read.parquet(path)
+    # directory names cannot tell an empty string from a null
+    assert rows(back.select(*staff.columns)) == rows(staff.withColumn("gender", F.nullif("gender", F.lit(""))))
+
+
+def test_heavy_partition_is_written_by_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "heavy")
+    big = spark.range(0, 400_000, 1, 16).select(F.expr("if(id % 10 < 9, 1, id % 7)").alias("k"), F.uuid().alias("text"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        write_partitioned(big, path, "k")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(files(f"{path}/k=1")) > 3
+    assert spark.read.parquet(path).count() == 400_000
+
+
+def test_one_file_if_it_fits(spark, staff, tmp_path):
+    assert write_few_files(staff.repartition(5), str(tmp_path / "one")) == 1
+    assert len(files(tmp_path / "one")) == 1
+    many = write_few_files(staff.repartition(5), str(tmp_path / "many"), format="parquet", bytes_per_file=150)
+    assert many > 1 and len(files(tmp_path / "many")) == many
+    assert rows(spark.read.parquet(str(tmp_path / "many"))) == rows(staff)
+    assert write_few_files(staff.limit(0), str(tmp_path / "none")) == 1
+
+
+def test_noop_computes_every_column(spark):
+    with pytest.raises(Exception, match="stop here"):
+        run_fully(spark.range(3).select(F.raise_error(F.lit("stop here"))))
+
+
+def test_tables(spark, staff, tmp_path):
+    try:
+        save_table(staff, "staff_managed")
+        save_partitioned_table(staff, "staff_parts", "dept", path=str(tmp_path / "parts"))
+        assert rows(spark.table("staff_managed")) == rows(staff)
+        assert rows(spark.read.table("staff_parts").select(*staff.columns)) == rows(staff)
+        assert "dept=20" in os.listdir(tmp_path / "parts")
+        with pytest.raises(AnalysisException):
+            save_table(staff, "staff_managed")
+    finally:
+        spark.sql("DROP TABLE IF EXISTS staff_managed")
+        spark.sql("DROP TABLE IF EXISTS staff_parts")
+
+
+def test_bucketed_grouping(spark):
+    even = spark.range(1000).select((F.col("id") % 100).alias("k"), "id")
+    hot = spark.range(1000).select(F.expr("if(id % 2 = 0, 1, id % 100)").alias("k"), "id")
+    try:
+        assert save_bucketed(even, "b_even", 4, "k") is False
+        grouped = spark.table("b_even").groupBy("k").agg(F.sum("id").alias("s"))
+        assert rows(grouped) == rows(even.groupBy("k").agg(F.sum("id")))
+        assert count_nodes(grouped, "Exchange") == 0
+        assert save_bucketed(hot, "b_hot", 4, "k") is True
+        assert PIECE in spark.table("b_hot").columns
+        grouped = spark.table("b_hot").groupBy("k").agg(F.sum("id").alias("s"))
+        assert rows(grouped) == rows(hot.groupBy("k").agg(F.sum("id")))
+    finally:
+        spark.sql("DROP TABLE IF EXISTS b_even")
+        spark.sql("DROP TABLE IF EXISTS b_hot")
+
+
+# keyed edits
+
+
+@pytest.fixture
+def base(spark):
+    return spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string")
+
+
+@pytest.fixture
+def new(spark):
+    return spark.createDataFrame([(2, "B"), (3, "c"), (3, "d"), (None, "m"), (None, "m")], "k int, v string")
+
+
+def test_keyed_append(base, new):
+    assert rows(keyed_append(base, new, "k")) == rows(base) [:0] + [(None, "m"), (None, "m"), (None, "n"), (1, "a"), (2, "b"), (3, "d")]
+    assert rows(keyed_append(base, new.limit(0), "k")) == rows(base)
+
+
+def test_keyed_append_with_large_new_frame(base, new, monkeypatch):
+    small = rows(new_rows(base, new, "k"))
+    monkeypatch.setattr("granary.sinks.keyed.proven_small", lambda df: False)
+    assert rows(new_rows(base, new, "k")) == small
+
+
+def test_keyed_delete(spark, base):
+    ids = spark.createDataFrame([(1,), (1,), (9,), (None,)], "k int")
+    assert rows(keyed_delete(base, ids, "k")) == [(None, "n"), (2, "b")]
+    assert rows(keyed_delete(base, ids.limit(0), "k")) == rows(base)
+
+
+def test_append_files_leaves_old_files(spark, base, new, tmp_path):
+    path = str(tmp_path / "keyed")
+    base.write.parquet(path)
+    before = files(path)
+    append_files(path, new, "k")
+    assert set(before) < set(files(path))
+    assert rows(spark.read.parquet(path)) == rows(keyed_append(base, new, "k"))
+
+
+def test_publish_version(spark, base, tmp_path):
+    root = str(tmp_path / "versions")
+    try:
+        first = publish_version(base, "keyed_view", root, by="v")
+        second = publish_version(keyed_delete(spark.table("keyed_view"), spark.createDataFrame([(1,)], "k int"), "k"), "keyed_view", root, by="v")
+        assert first != second
+        assert rows(spark.table("keyed_view").select("k", "v")) == [(None, "n"), (2, "b")]
+        assert rows(spark.read.parquet(first).select("k", "v")) == rows(base), "the old version stays readable"
+    finally:
+        spark.sql("DROP VIEW IF EXISTS keyed_view")
+
+
+# extracts
+
+
+@pytest.fixture(scope="module")
+def cities(spark):
+    return spark.createDataFrame(
+        [(1, "Ghana"), (2, "GHANA"), (3, "Iran"), (4, "Peru"), (5, None), (6, "iran"), (7, "Ghana ")], "id int, country string")
+
+
+def test_multi_extract(spark, cities, tmp_path):
+    path = str(tmp_path / "x")
+    assert multi_extract(cities.repartition(4), "country", ["gHana", "IRAN", "Chad"], path) == {"ghana": 1, "iran": 1}
+    assert sorted(d for d in os.listdir(path) if "=" in d) == ["extract=ghana", "extract=iran"]
+    for value, expected in (("ghana", [(1, "Ghana"), (2, "GHANA")]), ("iran", [(3, "Iran"), (6, "iran")])):
+        assert len(files(f"{path}/extract={value}")) == 1
+        assert rows(read_csv(spark, f"{path}/extract={value}", "id int, country string")) == expected
+    assert select_extracts(cities, "country", ["peru"]).head()[TARGET] == "peru"
+
+
+def test_multi_extract_cuts_large_values(spark, tmp_path):
+    path = str(tmp_path / "x")
+    big = spark.range(5000).select("id", F.expr("if(id % 5 < 4, 'Hot', 'cold')").alias("k"))
+    made = multi_extract(big, "k", ["hot", "cold"], path, bytes_per_file=20_000)
+    assert made["hot"] > made["cold"] > 0
+    for value, count in made.items():
+        assert len(files(f"{path}/extract={value}")) == count
+    assert read_csv(spark, path, "id bigint, k string").count() == 5000
+
+
+def test_multi_extract_without_matches(spark, cities, tmp_path):
+    assert multi_extract(cities, "country", ["Chad"], str(tmp_path / "x")) == {}
