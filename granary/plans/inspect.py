@@ -20,7 +20,7 @@ def plan_text(df: DataFrame, mode: str = "simple") -> str:
     kept, skipped_below = [], None
     for line in out.getvalue().splitlines():
         depth = _INDENT.match(line).end()
-        if skipped_below is not None and depth > skipped_below:
+        if skipped_below is not None and depth >= skipped_below:
             continue
         skipped_below = None
         if "== Initial Plan ==" in line:

@@ -82,10 +82,12 @@ def test_lookup_literal_and_table_agree(staff, depts):
     assert dict((row[0], row[-1]) for row in rows(lookup(staff, "dept", table, "dept", "dept_name", default="none")))["a6"] == "none"
 
 
-def test_lookup_in_a_large_table_is_not_broadcast(spark, staff, depts):
+def test_lookup_in_a_large_table_is_not_broadcast(spark, staff, depts, tmp_path):
+    depts.write.parquet(str(tmp_path / "depts"))
+    stored = spark.read.parquet(str(tmp_path / "depts"))
     with scoped_conf(spark, NO_BROADCAST):
-        large = lookup(staff, "dept", depts, "dept", "dept_name", max_bytes=1)
-        small = lookup(staff, "dept", depts, "dept", "dept_name")
+        large = lookup(staff, "dept", stored, "dept", "dept_name", max_bytes=100)
+        small = lookup(staff, "dept", stored, "dept", "dept_name")
         assert rows(large) == rows(small)
         assert count_nodes(large, "SortMergeJoin") == 1
         assert count_nodes(small, "BroadcastHashJoin") == 1
