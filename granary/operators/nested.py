@@ -12,8 +12,14 @@ def expand_struct(df: DataFrame, column: str) -> DataFrame:
 
 
 def explode_array(df: DataFrame, column: str, name: str) -> DataFrame:
-    """One row per array element in column ``name``; the array goes away. A null or empty array drops its row."""
-    return df.withColumn(name, F.explode(column)).drop(column)
+    """One row per array element in column ``name``; the array goes away. A null or empty array drops its row.
+
+    Rows without elements are dropped by position after the explosion. For a plain explosion the optimizer infers a filter on the
+    array and moves it down to the scan, where an array that comes out of parsed JSON would be parsed once more per condition.
+    """
+    others = [F.col(f"`{other}`") for other in df.columns if other != column]
+    exploded = df.select(*others, F.posexplode_outer(column).alias("_position", name))
+    return exploded.where(F.col("_position").isNotNull()).drop("_position")
 
 
 def flatten_orders(orders: DataFrame) -> DataFrame:

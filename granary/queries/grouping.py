@@ -14,12 +14,13 @@ from granary.operators.aggregates import (
     sum_when,
     word_count,
 )
-from granary.operators.partitioning import repartition_by_key
+from granary.operators.partitioning import repartition_by_key, with_partition
+from granary.operators.skew import default_pieces
 from granary.operators.windows import group_max, nth_per_group
 from granary.queries.joining import skewed_events
 from granary.queries.registry import Tables, query
 from granary.session import scratch_path
-from granary.sinks.tables import save_bucketed
+from granary.sinks.tables import bucket_count, save_bucketed
 
 PRICE_SUM = "CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE)"
 
@@ -85,7 +86,8 @@ def agg_two_keys(t: Tables) -> DataFrame:
 def agg_prepartitioned(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "orders-by-customer")
     name = path.rpartition("/")[2].replace("-", "_")
-    save_bucketed(t("orders").select("o_custkey", "o_totalprice"), name, 16, "o_custkey", path=path)
+    orders = t("orders").select("o_custkey", "o_totalprice")
+    save_bucketed(orders, name, bucket_count(orders), "o_custkey", path=path)
     result = grouped(t.spark.read.table(name), "o_custkey", {"average": exact_avg("o_totalprice")})
     t.spark.sql(f"DROP TABLE {name}")
     return result
@@ -107,11 +109,16 @@ def skew_report(t: Tables) -> DataFrame:
     return rows_per_key(skewed_events(t), "user_key")
 
 
-@query("SELECT o_custkey, count(*) AS rows, 1 AS partitions FROM orders GROUP BY o_custkey")
+@query("SELECT o_custkey, count(*) AS rows, 0 AS scattered FROM orders GROUP BY o_custkey")
 def partition_by_key(t: Tables) -> DataFrame:
-    placed = repartition_by_key(t("orders").select("o_custkey"), 8, "o_custkey").withColumn("partition_num", F.spark_partition_id())
+    """Rows per key after partitioning by it; a key that no partition is too small for must not be in two of them."""
+    orders = t("orders").select("o_custkey")
+    partitions = default_pieces(orders)
+    placed = with_partition(repartition_by_key(orders, partitions, "o_custkey"))
     pieces = placed.groupBy("o_custkey", "partition_num").agg(F.count(F.lit(1)).alias("rows"))
-    return pieces.groupBy("o_custkey").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).cast("int").alias("partitions"))
+    keys = pieces.groupBy("o_custkey").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("partitions"))
+    light = F.col("rows") * partitions <= orders.agg(F.count(F.lit(1)).alias("total")).scalar()
+    return keys.select("o_custkey", "rows", (light & (F.col("partitions") > 1)).cast("int").alias("scattered"))
 
 
 @query(f"SELECT coalesce(CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE), 0) AS total FROM orders WHERE o_orderstatus = 'F'")

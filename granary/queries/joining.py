@@ -11,6 +11,7 @@ from granary.operators.joins import (
     equi_join,
     join_left_when,
     lookup,
+    lookup_literal,
     replicate,
     shuffle_hash_session,
 )
@@ -20,7 +21,7 @@ from granary.operators.sizing import proven_small
 from granary.operators.views import broadcast_hint, sql_over
 from granary.queries.registry import Tables, query
 from granary.session import scratch_path
-from granary.sinks.tables import bucketed_join, save_bucketed_pair
+from granary.sinks.tables import bucket_count, bucketed_join, save_bucketed_pair
 from granary.sources.rows import sequence_table
 
 CUSTOMER_NATION = "SELECT c_custkey, c_name, n_name FROM customer {} JOIN nation ON c_nationkey = n_nationkey"
@@ -94,10 +95,9 @@ def join_bucketed(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "buckets")
     name = path.rpartition("/")[2].replace("-", "_")
     items, orders = f"{name}_items", f"{name}_orders"
-    save_bucketed_pair(
-        t("lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice"),
-        t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus"),
-        (items, orders), 16, "l_orderkey", (f"{path}/items", f"{path}/orders"))
+    left = t("lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    right = t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus")
+    save_bucketed_pair(left, right, (items, orders), bucket_count(left, right), "l_orderkey", (f"{path}/items", f"{path}/orders"))
     joined = bucketed_join(t.spark, items, orders, "l_orderkey", "left_outer")
     for table in (items, orders):
         t.spark.sql(f"DROP TABLE {table}")
@@ -120,7 +120,7 @@ def users(t: Tables) -> DataFrame:
 
 @query(SKEWED_SQL)
 def join_salted(t: Tables) -> DataFrame:
-    return salted_join(skewed_events(t), users(t), "user_key", salts=32, salt_from=["event_id"], strategy="merge")
+    return salted_join(skewed_events(t), users(t), "user_key", salt_from=["event_id"], strategy="merge")
 
 
 @query(SKEWED_SQL)
@@ -143,6 +143,16 @@ def lookup_udf(t: Tables) -> DataFrame:
     return supplier.withColumn("n_name", shared_lookup_udf(t.spark, names)("s_nationkey"))
 
 
+STATUS_NAMES = {"F": "finished", "O": "open"}
+
+
+@query("""SELECT o_orderkey, o_orderstatus, CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' END AS status_name
+          FROM orders""")
+def lookup_constants(t: Tables) -> DataFrame:
+    orders = t("orders").select("o_orderkey", "o_orderstatus")
+    return orders.withColumn("status_name", lookup_literal(F.col("o_orderstatus"), STATUS_NAMES))
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey")
 def sort_asc(t: Tables) -> DataFrame:
     return sort_rows(t("orders").select("o_orderkey", "o_totalprice"), [F.col("o_totalprice").asc()], "o_orderkey")

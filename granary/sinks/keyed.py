@@ -17,8 +17,11 @@ def new_rows(base: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """
     others = [name for name in new.columns if name != key]
     keyed = new.where(F.col(key).isNotNull())
-    single = keyed.groupBy(key).agg(F.max(F.struct(*others)).alias("row")).select(
-        *[F.col(key) if name == key else F.col(f"row.`{name}`").alias(name) for name in new.columns])
+    if others:
+        single = keyed.groupBy(key).agg(F.max(F.struct(*others)).alias("row")).select(
+            *[F.col(key) if name == key else F.col(f"row.`{name}`").alias(name) for name in new.columns])
+    else:
+        single = keyed.distinct()
     asked = keyed.select(key).distinct()
     if proven_small(keyed.select(key)):
         present = base.select(key).join(F.broadcast(asked), key, "left_semi").distinct()

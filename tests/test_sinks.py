@@ -10,7 +10,7 @@ from granary.plans.inspect import count_nodes
 from granary.sinks.extracts import TARGET, multi_extract, select_extracts
 from granary.sinks.files import run_fully, write_csv, write_few_files, write_json, write_orc, write_parquet, write_partitioned
 from granary.sinks.keyed import append_files, keyed_append, keyed_delete, new_rows
-from granary.sinks.tables import publish_version, save_bucketed, save_partitioned_table, save_table
+from granary.sinks.tables import bucket_count, publish_version, save_bucketed, save_partitioned_table, save_table
 from granary.sources.delimited import read_csv
 from tests.fixtures import STAFF, STAFF_SCHEMA, rows
 
@@ -112,6 +112,7 @@ def test_bucketed_grouping(spark):
         grouped = spark.table("b_even").groupBy("k").agg(F.sum("id").alias("s"))
         assert rows(grouped) == rows(even.groupBy("k").agg(F.sum("id")))
         assert count_nodes(grouped, "Exchange") == 0
+        assert spark.table("b_even").select("_metadata.file_name").distinct().count() == 4, "one file per bucket"
         assert save_bucketed(hot, "b_hot", 4, "k") is True
         assert PIECE in spark.table("b_hot").columns
         grouped = spark.table("b_hot").groupBy("k").agg(F.sum("id").alias("s"))
@@ -135,10 +136,21 @@ def new(spark):
 
 
 def test_keyed_append(base, new):
-    assert rows(keyed_append(base, new, "k")) == rows(base) [:0] + [(None, "m"), (None, "m"), (None, "n"), (1, "a"), (2, "b"), (3, "d")]
+    assert rows(keyed_append(base, new, "k")) == [(None, "m"), (None, "m"), (None, "n"), (1, "a"), (2, "b"), (3, "d")]
     assert rows(keyed_append(base, new.limit(0), "k")) == rows(base)
 
 
+def test_keyed_append_of_keys_alone(base, new):
+    assert rows(keyed_append(base.select("k"), new.select("k"), "k")) == [(None,), (None,), (None,), (1,), (2,), (3,)]
+
+
+def test_bucket_count_grows_with_the_data(spark, data):
+    items = spark.read.parquet(f"{data}/lineitem.parquet")
+    assert bucket_count(items) == 8
+    assert bucket_count(items.limit(1), items, bytes_per_bucket=10_000) > 50
+    assert bucket_count(spark.createDataFrame([(1,)], "k int")) >= 8
+
+
 def test_keyed_append_with_large_new_frame(base, new, monkeypatch):
     small = rows(new_rows(base, new, "k"))
     monkeypatch.setattr("granary.sinks.keyed.proven_small", lambda df: False)
