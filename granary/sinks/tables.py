@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from granary.operators.sizing import estimated_bytes
-from granary.operators.skew import PIECE, copy_rows, default_pieces, heavy_keys, salt_rows
+from granary.operators.skew import PIECE, copy_rows, heavy_keys, salt_rows
 
 
 def save_table(df: DataFrame, name: str, mode: str = "error", path: str | None = None) -> None:
@@ -24,13 +24,13 @@ def save_partitioned_table(df: DataFrame, name: str, by: str, path: str | None =
 
 
 def bucket_count(*frames: DataFrame, bytes_per_bucket: int = 512 * 1024 * 1024) -> int:
-    """Buckets for tables that will be joined or grouped: one per shuffle partition, more if the largest frame needs them.
+    """Buckets for tables that will be joined or grouped: one per core, more if the largest frame needs them.
 
     A bucket is read by one task, so its size must not grow with the data.
     """
     largest = max(estimated_bytes(df) for df in frames)
     needed = math.ceil(largest / bytes_per_bucket) if math.isfinite(largest) else 0
-    return max(default_pieces(frames[0]), needed)
+    return max(frames[0].sparkSession.sparkContext.defaultParallelism, needed, 2)
 
 
 def _save_buckets(df: DataFrame, name: str, buckets: int, columns: list[str], path: str | None, mode: str) -> None:
