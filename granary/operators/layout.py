@@ -42,15 +42,22 @@ def _ordinal(df: DataFrame, column: str) -> Column:
     raise ValueError(f"cannot cluster by {column} of type {kind.simpleString()}")
 
 
-def _bucket(value: Column, bounds: Sequence[float], bits: int) -> Column:
-    """How many of the ``2**bits - 1`` ascending bounds lie below ``value``, found by bisection; null counts as lowest."""
-    steps = F.array(*[F.lit(2 ** bit) for bit in reversed(range(bits))])
+def _with_bucket(df: DataFrame, value: str, bounds: Sequence[float], bits: int, name: str) -> DataFrame:
+    """Add how many of the ``2**bits - 1`` ascending bounds lie below ``value``; null counts as lowest.
+
+    Bisection, one projection per bit: each looks one bound up in a constant array, so it compiles to a few instructions.
+    """
     limits = F.array(*[F.lit(float(bound)) for bound in bounds])
-    return F.aggregate(steps, F.lit(0), lambda found, step: found + F.when(F.get(limits, found + step - 1) < value, step).otherwise(0))
+    df = df.withColumn(name, F.lit(0))
+    for bit in reversed(range(bits)):
+        step = 2 ** bit
+        above = F.get(limits, F.col(name) + (step - 1)) < F.col(value)
+        df = df.withColumn(name, F.col(name) + F.when(above, step).otherwise(0))
+    return df
 
 
-def curve_key(df: DataFrame, columns: Sequence[str], bits: int = 8) -> Column:
-    """A number for each row that is close for rows close in all ``columns``: the interleaved bits of their range buckets.
+def with_curve_key(df: DataFrame, columns: Sequence[str], bits: int = 8, name: str = "_curve") -> DataFrame:
+    """Add a number that is close for rows close in all ``columns``: the interleaved bits of their range buckets.
 
     The bucket bounds are approximate quantiles from one aggregate job that returns ``2**bits - 1`` numbers per column.
     """
@@ -58,23 +65,29 @@ def curve_key(df: DataFrame, columns: Sequence[str], bits: int = 8) -> Column:
         raise ValueError("too many bits for one 64-bit key")
     count = 2 ** bits - 1
     shares = [(i + 1) / 2 ** bits for i in range(count)]
-    ordinals = [_ordinal(df, name) for name in columns]
-    bounds = df.agg(*[F.percentile_approx(ordinal, shares, 10_000).alias(f"c{i}") for i, ordinal in enumerate(ordinals)]).head()
+    values = {f"_value{i}": _ordinal(df, column) for i, column in enumerate(columns)}
+    keyed = df.withColumns(values)
+    bounds = keyed.agg(*[F.percentile_approx(value, shares, 10_000).alias(value) for value in values]).head()
     key = F.lit(0).cast("bigint")
-    for i, ordinal in enumerate(ordinals):
-        bucket = _bucket(ordinal, bounds[f"c{i}"] or [0.0] * count, bits).cast("bigint")
+    for i, value in enumerate(values):
+        keyed = _with_bucket(keyed, value, bounds[value] or [0.0] * count, bits, f"_bucket{i}")
         for bit in range(bits):
-            taken = F.shiftright(bucket, bit).bitwiseAND(F.lit(1).cast("bigint"))
+            taken = F.shiftright(F.col(f"_bucket{i}").cast("bigint"), bit).bitwiseAND(F.lit(1).cast("bigint"))
             key = key.bitwiseOR(F.shiftleft(taken, bit * len(columns) + i))
-    return key
+    return keyed.withColumn(name, key).select(*[F.col(f"`{column}`") for column in df.columns], name)
+
+
+def curve_bits(files: int, columns: int) -> int:
+    """Bits per column that tell ``files`` files apart with some to spare."""
+    return min(max(math.ceil(math.log2(max(files, 2)) / columns) + 3, 4), 8, 62 // columns)
 
 
-def cluster(df: DataFrame, columns: str | Sequence[str], files: int, bits: int = 8, within: Sequence[str] = (),
+def cluster(df: DataFrame, columns: str | Sequence[str], files: int, bits: int | None = None, within: Sequence[str] = (),
             spread_by: Sequence[str | Column] | None = None) -> DataFrame:
     """The rows of ``df`` in ``files`` partitions, so that each holds a narrow range of ``columns``.
 
-    One column: range partitions, sorted inside. Several: ranges of ``curve_key``. ``within`` names partition columns of the table
-    that come first. A value held by many rows is cut through by ``spread_by`` (by default a hash of the row), so no partition
+    One column: range partitions, sorted inside. Several: ranges of ``with_curve_key``. ``within`` names partition columns of the
+    table that come first. A value held by many rows is cut through by ``spread_by`` (by default a hash of the row), so no partition
     has to take all of it.
     """
     names = as_list(columns)
@@ -84,7 +97,7 @@ def cluster(df: DataFrame, columns: str | Sequence[str], files: int, bits: int =
         order = [F.col(names[0])]
         ranged = df.repartitionByRange(files, *leading, *order, *ties)
         return ranged.sortWithinPartitions(*leading, *order)
-    keyed = df.withColumn("_curve", curve_key(df, names, bits))
+    keyed = with_curve_key(df, names, bits or curve_bits(files, len(names)))
     ranged = keyed.repartitionByRange(files, *leading, "_curve", *ties)
     return ranged.sortWithinPartitions(*leading, "_curve").drop("_curve")
 
@@ -101,9 +114,8 @@ def optimize_files(spark: SparkSession, path: str, partition_by: str | Sequence[
     selected = table.where(where) if where else table
     if by:
         # a filter on other columns would lose the rows it leaves out when the directory is replaced
-        used = set() if where is None else _columns_in(spark, table, where)
-        if not used <= set(by):
-            raise ValueError(f"where may only use the partition columns {by}, not {sorted(used - set(by))}")
+        if where and not _uses_only(spark, table, where, by):
+            raise ValueError(f"where may only use the partition columns {by}: {where}")
     elif where is not None or destination is None:
         raise ValueError("a table without partitions needs a destination and no filter")
     files = max(1, math.ceil(file_bytes(selected) / target_bytes))
@@ -123,16 +135,14 @@ def optimize_files(spark: SparkSession, path: str, partition_by: str | Sequence[
     return files
 
 
-def _columns_in(spark: SparkSession, table: DataFrame, where: str) -> set[str]:
-    """Columns a filter refers to: those without which it cannot be resolved."""
-    used = set()
-    for name in table.columns:
-        rest = T.StructType([field for field in table.schema if field.name != name])
-        try:
-            spark.createDataFrame([], rest).where(where)
-        except AnalysisException:
-            used.add(name)
-    return used
+def _uses_only(spark: SparkSession, table: DataFrame, where: str, columns: Sequence[str]) -> bool:
+    """Whether a filter can be resolved with nothing but ``columns`` of ``table``."""
+    known = T.StructType([field for field in table.schema if field.name in columns])
+    try:
+        spark.createDataFrame([], known).where(where)
+    except AnalysisException:
+        return False
+    return True
 
 
 def point_lookup(spark: SparkSession, path: str, equal: dict[str, object]) -> DataFrame:

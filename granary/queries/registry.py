@@ -6,6 +6,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+
+_schemas: dict[str, StructType] = {}
 
 
 @dataclass(frozen=True)
@@ -16,7 +20,11 @@ class Tables:
     directory: str
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        path = self.path(name)
+        if path not in _schemas:
+            # each read without a schema starts a job that opens file footers; one per table is enough
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     def path(self, name: str) -> str:
         return f"{self.directory}/{name}.parquet"

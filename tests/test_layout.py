@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from granary.operators.layout import cluster, curve_key, file_bytes, file_stats, optimize_files, point_lookup
+from granary.operators.layout import cluster, curve_bits, file_bytes, file_stats, optimize_files, point_lookup, with_curve_key
 from granary.plans.inspect import plan_text
 from tests.fixtures import rows
 
@@ -97,26 +97,28 @@ def test_two_columns_narrow_both(spark, orders, tmp_path):
 
 def test_curve_key_orders_each_column(spark):
     df = spark.range(256).select((F.col("id") % 16).alias("a"), F.expr("id div 16").alias("b"))
-    keyed = df.withColumn("z", curve_key(df, ["a", "b"], bits=4))
+    keyed = with_curve_key(df, ["a", "b"], 4, "z")
+    assert keyed.columns == ["a", "b", "z"]
     found = {(row["a"], row["b"]): row["z"] for row in keyed.collect()}
     assert len(set(found.values())) > 150
     for fixed in range(16):
         for values in ([found[(i, fixed)] for i in range(16)], [found[(fixed, i)] for i in range(16)]):
             assert values == sorted(values), "the key rises with each column alone"
     with pytest.raises(ValueError):
-        curve_key(df, ["a", "b"], bits=32)
+        with_curve_key(df, ["a", "b"], bits=32)
+    assert [curve_bits(files, 2) for files in (1, 16, 1000, 10**6)] == [4, 5, 8, 8]
 
 
 def test_curve_key_of_text_dates_and_nulls(spark):
     df = spark.createDataFrame([("alpha", "2020-01-01"), ("beta", "2021-01-01"), (None, None), ("zeta", "2022-01-01")], "t string, d string")
     df = df.select("t", F.to_date("d").alias("d"), F.to_timestamp("d").alias("s"))
-    keys = dict(df.select("t", curve_key(df, ["t"], 4)).collect())
+    keys = dict(with_curve_key(df, ["t"], 4, "z").select("t", "z").collect())
     assert keys[None] <= keys["alpha"] < keys["beta"] < keys["zeta"]
     for column in ("d", "s"):
-        ordered = [row[0] for row in df.select(curve_key(df, [column], 4).alias("z"), column).orderBy(column).collect()]
+        ordered = [row[0] for row in with_curve_key(df, [column], 4, "z").orderBy(column).select("z").collect()]
         assert ordered == sorted(ordered)
     with pytest.raises(ValueError):
-        curve_key(spark.createDataFrame([([1],)], "x array<int>"), ["x"])
+        with_curve_key(spark.createDataFrame([([1],)], "x array<int>"), ["x"])
 
 
 def test_heavy_value_is_cut_into_several_files(spark, tmp_path):
