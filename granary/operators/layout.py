@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.operators.skew import as_list
+from granary.session import profile_session
 
 
 def file_stats(df: DataFrame, column: str, by: str | Sequence[str] = ()) -> DataFrame:
@@ -20,10 +21,15 @@ def file_stats(df: DataFrame, column: str, by: str | Sequence[str] = ()) -> Data
                                    F.count(F.lit(1)).alias("rows"))
 
 
-def file_bytes(df: DataFrame) -> int:
-    """Total size of the files a plain file read (with its partition filters) touches; no column is read for it."""
-    files = df.groupBy("_metadata.file_path").agg(F.first("_metadata.file_size").alias("bytes"))
-    return files.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).head()["bytes"]
+def file_bytes(spark: SparkSession, path: str, where: str | None = None) -> int:
+    """Total size of the parquet files below ``path``, of the partitions chosen by ``where`` if given.
+
+    Each file is one row of path and length; no file is opened. Files are packed into at most a thousand tasks.
+    """
+    listing = profile_session(spark, {"spark.sql.files.maxPartitionNum": 1000}).read.format("binaryFile")
+    files = listing.option("pathGlobFilter", "*.parquet").load(path)
+    chosen = files.where(where) if where else files
+    return chosen.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).head()["bytes"]
 
 
 def _ordinal(df: DataFrame, column: str) -> Column:
@@ -118,7 +124,7 @@ def optimize_files(spark: SparkSession, path: str, partition_by: str | Sequence[
             raise ValueError(f"where may only use the partition columns {by}: {where}")
     elif where is not None or destination is None:
         raise ValueError("a table without partitions needs a destination and no filter")
-    files = max(1, math.ceil(file_bytes(selected) / target_bytes))
+    files = max(1, math.ceil(file_bytes(spark, path, where) / target_bytes))
     row_place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
     placed = selected.withColumn("_place", row_place)
     names = as_list(cluster_by)
