@@ -155,7 +155,7 @@ def main() -> None:
         "spark.sql.warehouse.dir": f"/tmp/granary-bench-{os.getpid()}/warehouse"})
     spark.sparkContext.setLogLevel("ERROR")
     t = Tables(spark, directory)
-    queries = {name: median_seconds(noop(lambda name=name: REGISTRY[name](spark, directory)), runs)
+    queries = {name: median_seconds(noop(lambda name=name: REGISTRY[name].run(spark, directory)), runs)
                for name in HEADLINES if not only or name in only}
     spark.catalog.clearCache()
     compared = {}

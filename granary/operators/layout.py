@@ -112,8 +112,9 @@ def optimize_files(spark: SparkSession, path: str, partition_by: str | Sequence[
                    target_bytes: int = 256 * 1024 * 1024, cluster_by: str | Sequence[str] = (), destination: str | None = None) -> int:
     """Rewrite a parquet table into files of about ``target_bytes``, clustered by ``cluster_by`` if given.
 
-    A table with partition directories is rewritten in place: ``where`` selects partitions, only these are read and replaced, each
-    when all its new files are complete. Without partitions the result goes to ``destination``. Returns the number of files aimed at.
+    ``where`` selects partitions of a table with partition directories; only these are read. With ``destination`` the new files go
+    there and the old ones stay. Without it the selected partitions are replaced in place, each when all its new files are complete.
+    A table without partitions needs a destination. Returns the number of files aimed at.
     """
     by = as_list(partition_by)
     table = spark.read.parquet(path)
@@ -133,11 +134,11 @@ def optimize_files(spark: SparkSession, path: str, partition_by: str | Sequence[
     else:
         placed = placed.repartitionByRange(files, *by, "_place")
     placed = placed.drop("_place")
-    if by:
-        writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
-        writer.parquet(path)
+    writer = placed.write.partitionBy(*by) if by else placed.write
+    if destination:
+        writer.parquet(destination)
     else:
-        placed.write.parquet(destination)
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     return files
 
 

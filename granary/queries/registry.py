@@ -39,7 +39,7 @@ class Query:
     build: Callable[[Tables], DataFrame]
     sql: str | None
 
-    def __call__(self, spark: SparkSession, directory: str) -> DataFrame:
+    def run(self, spark: SparkSession, directory: str) -> DataFrame:
         return self.build(Tables(spark, directory))
 
 

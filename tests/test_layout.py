@@ -66,6 +66,14 @@ def test_compaction_to_a_file_size(spark, orders, by_status):
     assert rows(spark.read.parquet(by_status)) == rows(orders)
 
 
+def test_partitions_can_go_to_a_destination(spark, orders, by_status, tmp_path):
+    before = files(by_status, "F") | files(by_status, "O") | files(by_status, "P")
+    target = str(tmp_path / "target")
+    optimize_files(spark, by_status, STATUS, where="o_orderstatus in ('F', 'O')", cluster_by="o_custkey", destination=target)
+    assert files(by_status, "F") | files(by_status, "O") | files(by_status, "P") == before
+    assert rows(spark.read.parquet(target)) == rows(orders.where("o_orderstatus in ('F', 'O')"))
+
+
 def test_filters_that_would_lose_rows_are_refused(spark, orders, by_status, tmp_path):
     with pytest.raises(ValueError, match="o_custkey"):
         optimize_files(spark, by_status, STATUS, where="o_orderstatus = 'F' and o_custkey > 10")
