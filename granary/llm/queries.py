@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.llm.bitsliced import exact_top_k
+from granary.llm.common import is_held_out
+from granary.llm.language import learn_profiles, predict_language
 from granary.llm.line_dedup import drop_repeated_lines
+from granary.llm.near_dedup import near_duplicates
 from granary.llm.packing import pack_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +75,17 @@ def op7_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeated_lines(_documents(spark, sf_dir, "doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@_query()
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir, "doc_id", "text", "lang")
+    held_out = is_held_out(F.col("doc_id"))
+    profiles = learn_profiles(docs.where(~held_out))
+    return predict_language(docs.select("doc_id", "text", held_out.alias("held_out")), profiles).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
+@_query()
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_documents(spark, sf_dir, "doc_id", "text")).select("doc_id", "class_id", "kept")
