@@ -13,6 +13,7 @@ from granary.llm.language import learn_profiles, predict_language
 from granary.llm.line_dedup import drop_repeated_lines
 from granary.llm.near_dedup import near_duplicates
 from granary.llm.packing import pack_documents
+from granary.llm.sanitise import sanitise, span_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +90,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir, "doc_id", "text")).select("doc_id", "class_id", "kept")
+
+
+@_query()
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sanitise(_documents(spark, sf_dir, "doc_id", "text"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(span_text(F.col("base_spans")), 256).alias("base_sha256"),
+                        span_text(F.col("spans")).alias("spans"), F.sha2("text", 256).alias("clean_sha256"))
