@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
-from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import repeat
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,8 +15,9 @@ from pyspark.sql import functions as F
 from granary.llm.common import others
 
 MADE = ("doc_tokens", "start", "length", "ids", "bucket", "sequence_id", "offset")
-CACHED_CHUNKS = 200_000
-DOCS_AT_ONCE = 64
+CACHED_CHUNKS = 400_000
+DOCS_AT_ONCE = 128
+WORDS_AT_ONCE = 50
 
 
 def binary_lengths(tokens: int, longest: int) -> list[int]:
@@ -27,8 +29,10 @@ def binary_lengths(tokens: int, longest: int) -> list[int]:
 class ChunkEncoder:
     """Ids of texts as little-endian unsigned 32-bit numbers, remembering what it has encoded.
 
-    The vocabulary drops white space and never joins across it, so a text is the sum of its chunks between blanks and line ends.
-    At most ``CACHED_CHUNKS`` are remembered.
+    The vocabulary drops white space and never joins across it, so a text is the sum of its chunks between blanks and line ends. The
+    ids of known chunks lie in one array; a text is put together by gathering their ranges. Once ``CACHED_CHUNKS`` are known, all are
+    forgotten before the next texts. New chunks go to the tokenizer many at a time: where each is a word or a word and one mark, the
+    ends of words in the result tell them apart; all others are encoded each for itself.
     """
 
     def __init__(self, path: str):
@@ -36,17 +40,71 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.ends_word[number] = token.endswith("</w>")
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place = {"": 0}
+        self.ids = np.zeros(0, dtype="<u4")
+        self.bounds = np.zeros(2, dtype=np.int64)
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
-        chunks = [text.replace("\n", " ").split(" ") for text in texts]
-        wanted = set().union(*chunks)
-        if len(self.known) + len(wanted) > CACHED_CHUNKS:
-            self.known = {"": b""}
-        new = list(wanted - self.known.keys())
-        for chunk, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[chunk] = array("I", found.ids).tobytes()
-        return [b"".join(map(self.known.__getitem__, parts)) for parts in chunks]
+        """The ids of each text."""
+        if len(self.place) > CACHED_CHUNKS:
+            self._forget()
+        chunks: list[str] = []
+        sizes = []
+        for text in texts:
+            # lower case is the vocabulary's own first step; for ASCII it can be taken before
+            plain = text.lower() if text.isascii() and "<|" not in text else text
+            found = plain.replace("\n", " ").split(" ")
+            sizes.append(len(found))
+            chunks += found
+        places = np.fromiter(map(self.place.get, chunks, repeat(-1)), dtype=np.int64, count=len(chunks))
+        new = np.flatnonzero(places < 0)
+        if len(new):
+            self._learn(list(dict.fromkeys(chunks[i] for i in new.tolist())))
+            places[new] = [self.place[chunks[i]] for i in new.tolist()]
+        starts = self.bounds[places]
+        lengths = self.bounds[places + 1] - starts
+        ends = np.cumsum(lengths)
+        gathered = self.ids[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        cuts = np.concatenate([[0], ends])[np.cumsum([0, *sizes])] * 4
+        data = gathered.tobytes()
+        return [data[start:end] for start, end in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
+    def _learn(self, chunks: list[str]) -> None:
+        single = [chunk for chunk in chunks if chunk.isalpha()]
+        marked = [chunk for chunk in chunks if chunk[-1] in ".," and chunk[:-1].isalpha()]
+        taken = {*single, *marked}
+        rest = [chunk for chunk in chunks if chunk not in taken]
+        for words, parts in ((single, 1), (marked, 2)):
+            groups = [words[at:at + WORDS_AT_ONCE] for at in range(0, len(words), WORDS_AT_ONCE)]
+            fitting, encoded, limits, size = [], [], [], 0
+            for group, found in zip(groups, self._encoded([" ".join(group) for group in groups])):
+                ids = np.array(found.ids, dtype="<u4")
+                ends = np.flatnonzero(self.ends_word[ids]) + 1
+                if len(ends) != parts * len(group):
+                    rest += group
+                    continue
+                fitting += group
+                encoded.append(ids)
+                limits.append(ends[parts - 1::parts] + size)
+                size += len(ids)
+            self._remember(fitting, encoded, limits)
+        encoded = [np.array(found.ids, dtype="<u4") for found in self._encoded(rest)]
+        self._remember(rest, encoded, [np.cumsum([len(ids) for ids in encoded], dtype=np.int64)])
+
+    def _remember(self, chunks: list[str], encoded: list[np.ndarray], limits: list[np.ndarray]) -> None:
+        first = len(self.bounds) - 1
+        self.place.update(zip(chunks, range(first, first + len(chunks))))
+        self.bounds = np.concatenate([self.bounds, *[limit + len(self.ids) for limit in limits]])
+        self.ids = np.concatenate([self.ids, *encoded])
+
+    def _encoded(self, texts: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
 
 @lru_cache(maxsize=4)
@@ -68,7 +126,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, longest: int =
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("longest must be a power of two")
-    end = array("I", [end_id]).tobytes()
+    end = end_id.to_bytes(4, "little")
 
     @F.pandas_udf("array<binary>")
     def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -86,7 +144,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, longest: int =
             yield pd.Series(out, dtype=object)
 
     kept = others(docs, (text, *MADE))
-    whole = docs.select(*kept, pieces(F.col(f"`{text}`")).alias("_pieces"))
+    # marked as not deterministic, or the optimizer runs it once for each use of its result
+    whole = docs.select(*kept, pieces.asNondeterministic()(F.col(f"`{text}`")).alias("_pieces"))
     whole = whole.withColumn("doc_tokens", F.aggregate(
         "_pieces", F.lit(0).cast("bigint"), lambda n, ids: n + F.shiftright(F.octet_length(ids), 2)))
     rows = whole.select(*kept, "doc_tokens", F.posexplode("_pieces").alias("_pos", "ids"))
