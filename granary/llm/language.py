@@ -170,4 +170,4 @@ def predict_language(docs: DataFrame, profiles: LanguageProfiles, text: str = "t
             yield pd.DataFrame({"lang_pred": names, "score": scores})
 
     kept = others(docs, ("lang_pred", "score"))
-    return docs.select(*kept, predict(F.col(f"`{text}`")).alias("_language")).select(*kept, "_language.lang_pred", "_language.score")
+    return docs.select(*kept, predict.asNondeterministic()(F.col(f"`{text}`")).alias("_language")).select(*kept, "_language.lang_pred", "_language.score")

@@ -14,6 +14,7 @@ from granary.llm.line_dedup import drop_repeated_lines
 from granary.llm.near_dedup import near_duplicates
 from granary.llm.packing import pack_documents
 from granary.llm.sanitise import sanitise, span_text
+from granary.llm.toxicity import learn_toxicity, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -97,3 +98,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sanitise(_documents(spark, sf_dir, "doc_id", "text"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(span_text(F.col("base_spans")), 256).alias("base_sha256"),
                         span_text(F.col("spans")).alias("spans"), F.sha2("text", 256).alias("clean_sha256"))
+
+
+@_query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~is_held_out(F.col("doc_id")))
+    model = learn_toxicity(docs, labels)
+    return score_toxicity(docs.withColumn("held_out", is_held_out(F.col("doc_id"))), model).select("doc_id", "held_out", "score", "predicted")
