@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from granary.llm.bitsliced import exact_top_k
 from granary.llm.common import is_held_out
+from granary.llm.html_text import main_text
 from granary.llm.language import learn_profiles, predict_language
 from granary.llm.line_dedup import drop_repeated_lines
 from granary.llm.near_dedup import near_duplicates
@@ -106,3 +107,9 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~is_held_out(F.col("doc_id")))
     model = learn_toxicity(docs, labels)
     return score_toxicity(docs.withColumn("held_out", is_held_out(F.col("doc_id"))), model).select("doc_id", "held_out", "score", "predicted")
+
+
+@_query()
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return main_text(pages).select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
