@@ -152,7 +152,8 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int =
     blocks = rows.withColumn("rb", F.pmod("key", F.lit(row_blocks)).cast("int")).groupBy("rb", "dim").applyInPandas(
         index, "rb int, dim int, ids binary, data binary")
     blocks = blocks.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    asked = rows.where("q").withColumn("qb", F.pmod(F.xxhash64("key"), F.lit(query_blocks)).cast("int"))
+    # a repeated query row is asked for itself
+    asked = rows.where("q").withColumn("key", F.xxhash64("key", F.monotonically_increasing_id())).withColumn("qb", F.pmod(F.xxhash64("key"), F.lit(query_blocks)).cast("int"))
     asked = asked.withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))))
     met = blocks.groupBy("rb", "qb", "dim").cogroup(asked.groupBy("rb", "qb", "dim")).applyInPandas(
         search, "query_id bigint, query_row bigint, vec_id bigint, score bigint")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from granary.llm.bitsliced import exact_top_k
 from granary.llm.common import is_held_out
+from granary.llm.graph_search import nearest
 from granary.llm.html_text import main_text
 from granary.llm.language import learn_profiles, predict_language
 from granary.llm.line_dedup import drop_repeated_lines
@@ -113,3 +114,9 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     return main_text(pages).select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+@_query()
+def op5_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest(vectors, F.col("vec_id") % 20 == 0)
