@@ -17,12 +17,14 @@ from granary.llm.near_dedup import near_duplicates
 from granary.llm.packing import pack_documents
 from granary.llm.sanitise import sanitise, span_text
 from granary.llm.toxicity import learn_toxicity, score_toxicity
+from granary.llm.unigram import decode_ids, encode_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 PACK_VOCABULARY = "word_bpe_49k.json"
 PACK_END_ID = 2
+PIECES = "piece_bpe_32k.model"
 
 
 def _query(sql: str | None = None):
@@ -120,3 +122,12 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
+@_query()
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary(PIECES)
+    decoded = decode_ids(encode_texts(_documents(spark, sf_dir, "doc_id", "text"), path), path)
+    return decoded.select("doc_id", F.shiftright(F.octet_length("ids"), 2).cast("bigint").alias("n_ids"), F.crc32("ids").alias("ids_crc32"),
+                          (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
