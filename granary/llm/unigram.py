@@ -69,21 +69,15 @@ class DoubleArrayTrie:
                     children.append({})
             ends[node] = number
         self.check[0] = 0
-        # nodes with one child fill the first gap; nodes with more start where the last of them found room
-        state, waiting, free, dense = {0: 0}, [0], 1, 1
+        # the search for room goes on where it last succeeded, apart for nodes with one child, which fill gaps
+        state, waiting, last = {0: 0}, [0], {True: 1, False: 1}
         for node in waiting:
             if node in ends:
                 self.value[state[node]] = ends[node]
             if not children[node]:
                 continue
             codes = np.array(sorted(children[node])) + 1
-            while self.check[free] != -1:
-                free += 1
-                self._reach(free + 1)
-            if len(codes) > 1:
-                dense = at = self._room(dense, codes)
-            else:
-                at = self._room(free - int(codes[0]), codes)
+            at = last[len(codes) == 1] = self._room(last[len(codes) == 1], codes)
             self.base[state[node]] = at
             self.check[at + codes] = state[node]
             for code in codes.tolist():
@@ -95,7 +89,6 @@ class DoubleArrayTrie:
 
     def _room(self, low: int, codes: np.ndarray) -> int:
         """The first place from ``low`` on where all of a node's children fit."""
-        low = max(low, 1)
         while True:
             self._reach(low + 1024 + 258)
             tried = np.arange(low, low + 1024)
