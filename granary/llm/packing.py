@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from granary.llm.common import others
 
 MADE = ("doc_tokens", "start", "length", "ids", "bucket", "sequence_id", "offset")
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 1_000_000
 DOCS_AT_ONCE = 128
 WORDS_AT_ONCE = 50
 
