@@ -84,7 +84,7 @@ def pairs(spark: SparkSession, t: Tables) -> dict[str, dict[str, Callable[[], ob
     optimize_files(spark, f"{base}/shuffled", target_bytes=256 * 1024, cluster_by="l_partkey", destination=f"{base}/clustered")
 
     def bucketed_average():
-        return grouped(spark.table("bench_grouped"), "l_orderkey", {"average": exact_avg("l_quantity")})
+        return grouped(spark.table("bench_grouped"), "l_orderkey", {"average": exact_avg("l_quantity", 2)})
 
     def loop_of_extracts():
         for i, value in enumerate(EXTRACTS):
@@ -96,7 +96,7 @@ def pairs(spark: SparkSession, t: Tables) -> dict[str, dict[str, Callable[[], ob
 
     def three_reports(kept: DataFrame):
         for flag in "ANR":
-            run_fully(kept.where(F.col("l_returnflag") == flag).agg(exact_avg("l_extendedprice")))
+            run_fully(kept.where(F.col("l_returnflag") == flag).agg(exact_avg("l_extendedprice", 2)))
 
     def filtered():
         schema = "l_orderkey bigint, l_quantity double, l_extendedprice double, l_returnflag string"
@@ -109,7 +109,7 @@ def pairs(spark: SparkSession, t: Tables) -> dict[str, dict[str, Callable[[], ob
     row_udf = F.udf(lambda value: value * 0.2, "double")
     return {
         "grouped_average": {
-            "plain": noop(lambda: grouped(spark.read.parquet(f"{base}/grouped-plain"), "l_orderkey", {"average": exact_avg("l_quantity")})),
+            "plain": noop(lambda: grouped(spark.read.parquet(f"{base}/grouped-plain"), "l_orderkey", {"average": exact_avg("l_quantity", 2)})),
             "bucketed": noop(bucketed_average)},
         "small_dimension": {
             "sort_merge": noop(lambda: equi_join(items, t("supplier"), {"l_suppkey": "s_suppkey"}, "left_outer", "merge")),

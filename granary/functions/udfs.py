@@ -24,13 +24,17 @@ def register_batch_udf(spark: SparkSession, name: str, function: Callable[[pd.Se
 
 
 def shared_lookup_udf(spark: SparkSession, entries: Mapping[object, object], return_type: str = "string"):
-    """Look values up in a mapping that is sent to each executor once; a missing key gives null."""
-    shared = spark.sparkContext.broadcast(dict(entries))
+    """Look values up in a mapping that is sent to each executor once; a missing or null key gives null.
+
+    Keys travel as text: in a batch with nulls whole numbers would arrive as floats, which cannot hold all 64 bits.
+    """
+    shared = spark.sparkContext.broadcast({str(key): value for key, value in entries.items()})
 
     def find(keys: pd.Series) -> pd.Series:
-        return keys.map(shared.value.get).astype(object)
+        return keys.map(shared.value).astype(object).where(lambda values: values.notna(), None)
 
-    return F.pandas_udf(find, return_type)
+    run = F.pandas_udf(find, return_type)
+    return lambda key: run((F.col(key) if isinstance(key, str) else key).cast("string"))
 
 
 def random_salt_udf(salts: int):

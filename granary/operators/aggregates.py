@@ -10,13 +10,23 @@ from pyspark.sql import functions as F
 from granary.operators.skew import as_list
 
 
-def exact_sum(value: str | Column, scale: int = 2) -> Column:
-    """Sum of a number with ``scale`` decimals as a double that does not depend on the order of addition."""
+def _decimal(value: str | Column, scale: int) -> Column:
+    """A number as a decimal of ``scale`` digits after the point; one that has more, or is too large, raises instead of being cut."""
     column = F.col(value) if isinstance(value, str) else value
-    return F.sum(column.cast(f"decimal(18,{scale})")).cast("double")
+    exact = column.cast(f"decimal(38,{scale})")
+    lost = F.raise_error(F.concat(F.lit(f"does not fit {scale} decimals: "), column.cast("string")))
+    return F.when(column.isNull() | (exact.cast("double") == column.cast("double")), exact).otherwise(lost.cast(f"decimal(38,{scale})"))
 
 
-def exact_avg(value: str | Column, scale: int = 2) -> Column:
+def exact_sum(value: str | Column, scale: int) -> Column:
+    """Sum of a number with at most ``scale`` decimals as a double that does not depend on the order of addition.
+
+    For money and the like. A value with more decimals, or a sum beyond 38 digits, raises. Use a plain ``sum`` for measurements.
+    """
+    return F.sum(_decimal(value, scale)).cast("double")
+
+
+def exact_avg(value: str | Column, scale: int) -> Column:
     """Average over the non-null values on top of ``exact_sum``."""
     column = F.col(value) if isinstance(value, str) else value
     return F.try_divide(exact_sum(column, scale), F.count(column))
@@ -42,12 +52,12 @@ def rows_per_key(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Rows and share of all rows for each key: where a join or grouping on ``key`` would be skewed."""
     counts = df.groupBy(*as_list(key)).agg(F.count(F.lit(1)).alias("rows"))
     total = counts.agg(F.sum("rows").alias("total")).scalar()
-    return counts.withColumn("share", F.round(F.col("rows") / total, 6))
+    return counts.withColumn("share", F.col("rows") / total)
 
 
 def sum_when(value: str, when: Column) -> Column:
-    """Exact sum over the rows that fulfil ``when``; zero if there are none."""
-    return F.coalesce(exact_sum(F.when(when, F.col(value))), F.lit(0.0))
+    """Sum as a double over the rows that fulfil ``when``; zero if there are none."""
+    return F.coalesce(F.sum(F.when(when, F.col(value).cast("double"))), F.lit(0.0))
 
 
 def observed_sum(df: DataFrame, value: str, when: Column) -> tuple[DataFrame, Observation]:
@@ -57,7 +67,10 @@ def observed_sum(df: DataFrame, value: str, when: Column) -> tuple[DataFrame, Ob
 
 
 def accumulated_sum(df: DataFrame, value: str, when: Column) -> float:
-    """The same total through a shared counter that the tasks add to, one partial sum per partition."""
+    """The total through a shared counter that the tasks add to, one partial sum per partition.
+
+    Doubles are added in the order in which tasks end, so the last digits may differ from run to run.
+    """
     counter = df.sparkSession.sparkContext.accumulator(0.0)
 
     def add_partition(rows):

@@ -38,8 +38,12 @@ def equi_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], how: str
 def join_left_when(left: DataFrame, right: DataFrame, on: Mapping[str, str], when: Column) -> DataFrame:
     """Left outer join that only looks for partners of left rows fulfilling ``when``; every left row stays.
 
-    ``when`` is part of the join condition, not a filter: rows that fail it keep an empty right side.
+    ``when`` is part of the join condition, not a filter: rows that fail it keep an empty right side. Raises if the result would carry
+    one name twice.
     """
+    twice = set(left.columns) & set(right.columns)
+    if twice:
+        raise ValueError(f"both sides have {sorted(twice)}: rename one side")
     condition = when
     for one, other in on.items():
         condition = condition & (left[one] == right[other])
@@ -53,6 +57,19 @@ def replicate(df: DataFrame, copies: int, name: str) -> DataFrame:
     return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
 
 
+def unique_entries(table: DataFrame, key: str) -> DataFrame:
+    """The rows of a lookup table without null keys; a key that is there twice raises when the job runs.
+
+    Rows are counted by key and then joined with the table itself, so values of any type need no sort.
+    """
+    known = table.where(F.col(key).isNotNull())
+    counts = known.groupBy(F.col(key).alias("_counted")).agg(F.count(F.lit(1)).alias("_entries"))
+    twice = F.raise_error(F.concat(F.lit(f"duplicate lookup key in {key}: "), F.col(key).cast("string")))
+    checked = known.join(counts, F.col(key) == F.col("_counted"))
+    return checked.select(*[F.when(F.col("_entries") > 1, twice.cast(field.dataType)).otherwise(F.col(f"`{field.name}`")).alias(field.name)
+                            if field.name != key else F.col(f"`{key}`") for field in table.schema])
+
+
 def lookup(df: DataFrame, key: str, table: DataFrame, table_key: str, value: str, default: object = None,
            max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Add column ``value`` of ``table`` to each row; a key without an entry gets ``default``.
@@ -60,11 +77,7 @@ def lookup(df: DataFrame, key: str, table: DataFrame, table_key: str, value: str
     A key that ``table`` lists twice raises when the job runs. A proven small table is broadcast, a larger one joined with
     heavy keys spread.
     """
-    entries = (table.where(F.col(table_key).isNotNull())
-               .groupBy(F.col(table_key).alias(key))
-               .agg(F.first(value).alias(value), F.count(F.lit(1)).alias("_entries")))
-    twice = F.raise_error(F.concat(F.lit(f"duplicate lookup key in {table_key}: "), F.col(key).cast("string")))
-    entries = entries.select(key, F.when(F.col("_entries") > 1, twice).otherwise(F.col(value)).alias(value))
+    entries = unique_entries(table.select(F.col(table_key).alias(key), value), key)
     if proven_small(table.select(table_key, value), max_bytes):
         joined = df.join(F.broadcast(entries), key, "left_outer").select(*df.columns, value)
     else:

@@ -6,12 +6,13 @@ import math
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.operators.skew import as_list
 from granary.session import profile_session
+from granary.sources.columnar import TEXT_PARTITIONS, read_partitioned
 
 
 def file_stats(df: DataFrame, column: str, by: str | Sequence[str] = ()) -> DataFrame:
@@ -22,38 +23,46 @@ def file_stats(df: DataFrame, column: str, by: str | Sequence[str] = ()) -> Data
 
 
 def file_bytes(spark: SparkSession, path: str, where: str | None = None) -> int:
-    """Total size of the parquet files below ``path``, of the partitions chosen by ``where`` if given.
+    """Total size of the data files below ``path``, of the partitions chosen by ``where`` if given.
 
-    Each file is one row of path and length; no file is opened. Files are packed into at most a thousand tasks.
+    Each file is one row of path and length; no file is opened, and names do not matter, beyond that Spark skips those that begin with
+    a dot or an underscore. Files are packed into at most a thousand tasks.
     """
-    listing = profile_session(spark, {"spark.sql.files.maxPartitionNum": 1000}).read.format("binaryFile")
-    files = listing.option("pathGlobFilter", "*.parquet").load(path)
+    settings = {"spark.sql.files.maxPartitionNum": 1000, **TEXT_PARTITIONS}
+    files = profile_session(spark, settings).read.format("binaryFile").load(path)
     chosen = files.where(where) if where else files
     return chosen.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).head()["bytes"]
 
 
-def _ordinal(df: DataFrame, column: str) -> Column:
-    """A number that orders like ``column``; text is ordered by its first six bytes."""
+def _ordered(df: DataFrame, column: str) -> Column:
+    """A value that orders like ``column`` and keeps every difference: numbers and text as they are, times as whole numbers."""
     kind = df.schema[column].dataType
     value = F.col(f"`{column}`")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(value.cast("timestamp")).cast("double")
+        return F.unix_micros(value.cast("timestamp"))
     if isinstance(kind, T.DateType):
-        return F.unix_date(value).cast("double")
-    if isinstance(kind, T.StringType):
-        prefix = F.rpad(F.substring(F.hex(F.encode(value, "UTF-8")), 1, 12), 12, "0")
-        return F.conv(prefix, 16, 10).cast("double")
-    if isinstance(kind, T.NumericType):
-        return value.cast("double")
+        return F.unix_date(value)
+    if isinstance(kind, (T.StringType, T.NumericType)):
+        return value
     raise ValueError(f"cannot cluster by {column} of type {kind.simpleString()}")
 
 
-def _with_bucket(df: DataFrame, value: str, bounds: Sequence[float], bits: int, name: str) -> DataFrame:
-    """Add how many of the ``2**bits - 1`` ascending bounds lie below ``value``; null counts as lowest.
+def _bounds(values: DataFrame, name: str, buckets: int) -> list:
+    """At most ``buckets - 1`` ascending values that cut the rows into ranges of about equal weight, whatever the type.
+
+    Spark's own range partitioning finds them from a sample of whole values; only the greatest value of each range is collected.
+    """
+    ranged = values.select(name).where(F.col(name).isNotNull()).repartitionByRange(buckets, name)
+    tops = ranged.groupBy(F.spark_partition_id().alias("range")).agg(F.max(name).alias("top"))
+    return sorted({row["top"] for row in tops.collect()})[:-1]
+
+
+def _with_bucket(df: DataFrame, value: str, bounds: Sequence[object], bits: int, name: str) -> DataFrame:
+    """Add how many of the ascending bounds lie below ``value``; null counts as lowest.
 
     Bisection, one projection per bit: each looks one bound up in a constant array, so it compiles to a few instructions.
     """
-    limits = F.array(*[F.lit(float(bound)) for bound in bounds])
+    limits = F.array(*[F.lit(bound) for bound in bounds]).cast(T.ArrayType(df.schema[value].dataType))
     df = df.withColumn(name, F.lit(0))
     for bit in reversed(range(bits)):
         step = 2 ** bit
@@ -65,18 +74,17 @@ def _with_bucket(df: DataFrame, value: str, bounds: Sequence[float], bits: int,
 def with_curve_key(df: DataFrame, columns: Sequence[str], bits: int = 8, name: str = "_curve") -> DataFrame:
     """Add a number that is close for rows close in all ``columns``: the interleaved bits of their range buckets.
 
-    The bucket bounds are approximate quantiles from one aggregate job that returns ``2**bits - 1`` numbers per column.
+    Each column has ``2**bits`` buckets of about as many rows, cut between whole values. The bounds come to the driver, at most
+    ``2**bits - 1`` for each column.
     """
     if bits * len(columns) > 62:
         raise ValueError("too many bits for one 64-bit key")
-    count = 2 ** bits - 1
-    shares = [(i + 1) / 2 ** bits for i in range(count)]
-    values = {f"_value{i}": _ordinal(df, column) for i, column in enumerate(columns)}
+    values = {f"_value{i}": _ordered(df, column) for i, column in enumerate(columns)}
     keyed = df.withColumns(values)
-    bounds = keyed.agg(*[F.percentile_approx(value, shares, 10_000).alias(value) for value in values]).head()
+    limits = {value: _bounds(keyed, value, 2 ** bits) for value in values}
     key = F.lit(0).cast("bigint")
     for i, value in enumerate(values):
-        keyed = _with_bucket(keyed, value, bounds[value] or [0.0] * count, bits, f"_bucket{i}")
+        keyed = _with_bucket(keyed, value, limits[value], bits, f"_bucket{i}")
         for bit in range(bits):
             taken = F.shiftright(F.col(f"_bucket{i}").cast("bigint"), bit).bitwiseAND(F.lit(1).cast("bigint"))
             key = key.bitwiseOR(F.shiftleft(taken, bit * len(columns) + i))
@@ -84,8 +92,8 @@ def with_curve_key(df: DataFrame, columns: Sequence[str], bits: int = 8, name: s
 
 
 def curve_bits(files: int, columns: int) -> int:
-    """Bits per column that tell ``files`` files apart with some to spare."""
-    return min(max(math.ceil(math.log2(max(files, 2)) / columns) + 3, 4), 8, 62 // columns)
+    """Bits per column that tell ``files`` files apart with some to spare; a 64-bit key is the only limit."""
+    return min(max(math.ceil(math.log2(max(files, 2)) / columns) + 3, 4), 62 // columns)
 
 
 def cluster(df: DataFrame, columns: str | Sequence[str], files: int, bits: int | None = None, within: Sequence[str] = (),
@@ -108,40 +116,38 @@ def cluster(df: DataFrame, columns: str | Sequence[str], files: int, bits: int |
     return ranged.sortWithinPartitions(*leading, "_curve").drop("_curve")
 
 
-def optimize_files(spark: SparkSession, path: str, partition_by: str | Sequence[str] = (), where: str | None = None,
-                   target_bytes: int = 256 * 1024 * 1024, cluster_by: str | Sequence[str] = (), destination: str | None = None) -> int:
-    """Rewrite a parquet table into files of about ``target_bytes``, clustered by ``cluster_by`` if given.
+def optimize_files(spark: SparkSession, path: str, destination: str, partition_by: str | Sequence[str] = (), where: str | None = None,
+                   target_bytes: int = 256 * 1024 * 1024, cluster_by: str | Sequence[str] = ()) -> int:
+    """Write a parquet table anew at ``destination``, in files of about ``target_bytes``, clustered by ``cluster_by`` if given.
 
-    ``where`` selects partitions of a table with partition directories; only these are read. With ``destination`` the new files go
-    there and the old ones stay. Without it the selected partitions are replaced in place, each when all its new files are complete.
-    A table without partitions needs a destination. Returns the number of files aimed at.
+    The new table is complete: ``where`` selects the partitions that get new files, all others are copied row by row as they are
+    read. The old table stays, so readers and a lost driver are no danger; switch to the new one when the call returns, for example
+    by a view. Partition values are read as the text that stands in the path, so ``001`` stays ``001``. Returns the number of files
+    aimed at for the selected partitions.
     """
     by = as_list(partition_by)
-    table = spark.read.parquet(path)
-    selected = table.where(where) if where else table
-    if by:
-        # a filter on other columns would lose the rows it leaves out when the directory is replaced
-        if where and not _uses_only(spark, table, where, by):
-            raise ValueError(f"where may only use the partition columns {by}: {where}")
-    elif where is not None or destination is None:
-        raise ValueError("a table without partitions needs a destination and no filter")
+    table = read_partitioned(spark, path)
+    # a filter on other columns would cut partitions in two
+    if where is not None and not (by and _uses_only(spark, table, where, by)):
+        raise ValueError(f"where may only use the partition columns {by}: {where}")
+    chosen = F.coalesce(F.expr(where), F.lit(False)) if where else F.lit(True)
     files = max(1, math.ceil(file_bytes(spark, path, where) / target_bytes))
-    row_place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
-    placed = selected.withColumn("_place", row_place)
+    placed = table.where(chosen).withColumn("_place", F.xxhash64("_metadata.file_path", "_metadata.row_index"))
     names = as_list(cluster_by)
     if names:
         placed = cluster(placed, names, files, within=by, spread_by=["_place"])
     else:
         placed = placed.repartitionByRange(files, *by, "_place")
-    placed = placed.drop("_place")
-    writer = placed.write.partitionBy(*by) if by else placed.write
-    if destination:
-        writer.parquet(destination)
-    else:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    _writer(placed.drop("_place"), by).parquet(destination)
+    if where:
+        _writer(table.where(~chosen), by).mode("append").parquet(destination)
     return files
 
 
+def _writer(df: DataFrame, by: Sequence[str]) -> DataFrameWriter:
+    return df.write.partitionBy(*by) if by else df.write
+
+
 def _uses_only(spark: SparkSession, table: DataFrame, where: str, columns: Sequence[str]) -> bool:
     """Whether a filter can be resolved with nothing but ``columns`` of ``table``."""
     known = T.StructType([field for field in table.schema if field.name in columns])
@@ -153,8 +159,11 @@ def _uses_only(spark: SparkSession, table: DataFrame, where: str, columns: Seque
 
 
 def point_lookup(spark: SparkSession, path: str, equal: dict[str, object]) -> DataFrame:
-    """Rows with the given values. Partition columns prune directories; min/max statistics skip row groups for the others."""
-    rows = spark.read.parquet(path)
+    """Rows with the given values. Partition columns prune directories; min/max statistics skip row groups for the others.
+
+    Partition values are text, as in ``optimize_files``.
+    """
+    rows = read_partitioned(spark, path)
     for name, value in equal.items():
         rows = rows.where(F.col(name) == F.lit(value))
     return rows

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def expand_struct(df: DataFrame, column: str) -> DataFrame:
@@ -22,10 +25,13 @@ def explode_array(df: DataFrame, column: str, name: str) -> DataFrame:
     return exploded.where(F.col("_position").isNotNull()).drop("_position")
 
 
-def flatten_orders(orders: DataFrame) -> DataFrame:
-    """Order documents as flat rows: one per line item and contact.
+def flatten(df: DataFrame, arrays: Mapping[str, str]) -> DataFrame:
+    """One row per combination of the elements of several arrays: ``arrays`` names each array column and the column of its elements.
 
-    Two explosions after each other: an order with two items and two contacts gives four rows. Both stay in the map stage.
+    An element that is a struct becomes its fields. The explosions follow each other and all stay in the map stage.
     """
-    items = explode_array(orders, "order_line_items", "item")
-    return explode_array(expand_struct(items, "item"), "contact", "contact_expanded")
+    for column, name in arrays.items():
+        df = explode_array(df, column, name)
+        if isinstance(df.schema[name].dataType, StructType):
+            df = expand_struct(df, name)
+    return df

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 _UNITS = {"B": 1, "KiB": 2**10, "MiB": 2**20, "GiB": 2**30, "TiB": 2**40, "PiB": 2**50, "EiB": 2**60}
+_LEAF = re.compile(r"^[ :+-]*(Relation|LogicalRDD|LocalRelation|Range|InMemoryRelation)\b")
 _ESTIMATE = re.compile(r"sizeInBytes=([0-9.]+(?:E[+-]?[0-9]+)?) ?([KMGTPE]?i?B)")
 
 
@@ -21,6 +22,18 @@ def estimated_bytes(df: DataFrame) -> float:
     return float(found.group(1)) * _UNITS[found.group(2)] if found else float("inf")
 
 
+def scanned_bytes(df: DataFrame) -> float:
+    """The size of all files and local rows that ``df`` reads, each source once; starts no job."""
+    plan = df.sparkSession.sql("EXPLAIN COST SELECT * FROM {frame}", frame=df).head()[0]
+    logical = plan.split("== Physical Plan ==")[0]
+    sizes = {}
+    for line in logical.splitlines():
+        found, leaf = _ESTIMATE.search(line), _LEAF.search(line)
+        if found and leaf:
+            sizes[line.split(", Statistics")[0].lstrip(" :+-")] = float(found.group(1)) * _UNITS[found.group(2)]
+    return sum(sizes.values()) if sizes else estimated_bytes(df)
+
+
 def row_bytes(df: DataFrame) -> Column:
     """Bytes one row takes: eight per column and the length of its variable-length values."""
     width = F.lit(8 * len(df.columns))

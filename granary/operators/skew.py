@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PIECE = "_piece"
 PIECES = "_pieces"
@@ -29,21 +30,37 @@ def key_rows(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
 def heavy_keys(df: DataFrame, key: str | Sequence[str], pieces: int) -> DataFrame:
     """Keys that hold more than ``1/pieces`` of the rows, with the number of pieces each should be cut into.
 
-    Fewer than ``pieces`` keys can qualify, and their pieces add up to less than ``2 * pieces``, whatever the data: the result
-    is safe to broadcast. It takes a scan of the key alone and one that only counts.
+    Fewer than ``pieces`` keys can qualify, and their pieces add up to less than ``2 * pieces``, whatever the data. So they are
+    found once, by one job over the key column with partial counts, and returned as a table of literals that is safe to broadcast.
     """
+    keys = as_list(key)
     total = df.agg(F.count(F.lit(1)).alias("total")).scalar()
     scaled = F.col(_ROWS) * F.lit(pieces)
-    return key_rows(df, key).where(scaled > total).select(*as_list(key), F.ceil(scaled / total).cast("int").alias(PIECES))
+    found = key_rows(df, keys).where(scaled > total).select(*keys, F.ceil(scaled / total).cast("int").alias(PIECES))
+    return df.sparkSession.createDataFrame(found.toArrow(), found.schema)
 
 
 def spread(pieces: Column | int, salt_from: Sequence[str] = ()) -> Column:
     """A piece number in ``[0, pieces)`` for each row.
 
     It depends on the map task and the ``salt_from`` columns only. A repeated task therefore makes the same choice again, which
-    a random number does not guarantee behind a shuffle, and exact copies of a row part ways as soon as several tasks read them.
+    a random number does not guarantee behind a shuffle. Without ``salt_from`` all rows of a task get one piece.
     """
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *salt_from), pieces).cast("int")
+    salts = [F.col(f"`{name}`") for name in salt_from]
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *salts), pieces).cast("int")
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_has_map(field.dataType) for field in kind)
+    return isinstance(kind, T.MapType)
+
+
+def hashable_columns(df: DataFrame) -> list[str]:
+    """The columns that can be hashed: all but those that hold maps."""
+    return [field.name for field in df.schema if not _has_map(field.dataType)]
 
 
 def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str, null_safe: bool) -> Column:
@@ -64,7 +81,10 @@ def _with_pieces(df: DataFrame, heavy: DataFrame, keys: Sequence[str], null_safe
 
 def salt_rows(df: DataFrame, heavy: DataFrame, key: str | Sequence[str], pieces: int, salt_from: Sequence[str] = (),
               null_safe: bool = False) -> DataFrame:
-    """Add the piece of each row: 0 for ordinary keys, spread for heavy ones and for keys that cannot match (null)."""
+    """Add the piece of each row: 0 for ordinary keys, spread for heavy ones and for keys that cannot match (null).
+
+    The salt comes from all columns unless ``salt_from`` names some, so rows of a heavy key part ways also behind a shuffle on it.
+    """
     keys = as_list(key)
     wanted = F.coalesce(F.col(PIECES), F.lit(1))
     if not null_safe:
@@ -74,7 +94,7 @@ def salt_rows(df: DataFrame, heavy: DataFrame, key: str | Sequence[str], pieces:
         wanted = F.when(any_null, F.lit(pieces)).otherwise(wanted)
     # the number of pieces is settled below the spread, which is not deterministic for the optimizer
     counted = _with_pieces(df, heavy, keys, null_safe).withColumn(PIECES, wanted)
-    return counted.withColumn(PIECE, spread(F.col(PIECES), salt_from)).drop(PIECES)
+    return counted.withColumn(PIECE, spread(F.col(PIECES), salt_from or hashable_columns(df))).drop(PIECES)
 
 
 def copy_rows(df: DataFrame, heavy: DataFrame, key: str | Sequence[str], null_safe: bool = False) -> DataFrame:
@@ -86,18 +106,38 @@ def copy_rows(df: DataFrame, heavy: DataFrame, key: str | Sequence[str], null_sa
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str | Sequence[str], salts: int | None = None, how: str = "left_outer",
-                salt_from: Sequence[str] = (), null_safe: bool = False, strategy: str | None = None) -> DataFrame:
+                salt_from: Sequence[str] = (), null_safe: bool = False, strategy: str | None = None, right_heavy: bool = False) -> DataFrame:
     """The rows of ``left.join(right, key, how)``, with the heavy keys of ``left`` spread over many tasks.
 
     Only heavy keys are salted, so ``right`` grows by a bounded number of copies instead of by the factor ``salts``. Null keys of
     ``left`` match nothing and are spread as well; with ``null_safe`` null is a key like any other. The key appears once.
-    ``strategy`` adds a join hint for ``right``.
+    ``right_heavy`` looks for heavy keys of ``right`` too: their rows are spread and the matching rows of ``left`` repeated, in a join
+    of their own, which is an inner one, as these keys always match. ``strategy`` adds a join hint for ``right``. Raises if the sides
+    share a name beside the key.
     """
     if how not in ("inner", "left_outer"):
         raise ValueError("copies of the right side are only harmless in inner and left outer joins")
     keys = as_list(key)
+    twice = (set(left.columns) & set(right.columns)) - set(keys)
+    if twice:
+        raise ValueError(f"both sides have {sorted(twice)}: rename one side")
     pieces = salts or default_pieces(left)
-    heavy = heavy_keys(left, keys, pieces)
+    if right_heavy:
+        counted = right if null_safe else right.dropna(subset=keys)
+        heavy = heavy_keys(counted, keys, pieces)
+        if not heavy.isEmpty():
+            named = F.broadcast(heavy.select(*[F.col(f"`{name}`").alias(f"_heavy_{name}") for name in keys]))
+            sides = {side: [df.join(named, _match(df, named, keys, "_heavy_", null_safe), how_) for how_ in ("left_semi", "left_anti")]
+                     for side, df in (("left", left), ("right", right))}
+            columns = [*left.columns, *[name for name in right.columns if name not in keys]]
+            spread_right = _salted(sides["right"][0], sides["left"][0], heavy, keys, pieces, "inner", (), null_safe, None).select(*columns)
+            rest = salted_join(sides["left"][1], sides["right"][1], keys, pieces, how, salt_from, null_safe, strategy)
+            return rest.select(*columns).unionAll(spread_right)
+    return _salted(left, right, heavy_keys(left, keys, pieces), keys, pieces, how, salt_from, null_safe, strategy)
+
+
+def _salted(left: DataFrame, right: DataFrame, heavy: DataFrame, keys: Sequence[str], pieces: int, how: str, salt_from: Sequence[str],
+            null_safe: bool, strategy: str | None) -> DataFrame:
     salted = salt_rows(left, heavy, keys, pieces, salt_from, null_safe)
     copies = copy_rows(right, heavy, keys, null_safe)
     # fresh names keep the condition unambiguous when both sides stem from one table

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.operators.skew import as_list, salted_join
+from granary.operators.skew import PIECE, as_list, default_pieces, salted_join, spread
 
 
 def group_max(df: DataFrame, by: str | Sequence[str], value: str, name: str) -> DataFrame:
@@ -26,9 +26,16 @@ def nth_per_group(df: DataFrame, by: str | Sequence[str], order: Sequence[Column
                   name: str = "rn") -> DataFrame:
     """The ``n``-th row of each group in ``order``; ``tiebreak`` (unique within a group) makes the answer definite.
 
-    The filter on the row number lets each map task drop all but its first ``n`` rows per group before the shuffle, so a heavy
-    group reaches its final task as a few rows per map task.
+    The filter on the row number lets each map task drop all but its first ``n`` rows per group before the shuffle, as long as ``n``
+    is at most ``spark.sql.optimizer.windowGroupLimitThreshold``. For a greater ``n`` the groups are first cut into pieces by a hash
+    of the row and each piece is limited by itself, so no task gets a heavy group whole before it is down to ``n`` rows a piece.
     """
     keys = as_list(by)
-    ordered = Window.partitionBy(*keys).orderBy(*order, *[F.col(column) for column in as_list(tiebreak)])
+    sort = [*order, *[F.col(column) for column in as_list(tiebreak)]]
+    session = df.sparkSession
+    if n > int(session.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        pieced = df.withColumn(PIECE, spread(default_pieces(df), as_list(tiebreak)))
+        first = F.row_number().over(Window.partitionBy(*keys, PIECE).orderBy(*sort))
+        df = pieced.withColumn("_place", first).where(F.col("_place") <= n).drop(PIECE, "_place")
+    ordered = Window.partitionBy(*keys).orderBy(*sort)
     return df.withColumn(name, F.row_number().over(ordered)).where(F.col(name) == n)

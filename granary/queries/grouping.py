@@ -10,6 +10,7 @@ from granary.operators.aggregates import (
     exact_avg,
     exact_sum,
     grouped,
+    observed_sum,
     rows_per_key,
     sum_when,
     word_count,
@@ -20,7 +21,9 @@ from granary.operators.windows import group_max, nth_per_group
 from granary.queries.joining import skewed_events
 from granary.queries.registry import Tables, query
 from granary.session import scratch_path
+from granary.sinks.files import run_fully
 from granary.sinks.tables import bucket_count, save_bucketed
+from granary.sources.rows import rows_table
 
 PRICE_SUM = "CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE)"
 
@@ -30,20 +33,20 @@ def agg_count(t: Tables) -> DataFrame:
     return grouped(t("orders"), "o_custkey", {"orders": F.count("o_orderkey")})
 
 
-@query(f"SELECT o_custkey, {PRICE_SUM} AS total FROM orders GROUP BY o_custkey")
+@query("SELECT o_custkey, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY o_custkey")
 def agg_sum(t: Tables) -> DataFrame:
-    return grouped(t("orders"), "o_custkey", {"total": exact_sum("o_totalprice")})
+    return grouped(t("orders"), "o_custkey", {"total": F.round(F.sum("o_totalprice"), 2)})
 
 
 @query(f"SELECT o_orderpriority, {PRICE_SUM} / count(o_totalprice) AS average FROM orders GROUP BY o_orderpriority")
 def agg_avg(t: Tables) -> DataFrame:
-    return grouped(t("orders"), "o_orderpriority", {"average": exact_avg("o_totalprice")})
+    return grouped(t("orders"), "o_orderpriority", {"average": exact_avg("o_totalprice", 2)})
 
 
 @query(f"""SELECT o_custkey, {PRICE_SUM} / count(o_totalprice) AS average FROM orders GROUP BY o_custkey
            HAVING {PRICE_SUM} / count(o_totalprice) > 250000""")
 def agg_having(t: Tables) -> DataFrame:
-    return grouped(t("orders"), "o_custkey", {"average": exact_avg("o_totalprice")}, having="average > 250000")
+    return grouped(t("orders"), "o_custkey", {"average": exact_avg("o_totalprice", 2)}, having="average > 250000")
 
 
 @query("SELECT event_type, count(*) AS rows FROM events GROUP BY event_type")
@@ -60,7 +63,7 @@ def agg_global(t: Tables) -> DataFrame:
            GROUP BY o_orderstatus""")
 def agg_sum_cast(t: Tables) -> DataFrame:
     wanted = t("orders").where(F.col("o_orderstatus") == "F")
-    return grouped(wanted, "o_orderstatus", {"total": exact_sum("o_totalprice").cast("bigint")})
+    return grouped(wanted, "o_orderstatus", {"total": exact_sum("o_totalprice", 2).cast("bigint")})
 
 
 @query("SELECT count(*) AS rows FROM orders")
@@ -88,7 +91,7 @@ def agg_prepartitioned(t: Tables) -> DataFrame:
     name = path.rpartition("/")[2].replace("-", "_")
     orders = t("orders").select("o_custkey", "o_totalprice")
     save_bucketed(orders, name, bucket_count(orders), "o_custkey", path=path)
-    result = grouped(t.spark.read.table(name), "o_custkey", {"average": exact_avg("o_totalprice")})
+    result = grouped(t.spark.read.table(name), "o_custkey", {"average": exact_avg("o_totalprice", 2)})
     t.spark.sql(f"DROP TABLE {name}")
     return result
 
@@ -106,7 +109,7 @@ def distinct_column(t: Tables) -> DataFrame:
 @query("""SELECT user_key, count(*) AS rows, round(count(*) / sum(count(*)) OVER (), 6) AS share
           FROM (SELECT CASE WHEN event_type <> 'error' THEN 1 ELSE user_id END AS user_key FROM events) GROUP BY user_key""")
 def skew_report(t: Tables) -> DataFrame:
-    return rows_per_key(skewed_events(t), "user_key")
+    return rows_per_key(skewed_events(t), "user_key").withColumn("share", F.round("share", 6))
 
 
 @query("SELECT o_custkey, count(*) AS rows, 0 AS scattered FROM orders GROUP BY o_custkey")
@@ -121,9 +124,20 @@ def partition_by_key(t: Tables) -> DataFrame:
     return keys.select("o_custkey", "rows", (light & (F.col("partitions") > 1)).cast("int").alias("scattered"))
 
 
-@query(f"SELECT coalesce(CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE), 0) AS total FROM orders WHERE o_orderstatus = 'F'")
+FINISHED_SQL = "SELECT round(coalesce(sum(o_totalprice), 0), 2) AS total FROM orders WHERE o_orderstatus = 'F'"
+
+
+@query(FINISHED_SQL)
+def sum_where(t: Tables) -> DataFrame:
+    return t("orders").agg(F.round(sum_when("o_totalprice", F.col("o_orderstatus") == "F"), 2).alias("total"))
+
+
+@query(FINISHED_SQL)
 def observe_sum(t: Tables) -> DataFrame:
-    return t("orders").agg(sum_when("o_totalprice", F.col("o_orderstatus") == "F").alias("total"))
+    """The total that is observed while another result is computed in full."""
+    orders, seen = observed_sum(t("orders"), "o_totalprice", F.col("o_orderstatus") == "F")
+    run_fully(orders.select("o_orderkey", "o_totalprice"))
+    return rows_table(t.spark, [(round(seen.get["total"], 2),)], "total double")
 
 
 @query(r"""SELECT word, count(*) AS occurrences
@@ -164,7 +178,7 @@ def win_nth_sql(t: Tables) -> DataFrame:
 def second_order(t: Tables) -> DataFrame:
     """The second-highest order of each customer with the nation's name and the customer's total and average."""
     orders = t("orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    totals = grouped(orders, "o_custkey", {"total": exact_sum("o_totalprice"), "average": exact_avg("o_totalprice")},
+    totals = grouped(orders, "o_custkey", {"total": exact_sum("o_totalprice", 2), "average": exact_avg("o_totalprice", 2)},
                      having="total > 100000")
     second = nth_per_group(orders, "o_custkey", [F.col("o_totalprice").desc()], 2, "o_orderkey")
     named = t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left_outer")

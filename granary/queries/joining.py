@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.functions.udfs import shared_lookup_udf
+from granary.functions.udfs import random_salt_udf, shared_lookup_udf
 from granary.operators.joins import (
     adaptive_session,
     equi_join,
@@ -14,6 +14,7 @@ from granary.operators.joins import (
     lookup_literal,
     replicate,
     shuffle_hash_session,
+    unique_entries,
 )
 from granary.operators.setops import sort_rows, top_rows, union_all, union_by_name, union_distinct
 from granary.operators.skew import salted_join
@@ -123,6 +124,21 @@ def join_salted(t: Tables) -> DataFrame:
     return salted_join(skewed_events(t), users(t), "user_key", salt_from=["event_id"], strategy="merge")
 
 
+@query(f"""SELECT c_custkey AS user_key, c_name, c_mktsegment, event_id, value
+           FROM customer LEFT JOIN events ON c_custkey = {SKEWED_USER}""")
+def join_skewed_right(t: Tables) -> DataFrame:
+    """Customers with their events, most of which belong to one customer: the heavy key is on the right of an outer join."""
+    return salted_join(users(t), skewed_events(t), "user_key", right_heavy=True)
+
+
+@query(SKEWED_SQL)
+def join_random_salt(t: Tables) -> DataFrame:
+    """The skewed join with a random salt on one side and all salts on the other."""
+    salted = skewed_events(t).withColumn("salt", random_salt_udf(8)("event_id"))
+    copies = replicate(users(t), 8, "salt")
+    return salted.join(copies, ["user_key", "salt"], "left_outer").drop("salt")
+
+
 @query(SKEWED_SQL)
 def join_adaptive(t: Tables) -> DataFrame:
     adaptive = t.through(adaptive_session(t.spark))
@@ -134,13 +150,18 @@ def lookup_map(t: Tables) -> DataFrame:
     return lookup(t("supplier").select("s_suppkey", "s_nationkey"), "s_nationkey", t("nation"), "n_nationkey", "n_name")
 
 
-@query("SELECT s_suppkey, s_nationkey, n_name FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey")
+NULLABLE_KEY = "CASE WHEN s_suppkey % 3 <> 0 THEN CAST(s_nationkey AS BIGINT) END"
+
+
+@query(f"SELECT s_suppkey, {NULLABLE_KEY} AS nation_key, n_name FROM supplier LEFT JOIN nation ON {NULLABLE_KEY} = n_nationkey")
 def lookup_udf(t: Tables) -> DataFrame:
-    supplier, nation = t("supplier").select("s_suppkey", "s_nationkey"), t("nation").select("n_nationkey", "n_name")
+    """A lookup through a shared mapping, with keys that are null; a key listed twice raises at any size."""
+    supplier = t("supplier").select("s_suppkey", F.expr(NULLABLE_KEY).alias("nation_key"))
+    nation = t("nation").select(F.col("n_nationkey").cast("bigint").alias("nation_key"), "n_name")
     if not proven_small(nation):
-        return lookup(supplier, "s_nationkey", nation, "n_nationkey", "n_name")
-    names = dict(nation.collect())
-    return supplier.withColumn("n_name", shared_lookup_udf(t.spark, names)("s_nationkey"))
+        return lookup(supplier, "nation_key", nation, "nation_key", "n_name")
+    names = dict(unique_entries(nation, "nation_key").collect())
+    return supplier.withColumn("n_name", shared_lookup_udf(t.spark, names)("nation_key"))
 
 
 STATUS_NAMES = {"F": "finished", "O": "open"}

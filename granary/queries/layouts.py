@@ -6,11 +6,13 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from granary.operators.caching import keep
 from granary.operators.layout import file_stats, optimize_files, point_lookup
+from granary.operators.partitioning import partition_rows, repartition_even, shrink_partitions
 from granary.queries.registry import Tables, query
 from granary.session import scratch_path
 from granary.sinks.files import write_partitioned
-from granary.sources.columnar import read_parquet
+from granary.sources.columnar import read_parquet, read_partitioned
 
 
 @query("""SELECT 'orders.parquet' AS file_name, min(o_orderkey) AS min_value, max(o_orderkey) AS max_value, count(*) AS rows
@@ -31,15 +33,25 @@ def orders_by_status(t: Tables) -> str:
 @query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders")
 def layout_compact(t: Tables) -> DataFrame:
     path = orders_by_status(t)
-    optimize_files(t.spark, path, "o_orderstatus", where="o_orderstatus = 'F'")
-    return read_parquet(t.spark, path)
+    optimize_files(t.spark, path, f"{path}-compact", "o_orderstatus", where="o_orderstatus = 'F'")
+    return read_partitioned(t.spark, f"{path}-compact")
+
+
+@query("SELECT o_orderkey, o_totalprice, lpad(CAST(o_custkey % 13 AS VARCHAR), 3, '0') AS dept FROM orders")
+def layout_text_partitions(t: Tables) -> DataFrame:
+    """Partition values such as 001 stay text through a write, the compaction of one of them and a read."""
+    path = scratch_path(t.spark, "orders-by-dept")
+    dept = F.lpad((F.col("o_custkey") % 13).cast("string"), 3, "0")
+    write_partitioned(t("orders").select("o_orderkey", "o_totalprice", dept.alias("dept")), path, "dept")
+    optimize_files(t.spark, path, f"{path}-compact", "dept", where="dept = '001'")
+    return read_partitioned(t.spark, f"{path}-compact")
 
 
 @query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders")
 def layout_cluster(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "orders-clustered")
     t("orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus").write.parquet(f"{path}/plain")
-    optimize_files(t.spark, f"{path}/plain", cluster_by=["o_custkey", "o_totalprice"], destination=f"{path}/clustered")
+    optimize_files(t.spark, f"{path}/plain", f"{path}/clustered", cluster_by=["o_custkey", "o_totalprice"])
     return read_parquet(t.spark, f"{path}/clustered")
 
 
@@ -48,17 +60,45 @@ def layout_cluster(t: Tables) -> DataFrame:
 def layout_lookup(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "orders-by-status")
     write_partitioned(t("orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"), path, "o_orderstatus")
-    optimize_files(t.spark, path, "o_orderstatus", cluster_by="o_custkey")
+    optimize_files(t.spark, path, f"{path}-clustered", "o_orderstatus", cluster_by="o_custkey")
     wanted = t("orders").where(F.col("o_orderstatus") == "F").agg(F.max("o_custkey").alias("key")).head()["key"]
-    return point_lookup(t.spark, path, {"o_orderstatus": "F", "o_custkey": wanted})
+    return point_lookup(t.spark, f"{path}-clustered", {"o_orderstatus": "F", "o_custkey": wanted})
 
 
-@query("""SELECT o_orderstatus, 'above 200000' AS part, count(*) AS rows FROM orders WHERE o_totalprice > 200000 GROUP BY o_orderstatus
-          UNION ALL
-          SELECT o_orderstatus, 'above 300000', count(*) FROM orders WHERE o_totalprice > 300000 GROUP BY o_orderstatus""")
-def cache_reuse(t: Tables) -> DataFrame:
-    kept = t("orders").where("o_totalprice > 200000").select("o_orderstatus", "o_totalprice").persist(StorageLevel.MEMORY_AND_DISK)
-    parts = [kept.where(f"o_totalprice > {limit}").groupBy("o_orderstatus").agg(F.lit(f"above {limit}").alias("part"),
-                                                                              F.count(F.lit(1)).alias("rows"))
+PARTS_SQL = """SELECT o_orderstatus, 'above 200000' AS part, count(*) AS rows FROM orders WHERE o_totalprice > 200000 GROUP BY o_orderstatus
+               UNION ALL
+               SELECT o_orderstatus, 'above 300000', count(*) FROM orders WHERE o_totalprice > 300000 GROUP BY o_orderstatus"""
+
+
+def _parts(orders: DataFrame) -> DataFrame:
+    parts = [orders.where(f"o_totalprice > {limit}").groupBy("o_orderstatus").agg(F.lit(f"above {limit}").alias("part"),
+                                                                                F.count(F.lit(1)).alias("rows"))
              for limit in (200000, 300000)]
     return parts[0].unionAll(parts[1])
+
+
+@query(PARTS_SQL)
+def cache_reuse(t: Tables) -> DataFrame:
+    return _parts(keep(t("orders").where("o_totalprice > 200000").select("o_orderstatus", "o_totalprice")))
+
+
+@query(PARTS_SQL)
+def persist_level(t: Tables) -> DataFrame:
+    """The same with a frame that is kept on disk only."""
+    kept = keep(t("orders").where("o_totalprice > 200000").select("o_orderstatus", "o_totalprice"), StorageLevel.DISK_ONLY)
+    return _parts(kept)
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders")
+def partition_even(t: Tables) -> DataFrame:
+    """Rows stay the same through an even repartition and a reduction of partitions."""
+    return shrink_partitions(repartition_even(t("orders").select("o_orderkey", "o_custkey"), 16), 3)
+
+
+@query("SELECT count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders")
+def partition_parts(t: Tables) -> DataFrame:
+    """The rows of all single partitions add up to the table."""
+    placed = repartition_even(t("orders").select("o_orderkey"), 4)
+    parts = [partition_rows(placed, number) for number in range(4)]
+    whole = parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
+    return whole.agg(F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("keys"))

@@ -4,19 +4,66 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from granary.functions.text import parse_json, render_json
 from granary.operators.nested import expand_struct
 from granary.queries.registry import Tables, query
 from granary.session import scratch_path
 from granary.sinks.extracts import TARGET, multi_extract
-from granary.sinks.files import write_csv, write_few_files, write_json, write_orc, write_parquet, write_partitioned
+from granary.sinks.files import write_csv, write_files, write_json, write_orc, write_parquet, write_partitioned
 from granary.sinks.keyed import append_files, keyed_append, keyed_delete
-from granary.sinks.tables import publish_version, save_partitioned_table, save_table
-from granary.sources.columnar import read_nested, read_orc, read_parquet, read_table, with_source_file
-from granary.sources.delimited import read_csv, read_csv_plain, split_bad
-from granary.sources.documents import read_json, read_lines
-from granary.sources.rows import sequence_table
+from granary.sinks.tables import drop_versions, publish_version, save_partitioned_table, save_table
+from granary.sources.columnar import read_nested, read_orc, read_parquet, read_partitioned, read_table, with_source_file
+from granary.sources.delimited import mark_bad, read_csv, read_csv_plain
+from granary.sources.documents import read_json, read_json_document, read_lines
+from granary.sources.rows import rows_table, sequence_table
+
+REGION_RANKS = [(1, "first", 10.0), (2, None, None), (3, "third", 30.0), (3, "third", 30.0)]
+
+
+@query("""SELECT r_regionkey, r_name, rank_name, weight FROM region
+          JOIN (VALUES (1, 'first', CAST(10 AS DOUBLE)), (2, NULL, NULL), (3, 'third', 30), (3, 'third', 30)) v(r_regionkey, rank_name, weight)
+          USING (r_regionkey)""")
+def src_rows_ddl(t: Tables) -> DataFrame:
+    given = rows_table(t.spark, REGION_RANKS, "r_regionkey int, rank_name string, weight double")
+    return t("region").join(given, "r_regionkey")
+
+
+@query("SELECT n_nationkey, n_name, label FROM nation JOIN (VALUES (0, 'zero'), (7, 'seven')) v(n_nationkey, label) USING (n_nationkey)")
+def src_rows_struct(t: Tables) -> DataFrame:
+    schema = StructType([StructField("n_nationkey", IntegerType(), False), StructField("label", StringType())])
+    return t("nation").select("n_nationkey", "n_name").join(rows_table(t.spark, [(0, "zero"), (7, "seven")], schema), "n_nationkey")
+
+
+@query("SELECT r_regionkey, r_name, CAST(count(n_nationkey) AS BIGINT) AS nations FROM region JOIN nation ON r_regionkey = n_regionkey GROUP BY ALL")
+def src_json_multiline(t: Tables) -> DataFrame:
+    """One pretty-printed document per region with its nations, each in a file of its own."""
+    path = scratch_path(t.spark, "regions-json")
+    nations = t("nation").groupBy("n_regionkey").agg(F.collect_list("n_name").alias("nations"))
+    whole = t("region").join(nations, F.col("r_regionkey") == F.col("n_regionkey"))
+    document = F.to_json(F.struct("r_regionkey", "r_name", "nations"), {"pretty": "true"}).alias("value")
+    # a file cannot be split, so each small document gets its own
+    whole.select("r_regionkey", document).write.partitionBy("r_regionkey").text(path)
+    read = read_json_document(t.spark, f"{path}/*", "r_regionkey int, r_name string, nations array<string>")
+    return read.select("r_regionkey", "r_name", F.size("nations").cast("bigint").alias("nations"))
+
+
+@query("SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+def sink_managed_table(t: Tables) -> DataFrame:
+    """A managed table, read back through a copy of its rows before the table is dropped with its files."""
+    name = scratch_path(t.spark, "supplier").rpartition("/")[2].replace("-", "_")
+    save_table(t("supplier").select("s_suppkey", "s_name", "s_acctbal"), name)
+    rows = stored_rows(read_table(t.spark, name))
+    t.spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
+def stored_rows(df: DataFrame) -> DataFrame:
+    path = scratch_path(df.sparkSession, "rows")
+    write_parquet(df, path)
+    return read_parquet(df.sparkSession, path)
+
 
 CUSTOMER_SCHEMA = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 CUSTOMER_SQL = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
@@ -70,11 +117,26 @@ def dirty_orders(t: Tables) -> str:
                  CASE WHEN o_orderpriority = '5-LOW' OR o_orderstatus = 'P' THEN 1 ELSE 0 END AS bad
           FROM orders""")
 def src_csv_permissive(t: Tables) -> DataFrame:
-    good, bad = split_bad(read_csv(t.spark, dirty_orders(t), ORDER_FIELDS, bad_column="bad_record"), "bad_record")
+    parsed = read_csv(t.spark, dirty_orders(t), ORDER_FIELDS, bad_column="bad_record")
     # every kept line names its own key and customer
     kept_line = F.col("bad_record").startswith(F.concat_ws(",", "o_orderkey", "o_custkey", F.lit("")))
-    rows = good.withColumn("bad", F.lit(0)).unionByName(bad.withColumn("bad", kept_line.cast("int")).drop("bad_record"))
-    return rows.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    rows = mark_bad(parsed, "bad_record").withColumn("bad", F.when(F.col("is_bad"), kept_line.cast("int")).otherwise(0))
+    return rows.drop("is_bad", "bad_record").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+
+
+@query("""SELECT o_orderkey, o_orderpriority = '5-LOW' OR o_orderstatus = 'P' AS is_bad FROM orders""")
+def src_csv_split_keys(t: Tables) -> DataFrame:
+    """Only the keys of both halves: the verdict must not depend on the columns that are used."""
+    parsed = read_csv(t.spark, dirty_orders(t), ORDER_FIELDS, bad_column="bad_record")
+    return mark_bad(parsed, "bad_record").select("o_orderkey", "is_bad")
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def src_csv_failfast(t: Tables) -> DataFrame:
+    """Clean files in the mode that refuses any bad field."""
+    path = scratch_path(t.spark, "orders-clean")
+    write_csv(t("orders").select("o_orderkey", "o_custkey", "o_totalprice"), path, header=True)
+    return read_csv(t.spark, path, "o_orderkey bigint, o_custkey bigint, o_totalprice double", mode="FAILFAST")
 
 
 @query("""SELECT o_orderkey, o_custkey, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate
@@ -156,7 +218,7 @@ def src_file_name(t: Tables) -> DataFrame:
 @query("SELECT s_suppkey, s_name, s_acctbal FROM supplier")
 def sink_csv_one_file(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "supplier-csv")
-    write_few_files(t("supplier").drop("s_nationkey"), path)
+    write_files(t("supplier").drop("s_nationkey"), path, 1)
     return read_csv(t.spark, path, "s_suppkey bigint, s_name string, s_acctbal double")
 
 
@@ -207,10 +269,10 @@ def keyed_delete_version(t: Tables) -> DataFrame:
     name = root.rpartition("/")[2].replace("-", "_")
     publish_version(t("events").select("event_id", "event_type", "value"), name, root, by="event_type")
     gone = t("events").where(F.col("event_type") == "error").select("event_id")
-    publish_version(keyed_delete(read_table(t.spark, name), gone, "event_id"), name, root, by="event_type")
-    rows = read_table(t.spark, name)
-    t.spark.sql(f"DROP VIEW {name}")
-    return rows
+    path = publish_version(keyed_delete(read_table(t.spark, name), gone, "event_id"), name, root, by="event_type")
+    # the files outlive the catalog entries
+    drop_versions(t.spark, name)
+    return read_partitioned(t.spark, path)
 
 
 EXTRACTED = ("Nation_3", "NATION_7", "nation_11", "Nation_19")

@@ -3,35 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-_schemas: dict[str, StructType] = {}
-
-
 @dataclass(frozen=True)
 class Tables:
-    """The parquet tables of one data directory."""
+    """The parquet tables of one data directory, for one run of a query."""
 
     spark: SparkSession
     directory: str
+    schemas: dict[str, StructType] = field(default_factory=dict, repr=False)
 
     def __call__(self, name: str) -> DataFrame:
         path = self.path(name)
-        if path not in _schemas:
-            # each read without a schema starts a job that opens file footers; one per table is enough
-            _schemas[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_schemas[path]).parquet(path)
+        if path not in self.schemas:
+            # each read without a schema starts a job that opens file footers; one per table and run is enough
+            self.schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self.schemas[path]).parquet(path)
 
     def path(self, name: str) -> str:
         return f"{self.directory}/{name}.parquet"
 
     def through(self, spark: SparkSession) -> Tables:
         """The same tables read through another session."""
-        return Tables(spark, self.directory)
+        return Tables(spark, self.directory, self.schemas)
 
 
 @dataclass(frozen=True)

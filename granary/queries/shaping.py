@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from granary.functions.dates import format_date, in_zone, parse_date, year_text
 from granary.functions.text import joined_text, or_default, parse_json, render_json, replace_pattern
 from granary.functions.udfs import batch_udf, bonus, register_batch_udf
-from granary.operators.nested import expand_struct, explode_array, flatten_orders
+from granary.operators.nested import expand_struct, explode_array, flatten
 from granary.operators.projection import (
     case_map,
     cast_columns,
@@ -30,9 +30,9 @@ def proj_select(t: Tables) -> DataFrame:
     return customer.select("c_custkey", F.col("c_name"), F.expr("c_acctbal"), customer.c_nationkey, customer["c_mktsegment"])
 
 
-@query("SELECT CAST(c_custkey AS VARCHAR) AS emp_id, c_name AS name, CAST(c_nationkey AS BIGINT) AS department_id FROM customer")
+@query("SELECT CAST(c_custkey AS VARCHAR) AS key_text, c_name AS name, CAST(c_nationkey AS BIGINT) AS nation_key FROM customer")
 def proj_select_expr(t: Tables) -> DataFrame:
-    return t("customer").selectExpr("cast(c_custkey as string) as emp_id", "c_name as name", "cast(c_nationkey as bigint) as department_id")
+    return t("customer").selectExpr("cast(c_custkey as string) as key_text", "c_name as name", "cast(c_nationkey as bigint) as nation_key")
 
 
 @query("""SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, CAST(floor(o_totalprice) AS BIGINT) AS whole_price,
@@ -59,10 +59,10 @@ def proj_with_columns(t: Tables) -> DataFrame:
     })
 
 
-@query("""SELECT n_nationkey, n_name, 1 AS one, 'two' AS two, CAST(NULL AS VARCHAR) AS nothing, '2024-01-01 07:00' AS instant
+@query("""SELECT n_nationkey, n_name, 1 AS one, 'two' AS two, CAST(NULL AS VARCHAR) AS nothing, '2024-01-01 05:45' AS instant
           FROM nation""")
 def proj_literals(t: Tables) -> DataFrame:
-    instant = in_zone(F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), "Asia/Ho_Chi_Minh")
+    instant = in_zone(F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), "Asia/Kathmandu")
     return t("nation").select("n_nationkey", "n_name").withColumns({
         "one": F.lit(1), "two": F.lit("two"), "nothing": F.lit(None).cast("string"),
         "instant": F.date_format(instant, "yyyy-MM-dd HH:mm"),
@@ -145,9 +145,9 @@ def date_format(t: Tables) -> DataFrame:
     return t("orders").select("o_orderkey", format_date("o_orderdate").alias("day"), year_text("o_orderdate").alias("year"))
 
 
-@query("SELECT event_id, strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%d %H:%M:%S') AS local_time FROM events")
+@query("SELECT event_id, strftime(ts + INTERVAL 345 MINUTE, '%Y-%m-%d %H:%M:%S') AS local_time FROM events")
 def date_zone(t: Tables) -> DataFrame:
-    return t("events").select("event_id", format_date(in_zone("ts", "Asia/Ho_Chi_Minh"), "yyyy-MM-dd HH:mm:ss").alias("local_time"))
+    return t("events").select("event_id", format_date(in_zone("ts", "Asia/Kathmandu"), "yyyy-MM-dd HH:mm:ss").alias("local_time"))
 
 
 @query("SELECT o_orderkey, 1 AS before_today, 1 AS before_now FROM orders")
@@ -192,33 +192,30 @@ def json_render(t: Tables) -> DataFrame:
     return parsed.select("event_id", render_json("parsed").alias("unparsed"))
 
 
-ORDER_SCHEMA = ("contact array<string>, customer_id string, order_id string, "
-                "order_line_items array<struct<amount double, item_id string, qty long>>")
+SHIPMENT_SCHEMA = ("shipment bigint, buyer struct<key bigint, segment string>, marks array<string>, "
+                   "parcels array<struct<number int, part bigint, price double>>")
 
 
-def order_documents(t: Tables) -> DataFrame:
-    """JSON text of one order document per line item: two contacts and two items each."""
-    document = F.struct(
-        F.array(F.col("l_linenumber").cast("bigint"), F.col("l_linenumber").cast("bigint") + 100).alias("contact"),
-        F.concat(F.lit("C"), "l_suppkey").alias("customer_id"),
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_id"),
-        F.array(
-            F.struct(F.col("l_extendedprice").alias("amount"), F.concat(F.lit("P"), "l_partkey").alias("item_id"),
-                     F.col("l_quantity").cast("bigint").alias("qty")),
-            F.struct(F.col("l_discount").alias("amount"), F.lit("DISCOUNT").alias("item_id"), F.lit(1).cast("bigint").alias("qty")),
-        ).alias("order_line_items"))
-    return t("lineitem").select(render_json(document).alias("value"))
+def shipment_documents(t: Tables) -> DataFrame:
+    """JSON text of one document per order: its buyer, two marks and all its line items as parcels."""
+    parcel = F.struct(F.col("l_linenumber").alias("number"), F.col("l_partkey").alias("part"), F.col("l_extendedprice").alias("price"))
+    # an order has a handful of line items
+    parcels = t("lineitem").groupBy("l_orderkey").agg(F.collect_list(parcel).alias("parcels"))
+    orders = t("orders").join(parcels, F.col("o_orderkey") == F.col("l_orderkey"))
+    buyers = t("customer").select("c_custkey", "c_mktsegment")
+    whole = orders.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+    document = F.struct(F.col("o_orderkey").alias("shipment"),
+                        F.struct(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("segment")).alias("buyer"),
+                        F.array(F.col("o_orderstatus"), F.lower("o_orderpriority")).alias("marks"), "parcels")
+    return whole.select(render_json(document).alias("value"))
 
 
-@query("""SELECT 'C' || l_suppkey AS customer_id, l_orderkey || '-' || l_linenumber AS order_id,
-                 CASE i.n WHEN 0 THEN l_extendedprice ELSE l_discount END AS amount,
-                 CASE i.n WHEN 0 THEN 'P' || l_partkey ELSE 'DISCOUNT' END AS item_id,
-                 CASE i.n WHEN 0 THEN CAST(l_quantity AS BIGINT) ELSE 1 END AS qty,
-                 CAST(l_linenumber + c.d AS VARCHAR) AS contact_expanded
-          FROM lineitem, (VALUES (0), (1)) i(n), (VALUES (0), (100)) c(d)""")
+@query("""SELECT o_orderkey AS shipment, c_custkey AS key, c_mktsegment AS segment, l_linenumber AS number, l_partkey AS part,
+                 l_extendedprice AS price, CASE m.n WHEN 0 THEN o_orderstatus ELSE lower(o_orderpriority) END AS mark
+          FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN customer ON o_custkey = c_custkey, (VALUES (0), (1)) m(n)""")
 def json_flatten(t: Tables) -> DataFrame:
-    parsed = order_documents(t).select(parse_json("value", ORDER_SCHEMA).alias("parsed"))
-    return flatten_orders(expand_struct(parsed, "parsed"))
+    parsed = shipment_documents(t).select(parse_json("value", SHIPMENT_SCHEMA).alias("parsed"))
+    return flatten(expand_struct(expand_struct(parsed, "parsed"), "buyer"), {"parcels": "parcel", "marks": "mark"})
 
 
 @query("SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS component FROM embeddings")

@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 _local_scratch: str | None = None
+_made: list[str] = []
 
 
 def build_session(app: str = "granary", master: str | None = None, conf: Mapping[str, object] | None = None) -> SparkSession:
@@ -73,4 +74,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if _local_scratch is None:
             _local_scratch = tempfile.mkdtemp(prefix="granary-")
         base = _local_scratch
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.append(f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete every scratch directory this program has asked for, once no lazy result needs them; returns how many there were."""
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    dropped = 0
+    while _made:
+        path = files.Path(_made.pop())
+        dropped += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return dropped

@@ -34,6 +34,12 @@ def write_partitioned(df: DataFrame, path: str, by: str, mode: str = "error", fo
     df.hint("rebalance", by).write.mode(mode).partitionBy(by).format(format).save(path)
 
 
+def write_files(df: DataFrame, path: str, files: int = 1, format: str = "csv", header: bool = True, mode: str = "error") -> None:
+    """Exactly ``files`` files, however large; a frame without rows gives one. The tasks that compute ``df`` stay parallel."""
+    writer = df.repartition(files).write.mode(mode).format(format)
+    (writer.option("header", header) if format == "csv" else writer).save(path)
+
+
 def write_few_files(df: DataFrame, path: str, format: str = "csv", header: bool = True, mode: str = "error",
                     bytes_per_file: int = 256 * 1024 * 1024) -> int:
     """A single file if the measured data fit into ``bytes_per_file``, else as few files of that size as needed.
@@ -41,8 +47,7 @@ def write_few_files(df: DataFrame, path: str, format: str = "csv", header: bool
     Returns the number of files asked for. The tasks that compute ``df`` stay parallel; only the writing is narrowed.
     """
     files = max(1, math.ceil(measured_bytes(df) / bytes_per_file))
-    writer = df.repartition(files).write.mode(mode).format(format)
-    (writer.option("header", header) if format == "csv" else writer).save(path)
+    write_files(df, path, files, format, header, mode)
     return files
 
 

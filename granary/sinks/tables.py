@@ -6,8 +6,10 @@ import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from granary.operators.sizing import estimated_bytes
+from granary.operators.sizing import scanned_bytes
 from granary.operators.skew import PIECE, copy_rows, heavy_keys, salt_rows
 
 
@@ -24,13 +26,15 @@ def save_partitioned_table(df: DataFrame, name: str, by: str, path: str | None =
 
 
 def bucket_count(*frames: DataFrame, bytes_per_bucket: int = 512 * 1024 * 1024) -> int:
-    """Buckets for tables that will be joined or grouped: one per core, more if the largest frame needs them.
+    """Buckets for tables that will be joined or grouped: one per core, more if the largest frame needs them, as many as Spark allows.
 
-    A bucket is read by one task, so its size must not grow with the data.
+    A bucket is read by one task, so its size must not grow with the data. What counts is the size of what the frames read, not the
+    optimizer's guess at a join's result, which is the product of its inputs.
     """
-    largest = max(estimated_bytes(df) for df in frames)
+    largest = max(scanned_bytes(df) for df in frames)
     needed = math.ceil(largest / bytes_per_bucket) if math.isfinite(largest) else 0
-    return max(frames[0].sparkSession.sparkContext.defaultParallelism, needed, 2)
+    session = frames[0].sparkSession
+    return min(max(session.sparkContext.defaultParallelism, needed, 2), int(session.conf.get("spark.sql.sources.bucketing.maxBuckets")))
 
 
 def _save_buckets(df: DataFrame, name: str, buckets: int, columns: list[str], path: str | None, mode: str) -> None:
@@ -87,10 +91,24 @@ def bucketed_join(spark: SparkSession, left: str, right: str, key: str, how: str
 def publish_version(df: DataFrame, name: str, root: str, by: str | None = None) -> str:
     """Write a new version of a table below ``root`` and point the view ``name`` to it in one step.
 
-    Readers see the old version or the new one, never a mixture, and ``df`` may be computed from the old one. Returns the new path.
+    Readers see the old version or the new one, never a mixture, and ``df`` may be computed from the old one. Each version is a table
+    of the catalog with the types of ``df``, so a partition value such as ``001`` stays text. An empty text cannot be told from null
+    in a partition directory and raises. Returns the new path.
     """
-    path = f"{root.rstrip('/')}/version-{uuid.uuid4().hex}"
+    version = uuid.uuid4().hex
+    path, table = f"{root.rstrip('/')}/version-{version}", f"{name}_{version}"
+    if by and isinstance(df.schema[by].dataType, T.StringType):
+        empty = F.raise_error(F.lit(f"an empty text in partition column {by}")).cast("string")
+        df = df.withColumn(by, F.when(F.col(by) == "", empty).otherwise(F.col(by)))
     writer = df.hint("rebalance", by).write.partitionBy(by) if by else df.write
-    writer.parquet(path)
-    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
+    writer.format("parquet").option("path", path).saveAsTable(table)
+    columns = ", ".join(f"`{column}`" for column in df.columns)
+    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {table}")
     return path
+
+
+def drop_versions(spark: SparkSession, name: str) -> None:
+    """Remove the view ``name`` and the catalog entries of all its versions; the files stay."""
+    spark.sql(f"DROP VIEW IF EXISTS {name}")
+    for table in spark.catalog.listTables(pattern=f"{name}_*"):
+        spark.sql(f"DROP TABLE {table.name}")

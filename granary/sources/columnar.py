@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from granary.session import profile_session
+
+TEXT_PARTITIONS = {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -11,6 +16,15 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_partitioned(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
+    """Parquet files in partition directories, with the partition values as the text that stands in the path, or as ``schema`` says.
+
+    A plain read guesses: it takes ``dept=001`` for the number 1.
+    """
+    session = profile_session(spark, TEXT_PARTITIONS)
+    return (session.read if schema is None else session.read.schema(schema)).parquet(path)
+
+
 def read_orc(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.orc(path)
 

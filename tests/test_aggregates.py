@@ -40,8 +40,8 @@ def test_counts_skip_nulls_and_rows_do_not(staff):
 
 
 def test_sums_of_text_are_doubles(staff):
-    result = grouped(staff, "dept", {"total": F.sum("salary"), "average": F.avg("salary"), "exact": exact_sum("salary"),
-                                     "exact_average": exact_avg("salary")})
+    result = grouped(staff, "dept", {"total": F.sum("salary"), "average": F.avg("salary"), "exact": exact_sum("salary", 0),
+                                     "exact_average": exact_avg("salary", 0)})
     assert [kind for _, kind in result.dtypes] == ["string", "double", "double", "double", "double"]
     assert rows(result)[1] == ("10", 61000.0, 30500.0, 61000.0, 30500.0)
     assert rows(result)[0] == (None, None, None, None, None)
@@ -49,10 +49,21 @@ def test_sums_of_text_are_doubles(staff):
 
 def test_exact_sum_does_not_depend_on_order(spark):
     df = spark.range(100_000).select((F.col("id") % 1000 / 100).alias("x"))
-    sums = {df.repartition(n).agg(exact_sum("x")).head()[0] for n in (1, 3, 7)}
+    sums = {df.repartition(n).agg(exact_sum("x", 2)).head()[0] for n in (1, 3, 7)}
     assert sums == {499500.0}
 
 
+def test_exact_sum_refuses_what_it_would_cut(spark):
+    small = spark.range(1000).select(F.lit(0.004).alias("x"))
+    assert small.agg(exact_sum("x", 3)).head()[0] == 4.0
+    with pytest.raises(Exception, match="does not fit 2 decimals"):
+        small.agg(exact_sum("x", 2)).collect()
+    large = spark.createDataFrame([(1e17,), (2.0,), (None,)], "x double")
+    assert large.agg(exact_sum("x", 2)).head()[0] == 1e17 + 2
+    assert large.agg(exact_avg("x", 2)).head()[0] == (1e17 + 2) / 2
+    assert small.agg(sum_when("x", F.lit(True))).head()[0] == pytest.approx(4.0)
+
+
 def test_having(staff):
     result = grouped(staff, "dept", {"average": F.avg("salary")}, having="average > 40000")
     assert [row[0] for row in rows(result)] == ["20", "30"]
@@ -82,6 +93,18 @@ def test_observed_and_accumulated_sum(staff):
     assert accumulated_sum(numbers, "salary", F.lit(False)) == 0.0
 
 
+def test_shares_of_many_keys_are_not_rounded_away(spark):
+    shares = rows_per_key(spark.range(3_000_000).select((F.col("id") % 2_500_000).alias("k")), "k")
+    assert shares.where("share = 0").isEmpty()
+
+
+def test_nth_per_group_beyond_the_limit_of_the_optimizer(spark):
+    df = spark.range(6000).select(F.when(F.col("id") < 5000, 0).otherwise(F.col("id") % 3 + 1).alias("g"), "id")
+    found = nth_per_group(df.repartition(4, "g"), "g", [F.col("id").desc()], 1001, "id")
+    assert rows(found.select("g", "id", "rn")) == [(0, 3999, 1001)]
+    assert str(found._jdf.queryExecution().executedPlan()).count("Window") >= 2
+
+
 def test_words_of_all_scripts(spark):
     df = spark.createDataFrame([("Über-Größe, über\tété!",), ("été 42 a_b  ",), (None,), ("",), ("...",)], "t string")
     assert dict(rows(word_count(df, "t"))) == {"über": 2, "größe": 1, "été": 2, "42": 1, "a": 1, "b": 1}

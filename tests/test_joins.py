@@ -89,7 +89,7 @@ def test_lookup_in_a_large_table_is_not_broadcast(spark, staff, depts, tmp_path)
         large = lookup(staff, "dept", stored, "dept", "dept_name", max_bytes=100)
         small = lookup(staff, "dept", stored, "dept", "dept_name")
         assert rows(large) == rows(small)
-        assert count_nodes(large, "SortMergeJoin") == 1
+        assert count_nodes(large, "SortMergeJoin") == 2, "the entries with their counts, then the rows with the entries"
         assert count_nodes(small, "BroadcastHashJoin") == 1
 
 
@@ -233,6 +233,27 @@ def test_heavy_key_is_spread_over_tasks(hot, side):
     assert PIECES not in copied.columns and PIECES not in salted.columns
 
 
+def test_heavy_key_is_spread_behind_a_shuffle_on_it(hot):
+    placed = hot.repartition(8, "k")
+    salted = salt_rows(placed, heavy_keys(placed, "k", 16), "k", 16)
+    assert salted.where("k = 7").select(PIECE).distinct().count() > 5
+
+
+@pytest.mark.parametrize("how", ["inner", "left_outer"])
+def test_salted_join_with_a_heavy_key_on_the_right(hot, side, how):
+    left = side.unionByName(side.selectExpr("k + 1000 as k", "s"))
+    expected = rows(left.join(hot, "k", how).select("k", "s", "v"))
+    assert rows(salted_join(left, hot, "k", 8, how, right_heavy=True)) == expected
+    assert rows(salted_join(left, hot.repartition(4, "k"), "k", 8, how, right_heavy=True)) == expected
+
+
+def test_joins_refuse_a_name_on_both_sides(hot, side):
+    with pytest.raises(ValueError, match="both sides"):
+        salted_join(hot, side.withColumn("v", F.lit(1)), "k")
+    with pytest.raises(ValueError, match="both sides"):
+        join_left_when(hot, side, {"k": "k"}, F.lit(True))
+
+
 def test_salt_is_the_same_in_every_run(hot):
     heavy = heavy_keys(hot, "k", 16)
     salted = salt_rows(hot, heavy, "k", 16)

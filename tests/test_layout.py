@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from granary.operators.layout import cluster, curve_bits, file_bytes, file_stats, optimize_files, point_lookup, with_curve_key
 from granary.plans.inspect import plan_text
+from granary.sources.columnar import read_partitioned
 from tests.fixtures import rows
 
 STATUS = "o_orderstatus"
@@ -49,49 +50,58 @@ def test_file_bytes(spark, by_status):
     assert file_bytes(spark, by_status, "o_orderstatus = 'none'") == 0
 
 
-def test_compaction_of_one_partition_leaves_the_others_alone(spark, orders, by_status):
-    before = {status: files(by_status, status) for status in "FOP"}
-    assert optimize_files(spark, by_status, STATUS, where="o_orderstatus = 'F'") == 1
-    after = {status: files(by_status, status) for status in "FOP"}
-    assert len(after["F"]) == 1 and not after["F"] & before["F"]
-    assert (after["O"], after["P"]) == (before["O"], before["P"])
+def test_compaction_of_one_partition_copies_the_others(spark, orders, by_status, tmp_path):
+    before, target = {status: files(by_status, status) for status in "FOP"}, str(tmp_path / "target")
+    assert optimize_files(spark, by_status, target, STATUS, where="o_orderstatus = 'F'") == 1
+    assert len(files(target, "F")) == 1 and len(files(target, "O")) > 1
+    assert {status: files(by_status, status) for status in "FOP"} == before
     assert rows(spark.read.parquet(by_status)) == rows(orders)
+    assert rows(spark.read.parquet(target)) == rows(orders)
 
 
-def test_compaction_to_a_file_size(spark, orders, by_status):
-    target = 40_000
-    aimed = optimize_files(spark, by_status, STATUS, target_bytes=target)
-    made = [name for status in "FOP" for name in files(by_status, status)]
+def test_compaction_to_a_file_size(spark, orders, by_status, tmp_path):
+    bound, target = 40_000, str(tmp_path / "target")
+    aimed = optimize_files(spark, by_status, target, STATUS, target_bytes=bound)
+    made = [name for status in "FOP" for name in files(target, status)]
     assert 1 < aimed <= len(made) <= aimed + 3 < 36
-    assert rows(spark.read.parquet(by_status)) == rows(orders)
+    assert rows(spark.read.parquet(target)) == rows(orders)
 
 
-def test_partitions_can_go_to_a_destination(spark, orders, by_status, tmp_path):
-    before = files(by_status, "F") | files(by_status, "O") | files(by_status, "P")
-    target = str(tmp_path / "target")
-    optimize_files(spark, by_status, STATUS, where="o_orderstatus in ('F', 'O')", cluster_by="o_custkey", destination=target)
-    assert files(by_status, "F") | files(by_status, "O") | files(by_status, "P") == before
-    assert rows(spark.read.parquet(target)) == rows(orders.where("o_orderstatus in ('F', 'O')"))
+def test_partition_values_stay_text(spark, tmp_path):
+    source, target = str(tmp_path / "source"), str(tmp_path / "target")
+    df = spark.createDataFrame([(1, "001"), (2, "1"), (3, "002"), (4, None)], "id int, dept string")
+    df.write.partitionBy("dept").parquet(source)
+    optimize_files(spark, source, target, "dept", where="dept = '001'")
+    assert rows(read_partitioned(spark, target)) == rows(df)
+    assert dict(read_partitioned(spark, target).dtypes)["dept"] == "string"
+    assert dict(read_partitioned(spark, target, "id int, dept int").dtypes)["dept"] == "int"
+
+
+def test_file_names_do_not_matter(spark, tmp_path):
+    source = tmp_path / "source"
+    spark.range(1000).write.parquet(str(source))
+    for file in source.glob("*.parquet"):
+        file.rename(file.with_suffix(".data"))
+    assert file_bytes(spark, str(source)) == sum(file.stat().st_size for file in source.glob("*.data"))
 
 
 def test_filters_that_would_lose_rows_are_refused(spark, orders, by_status, tmp_path):
     with pytest.raises(ValueError, match="o_custkey"):
-        optimize_files(spark, by_status, STATUS, where="o_orderstatus = 'F' and o_custkey > 10")
+        optimize_files(spark, by_status, str(tmp_path / "y"), STATUS, where="o_orderstatus = 'F' and o_custkey > 10")
     plain = str(tmp_path / "plain")
     orders.write.parquet(plain)
     with pytest.raises(ValueError):
-        optimize_files(spark, plain)
-    with pytest.raises(ValueError):
-        optimize_files(spark, plain, where="o_custkey > 10", destination=str(tmp_path / "x"))
+        optimize_files(spark, plain, str(tmp_path / "x"), where="o_custkey > 10")
     assert rows(spark.read.parquet(by_status)) == rows(orders)
 
 
-def test_one_column_gives_disjoint_files(spark, orders, by_status):
-    optimize_files(spark, by_status, STATUS, where="o_orderstatus = 'F'", target_bytes=20_000, cluster_by="o_custkey")
-    stats = file_stats(spark.read.parquet(by_status).where("o_orderstatus = 'F'"), "o_custkey").orderBy("min_value").collect()
+def test_one_column_gives_disjoint_files(spark, orders, by_status, tmp_path):
+    target = str(tmp_path / "target")
+    optimize_files(spark, by_status, target, STATUS, where="o_orderstatus = 'F'", target_bytes=20_000, cluster_by="o_custkey")
+    stats = file_stats(spark.read.parquet(target).where("o_orderstatus = 'F'"), "o_custkey").orderBy("min_value").collect()
     assert len(stats) > 3
     assert all(one["max_value"] <= other["min_value"] for one, other in zip(stats, stats[1:]))
-    assert rows(spark.read.parquet(by_status)) == rows(orders)
+    assert rows(spark.read.parquet(target)) == rows(orders)
 
 
 def test_two_columns_narrow_both(spark, orders, tmp_path):
@@ -115,7 +125,7 @@ def test_curve_key_orders_each_column(spark):
             assert values == sorted(values), "the key rises with each column alone"
     with pytest.raises(ValueError):
         with_curve_key(df, ["a", "b"], bits=32)
-    assert [curve_bits(files, 2) for files in (1, 16, 1000, 10**6)] == [4, 5, 8, 8]
+    assert [curve_bits(files, 2) for files in (1, 16, 1000, 10**6)] == [4, 5, 8, 13]
 
 
 def test_curve_key_of_text_dates_and_nulls(spark):
@@ -130,13 +140,23 @@ def test_curve_key_of_text_dates_and_nulls(spark):
         with_curve_key(spark.createDataFrame([([1],)], "x array<int>"), ["x"])
 
 
+def test_long_common_beginnings_and_large_ids_are_told_apart(spark):
+    df = spark.range(20_000).select(F.concat(F.lit("https://example.org/page/"), F.lpad("id", 6, "0")).alias("url"),
+                                    (F.col("id") + 2**60).alias("big"), "id")
+    for column in ("url", "big"):
+        keyed = with_curve_key(df, [column, "id"], 4, "z")
+        assert keyed.select("z").distinct().count() >= 16
+        single = with_curve_key(df, [column], 6, "z").groupBy("z").count().collect()
+        assert len(single) > 48 and max(row["count"] for row in single) < 1000
+
+
 def test_heavy_value_is_cut_into_several_files(spark, tmp_path):
     plain, clustered = str(tmp_path / "plain"), str(tmp_path / "clustered")
     # a third of all rows are copies of one row
     spark.range(9000).selectExpr("if(id % 3 = 0, 5, id) as a", "if(id % 3 = 0, 5, id % 100) as b").write.parquet(plain)
     for columns in ("a", ["a", "b"]):
         target = f"{clustered}-{len(columns)}"
-        optimize_files(spark, plain, target_bytes=4_000, cluster_by=columns, destination=target)
+        optimize_files(spark, plain, target, target_bytes=4_000, cluster_by=columns)
         df = spark.read.parquet(target)
         holding = file_stats(df.where("a = 5"), "a").select("rows").collect()
         assert len(holding) > 2 and max(row[0] for row in holding) < 2500
@@ -146,7 +166,7 @@ def test_heavy_value_is_cut_into_several_files(spark, tmp_path):
 def test_empty_table(spark, orders, tmp_path):
     plain, clustered = str(tmp_path / "plain"), str(tmp_path / "clustered")
     orders.limit(0).write.parquet(plain)
-    optimize_files(spark, plain, cluster_by=["o_custkey", "o_totalprice"], destination=clustered)
+    optimize_files(spark, plain, clustered, cluster_by=["o_custkey", "o_totalprice"])
     assert spark.read.parquet(clustered).count() == 0
 
 

@@ -3,9 +3,10 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from granary.queries import REGISTRY
 from tests.oracle import connect, oracle_rows, spark_rows
 
-QUERIES = queries()
+QUERIES = {name: run for name, run in queries().items() if name in REGISTRY}
 ORACLES = oracle_sql()
 
 

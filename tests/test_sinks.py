@@ -5,12 +5,14 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from granary.operators.caching import keep, release_kept
 from granary.operators.skew import PIECE
-from granary.plans.inspect import count_nodes
-from granary.sinks.extracts import TARGET, multi_extract, select_extracts
+from granary.plans.inspect import count_nodes, plan_text
+from granary.session import drop_scratch, scratch_path
+from granary.sinks.extracts import TARGET, multi_extract, multi_extract_by_size, select_extracts
 from granary.sinks.files import run_fully, write_csv, write_few_files, write_json, write_orc, write_parquet, write_partitioned
 from granary.sinks.keyed import append_files, keyed_append, keyed_delete, new_rows
-from granary.sinks.tables import bucket_count, publish_version, save_bucketed, save_partitioned_table, save_table
+from granary.sinks.tables import bucket_count, drop_versions, publish_version, save_bucketed, save_partitioned_table, save_table
 from granary.sources.delimited import read_csv
 from tests.fixtures import STAFF, STAFF_SCHEMA, rows
 
@@ -149,6 +151,30 @@ def test_bucket_count_grows_with_the_data(spark, data):
     assert bucket_count(items) == 8
     assert bucket_count(items.limit(1), items, bytes_per_bucket=10_000) > 50
     assert bucket_count(spark.createDataFrame([(1,)], "k int")) >= 8
+    joined = items.join(items.select(F.col("l_orderkey").alias("k2")), F.col("l_orderkey") == F.col("k2"))
+    assert bucket_count(joined.join(items.select(F.col("l_orderkey").alias("k3")), F.col("k2") == F.col("k3"))) == 8
+
+
+def test_bucket_count_of_very_large_data(spark, monkeypatch):
+    monkeypatch.setattr("granary.sinks.tables.scanned_bytes", lambda df: 100 * 2.0**40)
+    assert bucket_count(spark.range(1)) == 100_000
+    monkeypatch.setattr("granary.sinks.tables.scanned_bytes", lambda df: 10 * 2.0**40)
+    assert bucket_count(spark.range(1)) == 10 * 2**40 // 2**29
+
+
+def test_keyed_append_of_any_type_without_a_sort_by_aggregate(spark, base):
+    new = spark.sql("select * from values (1, map('a', 1)), (5, map('b', 2)), (5, map('c', 3)), (null, null) as t(k, m)")
+    fresh = new_rows(base, new, "k")
+    assert sorted((row["k"] is None, row["k"], row["m"]) for row in fresh.collect()) == [(False, 5, {"c": 3}), (True, None, None)]
+    text = plan_text(keyed_append(base, base.selectExpr("k + 1 as k", "v"), "k"))
+    assert "SortAggregate" not in text
+
+
+def test_keyed_append_scans_little(spark, base, new, tmp_path):
+    for name, df in (("base", base), ("new", new)):
+        df.write.parquet(str(tmp_path / name))
+    one, other = (spark.read.parquet(str(tmp_path / name)) for name in ("base", "new"))
+    assert plan_text(keyed_append(one, other, "k")).count("FileScan") <= 4
 
 
 def test_keyed_append_with_large_new_frame(base, new, monkeypatch):
@@ -181,7 +207,29 @@ def test_publish_version(spark, base, tmp_path):
         assert rows(spark.table("keyed_view").select("k", "v")) == [(None, "n"), (2, "b")]
         assert rows(spark.read.parquet(first).select("k", "v")) == rows(base), "the old version stays readable"
     finally:
-        spark.sql("DROP VIEW IF EXISTS keyed_view")
+        drop_versions(spark, "keyed_view")
+    assert not [table for table in spark.catalog.listTables() if table.name.startswith("keyed_view")]
+
+
+def test_publish_version_keeps_types_and_refuses_empty_text(spark, tmp_path):
+    df = spark.createDataFrame([(1, "001"), (2, "1"), (3, None)], "k int, v string")
+    try:
+        publish_version(df, "typed_view", str(tmp_path / "versions"), by="v")
+        assert rows(spark.table("typed_view")) == rows(df) and spark.table("typed_view").schema["v"].dataType.simpleString() == "string"
+        with pytest.raises(Exception, match="empty text"):
+            publish_version(spark.createDataFrame([(1, "")], "k int, v string"), "typed_view", str(tmp_path / "versions"), by="v")
+        assert rows(spark.table("typed_view")) == rows(df)
+    finally:
+        drop_versions(spark, "typed_view")
+
+
+def test_scratch_and_kept_frames_can_be_dropped(spark):
+    path = scratch_path(spark, "dropped")
+    spark.range(3).write.parquet(path)
+    kept = keep(spark.range(5))
+    assert kept.count() == 5 and kept.storageLevel.useMemory
+    assert release_kept() >= 1 and not kept.storageLevel.useMemory
+    assert drop_scratch(spark) >= 1 and not os.path.exists(path)
 
 
 # extracts
@@ -195,7 +243,7 @@ def cities(spark):
 
 def test_multi_extract(spark, cities, tmp_path):
     path = str(tmp_path / "x")
-    assert multi_extract(cities.repartition(4), "country", ["gHana", "IRAN", "Chad"], path) == {"ghana": 1, "iran": 1}
+    multi_extract(cities.repartition(4), "country", ["gHana", "IRAN", "Chad"], path)
     assert sorted(d for d in os.listdir(path) if "=" in d) == ["extract=ghana", "extract=iran"]
     for value, expected in (("ghana", [(1, "Ghana"), (2, "GHANA")]), ("iran", [(3, "Iran"), (6, "iran")])):
         assert len(files(f"{path}/extract={value}")) == 1
@@ -206,7 +254,7 @@ def test_multi_extract(spark, cities, tmp_path):
 def test_multi_extract_cuts_large_values(spark, tmp_path):
     path = str(tmp_path / "x")
     big = spark.range(5000).select("id", F.expr("if(id % 5 < 4, 'Hot', 'cold')").alias("k"))
-    made = multi_extract(big, "k", ["hot", "cold"], path, bytes_per_file=20_000)
+    made = multi_extract_by_size(big, "k", ["hot", "cold"], path, bytes_per_file=20_000)
     assert made["hot"] > made["cold"] > 0
     for value, count in made.items():
         assert len(files(f"{path}/extract={value}")) == count
@@ -214,4 +262,6 @@ def test_multi_extract_cuts_large_values(spark, tmp_path):
 
 
 def test_multi_extract_without_matches(spark, cities, tmp_path):
-    assert multi_extract(cities, "country", ["Chad"], str(tmp_path / "x")) == {}
+    assert multi_extract_by_size(cities, "country", ["Chad"], str(tmp_path / "x")) == {}
+    multi_extract(cities, "country", ["Chad"], str(tmp_path / "y"))
+    assert not [d for d in os.listdir(tmp_path / "y") if "=" in d]

@@ -6,15 +6,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.functions.text import parse_json, render_json
-from granary.operators.nested import expand_struct, flatten_orders
+from granary.operators.nested import expand_struct, flatten
 from granary.plans.inspect import plan_text
 from granary.sources.columnar import read_nested, read_orc, read_parquet, with_source_file
-from granary.sources.delimited import count_rows, read_csv, read_csv_plain, split_bad
+from granary.sources.delimited import count_rows, mark_bad, read_csv, read_csv_plain, split_bad
 from granary.sources.documents import read_json, read_json_document, read_lines
 from granary.sources.rows import rows_table, sequence_table
 from tests.fixtures import (
-    ORDER_LINE,
-    ORDER_PRETTY,
+    SHIPMENT_LINE,
+    SHIPMENT_PRETTY,
     PEOPLE_FIELDS,
     PEOPLE_HEADER,
     PEOPLE_LINES,
@@ -24,7 +24,8 @@ from tests.fixtures import (
     write_lines,
 )
 
-ORDER_TYPES = "contact array<bigint>, customer_id string, order_id string, order_line_items array<struct<amount double, item_id string, qty bigint>>"
+SHIPMENT_TYPES = ("buyer struct<key bigint, segment string>, marks array<bigint>, "
+                  "parcels array<struct<number bigint, part bigint, price double>>, shipment bigint")
 
 
 @pytest.fixture
@@ -81,6 +82,14 @@ def test_split_bad_adds_up(spark, people):
     assert [row[0] for row in rows(good)] == [1, 2, 4]
     assert [row[0] for row in rows(bad)] == [3, 5]
     assert "bad_record" not in good.columns
+    # the same halves whatever is asked of them
+    assert (good.count(), bad.count()) == (3, 2)
+    assert [row[0] for row in rows(good.select("id"))] == [1, 2, 4]
+    assert [row[0] for row in rows(bad.select("id"))] == [3, 5]
+    assert rows(bad.select("bad_record")) == [(PEOPLE_LINES[2],), (PEOPLE_LINES[4],)]
+    marked = mark_bad(read_csv(spark, people, PEOPLE_FIELDS, bad_column="bad_record"), "bad_record")
+    assert rows(marked.select("id", "is_bad")) == [(1, False), (2, False), (3, True), (4, False), (5, True)]
+    assert plan_text(marked.select("id", "is_bad")).count("FileScan") == 1
 
 
 def test_csv_drop_malformed(spark, people):
@@ -133,33 +142,32 @@ def test_nested_directories(spark, tmp_path):
 
 
 def test_json_lines_inferred(spark, tmp_path):
-    df = read_json(spark, write_lines(tmp_path / "j", [ORDER_LINE]))
-    assert df.schema == T.StructType.fromDDL(ORDER_TYPES)
+    df = read_json(spark, write_lines(tmp_path / "j", [SHIPMENT_LINE]))
+    assert df.schema == T.StructType.fromDDL(SHIPMENT_TYPES)
 
 
 def test_json_document_over_many_lines(spark, tmp_path):
-    path = write_lines(tmp_path / "j", [ORDER_PRETTY])
-    single = read_json(spark, write_lines(tmp_path / "s", [ORDER_LINE]))
+    path = write_lines(tmp_path / "j", [SHIPMENT_PRETTY])
+    single = read_json(spark, write_lines(tmp_path / "s", [SHIPMENT_LINE]))
     assert rows(read_json_document(spark, path)) == rows(single)
 
 
 def test_json_declared_subset_and_override(spark, tmp_path):
-    path = write_lines(tmp_path / "j", [ORDER_LINE])
-    assert read_json(spark, path, "customer_id string, order_id string, contact array<long>").head() == ("K9", "N1", [111, 222])
-    assert read_json(spark, path, "contact array<string>").head()[0] == ["111", "222"]
+    path = write_lines(tmp_path / "j", [SHIPMENT_LINE])
+    assert read_json(spark, path, "shipment string, marks array<int>").head() == ("5", [7, 8])
+    assert read_json(spark, path, "marks array<string>").head()[0] == ["7", "8"]
 
 
 def test_lines_parsed_rendered_and_flattened(spark, tmp_path):
-    lines = read_lines(spark, write_lines(tmp_path / "t", [ORDER_LINE, "not json"]))
+    lines = read_lines(spark, write_lines(tmp_path / "t", [SHIPMENT_LINE, "not json"]))
     assert lines.columns == ["value"]
-    parsed = lines.withColumn("parsed", parse_json("value", ORDER_TYPES.replace("array<bigint>", "array<string>")))
-    assert parsed.where("value = 'not json'").head()["parsed"].order_id is None
+    parsed = lines.withColumn("parsed", parse_json("value", SHIPMENT_TYPES.replace("marks array<bigint>", "marks array<string>")))
+    assert parsed.where("value = 'not json'").head()["parsed"].shipment is None
     kept = parsed.where("value <> 'not json'")
-    assert kept.select(render_json("parsed").alias("j")).head()["j"].startswith('{"contact":["111","222"],"customer_id":"K9"')
-    flat = flatten_orders(expand_struct(kept.select("parsed"), "parsed"))
-    assert flat.columns == ["customer_id", "order_id", "amount", "item_id", "qty", "contact_expanded"]
-    assert rows(flat) == [("K9", "N1", 10.5, "X1", 3, "111"), ("K9", "N1", 10.5, "X1", 3, "222"),
-                          ("K9", "N1", 99.0, "X2", 1, "111"), ("K9", "N1", 99.0, "X2", 1, "222")]
+    assert kept.select(render_json("parsed").alias("j")).head()["j"].startswith('{"buyer":{"key":12,"segment":"AUTO"},"marks":["7","8"]')
+    flat = flatten(expand_struct(kept.select("parsed"), "parsed").select("shipment", "parcels", "marks"), {"parcels": "parcel", "marks": "mark"})
+    assert flat.columns == ["shipment", "number", "part", "price", "mark"]
+    assert rows(flat) == [(5, 1, 31, 2.5, "7"), (5, 1, 31, 2.5, "8"), (5, 2, 44, 90.0, "7"), (5, 2, 44, 90.0, "8")]
 
 
 def test_null_and_empty_arrays_drop_their_row(spark):

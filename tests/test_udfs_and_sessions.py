@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from granary.functions.udfs import batch_udf, bonus, random_salt_udf, register_batch_udf, shared_lookup_udf
+from granary.operators.joins import unique_entries
 from granary.operators.skew import spread
 from granary.operators.views import sql_over, view_session
 from granary.plans.inspect import plan_text
@@ -110,3 +111,16 @@ def test_views_are_private_and_values_bound(spark, pay):
     text = "select id from {pay} where id = :id"
     assert rows(sql_over(text, {"id": 3}, pay=pay)) == [(3,)]
     assert rows(sql_over("select id from {pay} where cast(id as string) = :id", {"id": "3 or 1 = 1"}, pay=pay)) == []
+
+
+def test_shared_lookup_of_large_keys_with_nulls(spark):
+    find = shared_lookup_udf(spark, {2**53: "even", 2**53 + 2: "next"})
+    df = spark.createDataFrame([(2**53,), (2**53 + 1,), (2**53 + 2,), (None,)], "k bigint").coalesce(1)
+    assert dict(df.select("k", find("k").alias("v")).collect()) == {2**53: "even", 2**53 + 1: None, 2**53 + 2: "next", None: None}
+
+
+def test_lookup_entries_listed_twice_raise(spark):
+    table = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, v string")
+    with pytest.raises(Exception, match="duplicate lookup key"):
+        unique_entries(table, "k").collect()
+    assert dict(unique_entries(table.where("v <> 'b'"), "k").collect()) == {1: "a", 2: "c"}
