@@ -6,17 +6,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm.common import same_columns
 from granary.llm.components import connected_components, stored
-from granary.llm.darts import band_hashes, portions, shingles, sketch, weighted_jaccard
+from granary.llm.darts import Shingles, band_hashes, portions, shingles, sketch, weighted_jaccard
 
 BANDS = 24
 ROWS = 6
 WORDS = 5
 SIMILARITY = 0.8
+FEW = 8
+NODES_PER_BLOCK = 1000
 
 
 def _row_key(doc_id: str, text: str):
@@ -62,6 +64,83 @@ def checked(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -
         run, "node bigint, leader bigint, linked boolean")
 
 
+def _many(found: Shingles, one: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The weighted Jaccard similarity of one text with each of many."""
+    hashes, weights = one
+    place = np.minimum(np.searchsorted(hashes, found.hashes), len(hashes) - 1)
+    common = np.where(hashes[place] == found.hashes, np.minimum(weights[place], found.weights), 0.0)
+    sums = np.add.reduceat(np.stack([common, found.weights]), found.starts[:-1], axis=1)
+    return sums[0] / (sums[1] + weights.sum() - sums[0])
+
+
+def _settled(rest: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """All links between nodes of one bucket but of different components: node, leader.
+
+    ``rest`` holds bucket, node and root. In each bucket the component with most nodes is not compared with itself; all other nodes
+    are, with everything. Both are cut into blocks of bounded size, and each pair of blocks is one group of rows with their texts,
+    compared inside its task: what leaves it are links alone.
+    """
+    sizes = rest.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("rows"))
+    sizes = sizes.groupBy("bucket").agg(F.max_by("root", "rows").alias("main"), F.max("rows").alias("largest"), F.sum("rows").alias("all"))
+
+    def blocks(rows: str) -> Column:
+        return F.ceil(F.expr(rows) / NODES_PER_BLOCK).cast("int")
+
+    placed = rest.join(sizes, "bucket").select("bucket", "node", "root", (F.col("root") != F.col("main")).alias("apart"),
+                                               blocks("largest").alias("mains"), blocks("all - largest").alias("others"))
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("apart"), F.col("others")).otherwise(F.col("mains"))).cast("int")
+    placed = placed.withColumn("own", own)
+    main = placed.where("NOT apart").withColumn("other", F.explode(F.expr("sequence(0, others - 1)"))).select(
+        "bucket", F.lit(True).alias("with_main"), F.col("own").alias("i"), F.col("other").alias("j"), "node", "root", "apart")
+    beside = placed.where("apart").withColumn("other", F.explode(F.expr("sequence(0, mains - 1)"))).select(
+        "bucket", F.lit(True).alias("with_main"), F.col("other").alias("i"), F.col("own").alias("j"), "node", "root", "apart")
+    among = placed.where("apart").withColumn("other", F.explode(F.expr("sequence(0, others - 1)"))).select(
+        "bucket", F.lit(False).alias("with_main"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "root", "apart")
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        nodes, roots = group["node"].to_numpy(), group["root"].to_numpy()
+        parts = [shingles(part, words) for part in portions(group["text"].tolist())]
+        every = [part.of(i) for part in parts for i in range(len(part.contents))]
+        links = []
+        for i in np.flatnonzero(group["apart"].to_numpy()):
+            similar = np.concatenate([_many(part, every[i]) for part in parts])
+            links += [(nodes[i], nodes[j]) for j in np.flatnonzero((similar >= similarity) & (roots != roots[i]))]
+        return pd.DataFrame(links, columns=["node", "leader"], dtype="int64")
+
+    groups = main.unionAll(beside).unionAll(among).join(texts, "node")
+    return groups.groupBy("bucket", "with_main", "i", "j").applyInPandas(compare, "node bigint, leader bigint").distinct()
+
+
+def _linked_nodes(buckets: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Node and root of the components that the comparisons within buckets give.
+
+    First one node of each bucket leads it, the one that meets most others: one aggregate, whatever the bucket's size. A bucket whose
+    nodes are then in one component is settled. In the others all pairs of different components are compared.
+    """
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    met = buckets.join(sizes, "bucket").groupBy("node").agg(F.sum("n").alias("met"))
+    # the sum leads, a hash settles ties: a single number, which an aggregate by hash can hold
+    turn = F.shiftleft(F.col("met"), 20) + F.pmod(F.xxhash64("node"), F.lit(1 << 20))
+    ranked = stored(buckets.join(met, "node").select("bucket", "node", turn.alias("turn")).join(sizes, "bucket"), "ranked")
+    first = ranked.groupBy("bucket").agg(F.max_by("node", "turn").alias("leader"))
+    pairs = ranked.join(first, "bucket").where("node <> leader").select("node", "leader").distinct()
+    links = stored(checked(pairs, texts, words, similarity), "checked").where("linked").select("node", "leader")
+    roots = connected_components(links.select(F.col("node").alias("a"), F.col("leader").alias("b")))
+    named = ranked.drop("turn").join(roots, "node", "left_outer").withColumn("root", F.coalesce("root", "node"))
+    several = named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    # a bucket of two has been compared
+    rest = stored(named.where("n > 2").join(several.select("bucket"), "bucket"), "unsettled")
+    if rest.isEmpty():
+        return roots
+    few = rest.where(F.col("n") <= FEW)
+    other = few.select("bucket", F.col("node").alias("leader"), F.col("root").alias("other"))
+    apart = few.join(other, "bucket").where("root <> other AND node < leader").select("node", "leader").distinct()
+    more = stored(checked(apart, texts, words, similarity), "checked").where("linked").select("node", "leader")
+    many = stored(_settled(rest.where(F.col("n") > FEW).drop("n"), texts, words, similarity), "settled")
+    links = links.unionAll(more).unionAll(many)
+    return connected_components(links.select(F.col("node").alias("a"), F.col("leader").alias("b")))
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", bands: int = BANDS, rows: int = ROWS, words: int = WORDS,
                     similarity: float = SIMILARITY) -> DataFrame:
     """One row per document: doc_id, key (of the row), class_id (the smallest doc_id of its class) and kept (the one row kind that stays).
@@ -69,9 +148,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     Two documents are linked if the weighted Jaccard similarity of their shingles (``words`` words, weighted by their counts) is at
     least ``similarity``; classes are the connected components. Exact copies, up to case and punctuation, meet by the fingerprint of
     their words and travel as one node, however many there are. Nodes are sketched by thrown darts, and nodes that agree in all
-    ranks of a band share a bucket. In each bucket every node is compared, by its whole text, with the least one. Those that differ
-    from it form the bucket again, with their own least node, until all are compared or linked: a bucket of copies costs one
-    comparison per node, and no node leaves a bucket without a link or a comparison with all leaders.
+    ranks of a band share a bucket. In each bucket every node is compared, by its whole text, with one leader. Where that leaves a
+    bucket in several components, all its pairs of different components are compared, in blocks of bounded size. So a bucket of copies
+    costs one comparison per node, and no link within a bucket that could join two components is lost.
 
     Documents without a word (null and empty texts too) are classes of their own. Rows that repeat an id and text are one kind: they
     have the same key and the same answer. A null id is greater than all others. An empty table gives no rows. Other columns are
@@ -82,27 +161,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     found = stored(sketched(keyed, bands, rows, words), "sketches")
     worded = found.where("node IS NOT NULL")
     # copies have equal bands, so any row of a node stands for all
-    buckets = worded.select("node", F.posexplode("bands").alias("band", "value")).select("node", F.xxhash64("band", "value").alias("bucket"))
-    buckets = stored(buckets.distinct(), "buckets")
-    nodes = worded.groupBy("node").agg(F.min("key").alias("key"))
-
-    rest, texts, links = buckets, None, None
-    while True:
-        leads = rest.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-        waiting = stored(rest.join(leads, "bucket").where("node <> leader"), "waiting")
-        pairs = waiting.select("node", "leader").distinct()
-        if texts is None:
-            # every later pair is one of nodes that were in some pair before
-            asked = pairs.select("node").unionAll(pairs.select(F.col("leader").alias("node"))).distinct().join(nodes, "node")
-            texts = stored(keyed.select("key", "text").join(asked, "key").groupBy("node").agg(F.min("text").alias("text")), "texts")
-        result = stored(checked(pairs, texts, words, similarity), "checked")
-        linked = result.where("linked").select(F.col("node").alias("a"), F.col("leader").alias("b"))
-        links = linked if links is None else links.unionAll(linked)
-        rest = waiting.join(result.where("NOT linked"), ["node", "leader"], "left_semi").select("node", "bucket")
-        rest = stored(rest, "rest")
-        if rest.isEmpty():
-            break
-    roots = connected_components(links)
+    single = worded.groupBy("node").agg(F.first("bands").alias("bands"))
+    buckets = single.select("node", F.posexplode("bands").alias("band", "value")).select(
+        "node", F.xxhash64("band", "value").alias("bucket"))
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    buckets = stored(buckets.join(sizes, "bucket"), "buckets")
+    nodes = worded.groupBy("node").agg(F.min("key").alias("key")).join(buckets.select("node").distinct(), "node")
+    texts = stored(keyed.select("key", "text").join(nodes, "key").groupBy("node").agg(F.min("text").alias("text")), "texts")
+    roots = _linked_nodes(buckets, texts, words, similarity)
 
     # a null id sorts last: the flag comes first in the order of rows
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
