@@ -145,7 +145,8 @@ def learn_profiles(docs: DataFrame, text: str = "text", lang: str = "lang") -> L
             made = bundles(order["_text"].tolist(), [place[name] for name in order["_lang"]], len(names))
             for name, vector in zip(names, np.rint(made).astype(np.int64)):
                 sums[name] = sums.get(name, 0) + vector
-        yield pd.DataFrame({"lang": list(sums), "vector": [vector.tolist() for vector in sums.values()]})
+        if sums:
+            yield pd.DataFrame({"lang": list(sums), "vector": [vector.tolist() for vector in sums.values()]})
 
     known = docs.select(F.col(f"`{text}`").alias("_text"), F.col(f"`{lang}`").alias("_lang")).where("_text IS NOT NULL AND _lang IS NOT NULL")
     partial = known.mapInPandas(add, "lang string, vector array<bigint>")

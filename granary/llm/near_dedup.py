@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -28,21 +29,19 @@ def _row_key(doc_id: str, text: str):
 def sketched(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int = WORDS) -> DataFrame:
     """Columns doc_id, key and text of ``docs`` turned to doc_id, key, the node (fingerprint of its words) and its band hashes.
 
-    A text without words has no node and no bands.
+    The node of a text without words is the fingerprint of the text itself; it has no bands.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            nodes, hashes = [], []
+            nodes, band_rows = [], []
             for part in portions([value or "" for value in batch["text"]]):
                 found = shingles(part, words)
-                nodes.append(found.contents.view(np.int64))
-                hashes.append(band_hashes(sketch(found, bands * rows), bands))
-            node = np.concatenate(nodes) if nodes else np.zeros(0, dtype=np.int64)
-            band = np.concatenate(hashes) if hashes else np.zeros((0, bands), dtype=np.int64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "key": batch["key"],
-                                "node": pd.array(node, dtype="Int64").copy() if len(node) else pd.array([], dtype="Int64"),
-                                "bands": [values if n else None for n, values in zip(node, band)]}).assign(
-                                    node=lambda made: made["node"].mask(made["node"] == 0))
+                hashes = band_hashes(sketch(found, bands * rows), bands)
+                for text, node, values in zip(part, found.contents.view(np.int64).tolist(), hashes):
+                    nodes.append(node or int.from_bytes(blake2b(text.encode(), digest_size=8).digest(), "little", signed=True))
+                    band_rows.append(values if node else None)
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "key": batch["key"], "node": np.array(nodes, dtype=np.int64),
+                                "bands": pd.Series(band_rows, dtype=object, index=batch.index)}, index=batch.index)
 
     return docs.mapInPandas(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key bigint, node bigint, bands array<bigint>")
 
@@ -152,14 +151,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     bucket in several components, all its pairs of different components are compared, in blocks of bounded size. So a bucket of copies
     costs one comparison per node, and no link within a bucket that could join two components is lost.
 
-    Documents without a word (null and empty texts too) are classes of their own. Rows that repeat an id and text are one kind: they
-    have the same key and the same answer. A null id is greater than all others. An empty table gives no rows. Other columns are
-    left out. Fingerprints have 64 bits.
+    Documents without a word are one class if their texts are equal; a null text is an empty one. Rows that repeat an id and text are
+    one kind: they have the same key and the same answer. A null id is greater than all others. An empty table gives no rows. Other
+    columns are left out. Fingerprints have 64 bits.
     """
     named = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    keyed = named.withColumn("key", _row_key("doc_id", "text"))
+    keyed = named.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("key", _row_key("doc_id", "text"))
     found = stored(sketched(keyed, bands, rows, words), "sketches")
-    worded = found.where("node IS NOT NULL")
+    worded = found.where("bands IS NOT NULL")
     # copies have equal bands, so any row of a node stands for all
     single = worded.groupBy("node").agg(F.first("bands").alias("bands"))
     buckets = single.select("node", F.posexplode("bands").alias("band", "value")).select(
@@ -172,21 +171,20 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
     # a null id sorts last: the flag comes first in the order of rows
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
-    firsts = worded.groupBy("node").agg(F.min(row).alias("first"))
+    firsts = found.groupBy("node").agg(F.min(row).alias("first"))
     firsts = firsts.join(roots, "node", "left_outer").withColumn("root", F.coalesce("root", "node"))
     best = firsts.groupBy("root").agg(F.min("first").alias("best"))
     classes = firsts.join(best, "root").select("node", F.col("best.doc_id").alias("class_id"), F.col("best.key").alias("class_key"))
-    joined = found.join(classes, "node", "left_outer")
-    alone = F.col("node").isNull()
-    return joined.select("doc_id", "key", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-                         (alone | (F.col("key") == F.col("class_key"))).alias("kept"))
+    joined = found.join(classes, "node")
+    return joined.select("doc_id", "key", "class_id", (F.col("key") == F.col("class_key")).alias("kept"))
 
 
 def keep_one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """``docs`` without near-duplicates: of each class the document with the smallest id stays, once; all its columns are kept."""
     found = near_duplicates(docs, text, doc_id, **options)
     gone = found.where("NOT kept").select(F.col("key").alias("_gone")).distinct()
-    rows = docs.withColumn("_row_key", _row_key(f"`{doc_id}`", f"`{text}`"))
+    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    rows = docs.withColumn("_row_text", whole).withColumn("_row_key", _row_key(f"`{doc_id}`", "_row_text"))
     kept = rows.join(gone, F.col("_row_key") == F.col("_gone"), "left_anti")
-    # rows that repeat id and text have one key; texts without words are not copies of each other
+    # rows that repeat id and text have one key
     return same_columns(kept.dropDuplicates(["_row_key"]), docs.columns)
