@@ -1,0 +1,58 @@
+import math
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from granary.llm.bitsliced import SlicedBlock, exact_top_k
+from granary.llm.queries import ORACLES, QUERIES
+from tests.oracle import connect, oracle_rows, spark_rows
+
+SCHEMA = "vec_id long, embedding array<double>"
+
+
+def brute(rows, is_query, k):
+    valid = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    result = []
+    for q, a in valid:
+        if is_query(q):
+            scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in valid if i != q and len(a) == len(b))
+            result += [(q, rank, i, -score) for rank, (score, i) in enumerate(scored[:k], 1)]
+    return sorted(result)
+
+
+def test_block_sums_and_picks_like_numpy():
+    draw = np.random.default_rng(5)
+    for rows, width, span in ((1, 3, 4), (64, 5, 9), (130, 16, 100), (1000, 8, 2)):
+        ids = draw.permutation(rows * 2)[:rows].astype(np.int64)
+        values = draw.integers(-span, span + 1, (rows, width))
+        block = SlicedBlock(ids, values)
+        for query in (values[0], np.zeros(width, dtype=np.int64), draw.integers(-span, span + 1, width)):
+            for k in (1, 7, rows, rows + 5):
+                found, scores = block.top(query, int(ids[0]), k)
+                exact = values @ query
+                order = [i for i in np.lexsort((ids, -exact)) if ids[i] != ids[0]][:k]
+                assert sorted(zip(found.tolist(), scores.tolist())) == sorted((int(ids[i]), int(exact[i])) for i in order)
+
+
+def test_search_equals_brute_force(spark):
+    draw = np.random.default_rng(2)
+    rows = [(i, draw.normal(0, 0.2, 6).tolist()) for i in range(300)]
+    rows += [(i, [0.1] * 6) for i in range(1000, 1100)]
+    rows += [(500, None), (501, []), (502, [0.1, None] + [0.0] * 4), (503, [float("nan")] * 6), (504, [float("inf")] + [0.0] * 5),
+             (None, [0.1] * 6), (505, [0.0] * 6), (520, [1.0, 2.0])]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    found = exact_top_k(docs, F.col("vec_id") % 20 == 0, k=5, rows_per_block=64, queries_per_block=8)
+    assert sorted(map(tuple, found.collect())) == brute(rows, lambda i: i % 20 == 0, 5)
+    assert exact_top_k(docs.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_repeated_rows_count_each(spark):
+    rows = [(20, [1.0, 0.0]), (20, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.5, 0.0])]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("rank", F.lit(1)).coalesce(1)
+    found = sorted(map(tuple, exact_top_k(docs, F.col("vec_id") % 20 == 0, k=3).collect()))
+    assert found == sorted(2 * [(20, 1, 1, 4096), (20, 2, 1, 4096), (20, 3, 2, 2048)])
+
+
+def test_query_equals_oracle(spark, data):
+    names, rows = spark_rows(QUERIES["op7_bit_sliced_top_k"](spark, data))
+    assert (names, rows) == oracle_rows(connect(data), ORACLES["op7_bit_sliced_top_k"])

@@ -1,0 +1,114 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from granary.llm.queries import QUERIES
+from granary.llm.toxicity import LexiconAutomaton, Term, ToxicityModel, learn_toxicity, score_toxicity
+from tests.llm.brute import edit_distance
+
+TERMS = [Term("moron", False, 5.0, 2.0), Term("trash", False, 4.0, 1.0), Term("scum", False, 4.0), Term("lowei", True, 6.0, 3.0),
+         Term("disgusting", False, 5.0, 2.0), Term("vequ", True, 3.0)]
+
+
+def slow_match(word):
+    """Fewest edits to a term it allows; a stem may be followed by anything."""
+    best = None
+    for number, term in enumerate(TERMS):
+        ends = range(len(word) + 1) if term.stem else [len(word)]
+        edits = min(edit_distance(word[:end], term.text) for end in ends)
+        if edits <= term.edits:
+            best = min(filter(None, [best, (edits, -(term.fuzzy if edits else term.exact), number)]))
+    return best
+
+
+def test_automaton_equals_edit_distance():
+    draw = random.Random(4)
+    automaton = LexiconAutomaton(TERMS)
+    words = {"", "m", "zebra", "lowei", "loweischaft", "lwei", "lowe", "loweii", "owei", "vequ", "vequx", "veq", "scumm", "scum"}
+    for term in TERMS:
+        for _ in range(400):
+            letters = list(term.text + draw.choice(["", "a", "xyz"]))
+            for _ in range(draw.randint(0, 2)):
+                place = draw.randrange(len(letters) + 1)
+                change = draw.choice("idr")
+                if change == "i":
+                    letters.insert(place, draw.choice("abmort0"))
+                elif letters and change == "d":
+                    letters.pop(min(place, len(letters) - 1))
+                elif letters:
+                    letters[min(place, len(letters) - 1)] = draw.choice("abmort0")
+            words.add("".join(letters))
+    for word in words:
+        found, slow = automaton.match(word), slow_match(word)
+        assert (found is None) == (slow is None), word
+        assert found is None or (found.edits, found.term) == (slow[0], slow[2]), word
+
+
+def test_automaton_starts_anew_when_it_is_full(monkeypatch):
+    monkeypatch.setattr("granary.llm.toxicity.AUTOMATON_STATES", 3)
+    automaton = LexiconAutomaton(TERMS)
+    assert [automaton.match(word) is not None for word in ("moron", "mor0n", "xyz", "trash", "moron")] == [True, True, False, True, True]
+
+
+def test_quotation_counts_less_than_abuse():
+    model = ToxicityModel(TERMS, [-3.0, 1.5, 1.5, 0.3])
+    abuse = model.score(model.matches("you moron, you are trash"))
+    quoted = model.score(model.matches('they wrote "you moron, you are trash" and left'))
+    spread_out = model.score(model.matches("moron " + "word " * 40 + "trash"))
+    assert abuse > 0.5 > quoted and abuse > spread_out > model.score(model.matches("nothing here"))
+    assert [(m["word"], m["edits"], m["quoted"]) for m in model.matches('A Mor0n "trashh" loweischaft')] == [
+        ("mor0n", 1, False), ("trashh", 1, True), ("loweischaft", 0, False)]
+    assert model.matches("") == []
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    draw = random.Random(1)
+    clean = ["".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(200)]
+    rows, labels = [], []
+    for i in range(400):
+        words = [draw.choice(clean) for _ in range(30)]
+        if i % 4 == 0:
+            words[draw.randrange(30)] = "moron"
+            words[draw.randrange(30)] = "lowei" + draw.choice(["ist", "en", "schaft", "um", "ar"])
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0)))
+    return spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+
+
+def test_learned_terms_and_scores(spark, small):
+    docs, labels = small
+    noise = spark.createDataFrame([(None, 1), (1, None), (2, 7), (99999, 1)], "doc_id long, toxic int")
+    model = learn_toxicity(docs, labels.unionAll(noise))
+    assert "moron" in {term.text for term in model.terms}
+    assert any(term.stem and "lowei".startswith(term.text[:5]) for term in model.terms)
+    extra = spark.createDataFrame([(1000, None), (1001, ""), (1002, "you mor0n"), (1002, "you mor0n"), (None, "moron loweixyz")],
+                                  "doc_id long, text string")
+    made = score_toxicity(docs.unionAll(extra).selectExpr("*", "'x' as Score"), model)
+    assert made.columns == ["doc_id", "text", "score", "predicted", "matches"]
+    rows = made.collect()
+    assert len(rows) == 405 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
+    assert np.mean([r.predicted == (r.doc_id % 4 == 0) for r in rows if r.doc_id is not None and r.doc_id < 400]) > 0.98
+    by_id = {r.doc_id: r for r in rows}
+    assert by_id[1000].predicted == by_id[1001].predicted == 0 and by_id[1000].matches == []
+    assert by_id[1002].matches[0].edits == 1 and by_id[None].predicted == 1
+
+
+def test_without_labels_everything_is_clean(spark, small):
+    docs, labels = small
+    model = learn_toxicity(docs, labels.limit(0))
+    assert model.terms == [] and {r.predicted for r in score_toxicity(docs.limit(5), model).collect()} == {0}
+    assert score_toxicity(docs.limit(0), model).count() == 0
+    assert learn_toxicity(docs.limit(0), labels).terms == []
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = QUERIES["op3_toxicity"](spark, sf).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    held = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    assert np.mean([predicted == label for predicted, label in held]) > 0.93
+    assert np.mean([predicted for predicted, label in held if label]) > 0.5

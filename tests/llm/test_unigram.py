@@ -1,0 +1,158 @@
+import random
+import struct
+import zlib
+
+import numpy as np
+import pytest
+from sentencepiece import SentencePieceProcessor
+
+from granary.llm.queries import PIECES, QUERIES, vocabulary
+from granary.llm.unigram import DoubleArrayTrie, Pieces, UnigramCodec, decode_ids, encode_texts
+
+ODD = ["", " ", "a", " a", "  a b  ", "x\n\ny \n z", "日本語 😀 é", "naïvé  ", "\x00\x01", "ab" * 3000, "the end", "\n", "   "]
+
+
+@pytest.fixture(scope="module")
+def path():
+    return vocabulary(PIECES)
+
+
+@pytest.fixture(scope="module")
+def codec(path):
+    return UnigramCodec(Pieces.load(path))
+
+
+def ids_of(codec, text):
+    return np.frombuffer(codec.encode([text])[0], "<u4").tolist()
+
+
+def slow(pieces, unknown_score, text):
+    if not text:
+        return []
+    spelled, longest = pieces.spelled(), max(map(len, pieces.pieces))
+    marked = "▁" + text.replace(" ", "▁")
+    best = [(-np.inf, 0, -1)] * (len(marked) + 1)
+    best[0] = (0.0, 0, -1)
+    for i in range(len(marked)):
+        for j in range(i + 1, min(len(marked), i + longest) + 1):
+            number = spelled.get(marked[i:j])
+            score = unknown_score if number is None and j == i + 1 else None if number is None else pieces.scores[number]
+            if score is not None and best[i][0] + score > best[j][0]:
+                best[j] = (best[i][0] + score, i, -1 if number is None else number)
+    ids, end = [], len(marked)
+    while end:
+        _, start, number = best[end]
+        made = [number] if number >= 0 else [pieces.byte_ids[b] for b in marked[start:end].encode()] if pieces.byte_ids else [pieces.unknown]
+        ids, end = made + ids, start
+    return ids
+
+
+def test_trie_finds_what_it_holds_and_nothing_else():
+    draw = random.Random(2)
+    strings = {bytes(draw.randrange(256) for _ in range(draw.randint(1, 5))): i for i in range(800) for _ in [0]}
+    strings = {string: i for i, string in enumerate(strings)}
+    trie = DoubleArrayTrie(strings)
+
+    def find(string):
+        state = 0
+        for code in string:
+            following = trie.base[state] + code + 1
+            if trie.check[following] != state:
+                return -1
+            state = following
+        return trie.value[state]
+
+    for string, number in strings.items():
+        assert find(string) == number
+        other = string + bytes([draw.randrange(256)])
+        assert find(other) == strings.get(other, -1) and find(string[:-1]) == strings.get(string[:-1], -1)
+    assert DoubleArrayTrie({}).value[0] == -1
+
+
+def test_best_paths_equal_slow_viterbi(spark, data, codec, path):
+    pieces = Pieces.load(path)
+    texts = ODD + [r.text[:1200] for r in spark.read.parquet(f"{data}/documents.parquet").limit(60).collect()]
+    for text in texts:
+        assert ids_of(codec, text) == slow(pieces, codec.unknown_score, text)
+    together = codec.encode(texts)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in together] == [ids_of(codec, text) for text in texts]
+    assert codec.encode([]) == [] and codec.decode([]) == []
+
+
+def test_cache_can_be_small(codec, path, monkeypatch):
+    monkeypatch.setattr("granary.llm.unigram.CACHED_CHUNKS", 3)
+    fresh = UnigramCodec(Pieces.load(path))
+    for _ in range(3):
+        assert [fresh.encode([text])[0] for text in ODD] == codec.encode(ODD)
+
+
+def test_decoding_gives_the_text_back(codec, path):
+    for text in ODD + ["marker ▁ inside"]:
+        assert codec.decode(codec.encode([text])) == [text.replace("▁", " ")]
+    library = SentencePieceProcessor(model_file=path)
+    for text in ODD:
+        assert codec.decode([np.array(library.encode(text), dtype="<u4").tobytes()]) == [library.decode(library.encode(text))]
+    assert codec.decode([np.array([3 + 0xFF], dtype="<u4").tobytes()]) == ["�"]
+
+
+def proto(number, kind, value):
+    """One field of a protocol buffer message."""
+    def varint(n):
+        out = b""
+        while True:
+            out += bytes([n & 127 | (128 if n > 127 else 0)])
+            n >>= 7
+            if not n:
+                return out
+    if kind == "bytes":
+        return varint(number << 3 | 2) + varint(len(value)) + value
+    if kind == "float":
+        return varint(number << 3 | 5) + struct.pack("<f", value)
+    return varint(number << 3) + varint(value)
+
+
+@pytest.mark.parametrize("byte_fallback", [True, False])
+def test_equals_the_library_on_a_unigram_model(tmp_path, byte_fallback):
+    """A model file with a few pieces and the library's own unigram algorithm."""
+    draw = random.Random(6)
+    words = {"▁"} | set("abcdé") | {"▁ab", "abc", "bc", "▁a", "cd", "dé", "aba", "▁abcd", "bb", "▁▁"}
+    listed = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)]
+    listed += [(f"<0x{byte:02X}>", 0.0, 6) for byte in range(256)] if byte_fallback else []
+    listed += [(word, -draw.randrange(8, 80) / 8, 1) for word in sorted(words)]
+    model = b"".join(proto(1, "bytes", proto(1, "bytes", piece.encode()) + proto(2, "float", score) + proto(3, "int", kind))
+                     for piece, score, kind in listed)
+    model += proto(2, "bytes", proto(3, "int", 1) + proto(35, "int", int(byte_fallback)))
+    model += proto(3, "bytes", proto(1, "bytes", b"identity") + proto(3, "int", 1) + proto(4, "int", 0) + proto(5, "int", 1))
+    file = tmp_path / "unigram.model"
+    file.write_bytes(model)
+    library, own = SentencePieceProcessor(model_file=str(file)), UnigramCodec(Pieces.load(str(file)))
+    for _ in range(500):
+        text = "".join(draw.choice("aabbccdé  xß") for _ in range(draw.randint(0, 25)))
+        if byte_fallback:
+            assert ids_of(own, text) == library.encode(text), text
+            assert own.decode(own.encode([text])) == [library.decode(library.encode(text))]
+        else:
+            # the library joins unknown characters that follow each other
+            merged = [i for n, i in enumerate(ids_of(own, text)) if i or not n or ids_of(own, text)[n - 1]]
+            assert merged == library.encode(text), text
+
+
+def test_frames(spark, path):
+    rows = [(i, text, b"x") for i, text in enumerate(ODD)] + [(1, ODD[1], b"x"), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids binary").repartition(3)
+    encoded = encode_texts(docs, path)
+    assert encoded.columns == ["doc_id", "text", "ids"]
+    decoded = decode_ids(encoded, path)
+    found = decoded.collect()
+    assert len(found) == len(rows) and all(r.decoded == (r.text or "") for r in found)
+    assert decode_ids(spark.createDataFrame([(None,)], "ids binary"), path).head().decoded == ""
+    assert decode_ids(encode_texts(docs.limit(0), path), path).count() == 0
+
+
+def test_query_round_trips(spark, data, codec):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
+    rows = QUERIES["op9_sentencepiece"](spark, data).collect()
+    assert len(rows) == len(texts) and all(r.round_trip for r in rows)
+    for r in rows[::40]:
+        ids = codec.encode([texts[r.doc_id]])[0]
+        assert (r.n_ids, r.ids_crc32) == (len(ids) // 4, zlib.crc32(ids))
