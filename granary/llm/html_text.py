@@ -28,11 +28,13 @@ IMPLIED = {
     "p": ({"p"}, CONTAINERS | {"li", "table"}), "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "body": ({"head"}, {"html"}),
 } | {tag: ({"p"}, CONTAINERS | {"li", "table"}) for tag in "address article blockquote div dl figure h1 h2 h3 h4 h5 h6 main ol pre section table ul".split()}
-ASIDE_WORDS = frozenset("""ad ads adv advert advertisement advertising adverts alert banner bottombar breadcrumb breadcrumbs byline comment
+ASIDE_WORDS = frozenset("""ad ads adv advert advertisement advertising adverts alert banner bottombar breadcrumb breadcrumbs comment
     commentary comments consent cookie cookies disqus footer footnav gdpr header headerbar hidden login masthead menu menubar modal nav
     navbar navigation newsletter notice notices notification pagination pager paywall popup promo promoted promotion recommended related
-    replies reply respond rss search share sharing sidebar sidenav signup skip social sponsor sponsored subscribe subscription tags
+    replies reply respond search share sharing sidebar sidenav signup skip social sponsor sponsored subscribe subscription
     toolbar topbar widget widgets""".split())
+# Of these words an article is set aside itself; others may name what it is about or holds.
+ASIDE_ARTICLE_WORDS = frozenset("ad ads advert advertisement comment comments promo promoted related recommended replies reply sponsored".split())
 ASIDE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation note search toolbar".split())
 
 _TOKEN = re.compile(
@@ -97,7 +99,8 @@ def _look(tag: str, attributes: str, by_words: bool) -> tuple[str, bool]:
         value = (found.group(2) or found.group(3) or found.group(4) or "").lower()
         if name in ("class", "id"):
             names += [("." if name == "class" else "#") + _DIGITS.sub("0", part) for part in value.split()]
-            aside = aside or (by_words and tag not in ("article", "main") and not ASIDE_WORDS.isdisjoint(_LETTERS.findall(value)))
+            words = ASIDE_ARTICLE_WORDS if tag in ("article", "main") else ASIDE_WORDS
+            aside = aside or (by_words and not words.isdisjoint(_LETTERS.findall(value)))
         elif name == "role":
             aside = aside or value in ASIDE_ROLES
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):

@@ -42,6 +42,12 @@ def test_blocks_end_where_html_says():
     assert [text for _, text, _ in page.blocks] == list("abcdefghij")
 
 
+def test_comments_may_be_articles_too():
+    comments = "".join(f"<article class='comment depth-{i}'><p>{LONG}</p></article>" for i in range(9))
+    page = f"<body><article class='post tag-sidebar'><h1>Title</h1><p class='byline'>By me</p><p>{LONG}</p><section>{comments}</section></article></body>"
+    assert extract(page, [])[0] == f"Title By me {LONG}"
+
+
 def test_hosts_agree_on_a_path(spark):
     def page(body):
         return f"<html><body>{body}</body></html>"
