@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from granary.llm.common import others
 
 SPACE = "▁"
-CACHED_CHUNKS = 800_000
+CACHED_CHUNKS = 400_000
 DOCS_AT_ONCE = 128
 WORDS_AT_ONCE = 2048
 BYTES_AT_ONCE = 1 << 20
@@ -267,22 +268,30 @@ def codec(path: str) -> UnigramCodec:
     return UnigramCodec(Pieces.load(path))
 
 
+def _with_column(df: DataFrame, source: str, name: str, kind: T.DataType, make: Callable[[list], list], empty: object) -> DataFrame:
+    """``df`` with a column made from ``source``, a few rows at a time, so that neither side of a batch is held in full twice."""
+    kept = [field for field in df.schema if field.name.lower() != name.lower()]
+    fed = df.select(*others(df, (name,)), F.col(f"`{source}`").alias("_source"))
+    arrow = {"string": pa.string(), "binary": pa.binary()}[kind.simpleString()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, DOCS_AT_ONCE):
+                part = batch.slice(at, DOCS_AT_ONCE)
+                values = [empty if value is None else value for value in part.column(len(kept)).to_pylist()]
+                columns = [*part.columns[:len(kept)], pa.array(make(values), arrow)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*[field.name for field in kept], name])
+
+    return fed.mapInArrow(run, T.StructType([*kept, T.StructField(name, kind)]))
+
+
 def encode_texts(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
     """Add ``ids``, the best segmentation of each text, as little-endian unsigned 32-bit numbers.
 
     A null or empty text has no ids. ``vocabulary`` is the path of a SentencePiece model file, readable on all executors; its pieces
     and scores are used, not its algorithm. All rows stay; a column named ``ids`` gives way.
     """
-    @F.pandas_udf("binary")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = codec(vocabulary).encode
-        for batch in batches:
-            made = []
-            for at in range(0, len(batch), DOCS_AT_ONCE):
-                made += encode([value or "" for value in batch.iloc[at:at + DOCS_AT_ONCE]])
-            yield pd.Series(made, dtype=object)
-
-    return docs.select(*others(docs, ("ids",)), run.asNondeterministic()(F.col(f"`{text}`")).alias("ids"))
+    return _with_column(docs, text, "ids", T.BinaryType(), lambda texts: codec(vocabulary).encode(texts), "")
 
 
 def decode_ids(encoded: DataFrame, vocabulary: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -290,13 +299,4 @@ def decode_ids(encoded: DataFrame, vocabulary: str, ids: str = "ids", into: str
 
     Decoding gives back what was encoded, except that the marker itself becomes a blank. All rows stay; a column named ``into`` gives way.
     """
-    @F.pandas_udf("string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        decode = codec(vocabulary).decode
-        for batch in batches:
-            made = []
-            for at in range(0, len(batch), DOCS_AT_ONCE):
-                made += decode([value or b"" for value in batch.iloc[at:at + DOCS_AT_ONCE]])
-            yield pd.Series(made, dtype=object)
-
-    return encoded.select(*others(encoded, (into,)), run.asNondeterministic()(F.col(f"`{ids}`")).alias(into))
+    return _with_column(encoded, ids, into, T.StringType(), lambda rows: codec(vocabulary).decode(rows), b"")
