@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm.common import hash128, others
+from granary.llm.components import stored
 
 STRIPPED = "".join(map(chr, [0x20, *range(0x09, 0x0E)]))
 UPPER = "".join(map(chr, range(ord("A"), ord("Z") + 1)))
@@ -38,7 +39,8 @@ def drop_repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_
     held = keyed.select("_id", "_row1", "_row2", "_pos", first.alias("_h1"), second.alias("_h2"))
     spread = held.groupBy("_h1", "_h2").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"), F.max(F.col("_id").isNull()).alias("_null"))
     repeated = spread.where((F.col("_first") < F.col("_last")) | (F.col("_null") & F.col("_first").isNotNull()))
-    repeated = repeated.select("_h1", "_h2", "_first")
+    # a table of its own, or the join would take over the aggregate's partitions, and those of a line that many hold cannot be cut
+    repeated = stored(repeated.select("_h1", "_h2", "_first"), "repeated-lines")
     gone = held.join(repeated, ["_h1", "_h2"]).where(~F.col("_id").eqNullSafe(F.col("_first")))
     positions = gone.groupBy("_row1", "_row2").agg(F.collect_set("_pos").alias("_gone"))
 
