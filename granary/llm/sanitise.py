@@ -198,6 +198,9 @@ def sanitise(docs: DataFrame, text: str = "text", min_texts: int = MIN_TEXTS, ge
     hit = hit.select("h1", "h2", "term").distinct().join(terms, "term").groupBy("h1", "h2").agg(
         *[F.array_join(F.sort_array(F.collect_list(F.when(F.col("action") == action, F.col("term")))), "|").alias(f"_{action}") for action in ("generalise", "remove")])
 
+    # a table of its own, so that the copies of one text can be cut in the join
+    hit = stored(hit, "hits")
+
     rows = docs.select(*others(docs, (text, *MADE)), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_plain"))
     h1, h2 = hash128(F.col("_plain"))
     rows = rows.withColumns({"_h1": h1, "_h2": h2})
