@@ -18,6 +18,7 @@ MADE = ("doc_tokens", "start", "length", "ids", "bucket", "sequence_id", "offset
 CACHED_CHUNKS = 1_000_000
 DOCS_AT_ONCE = 128
 WORDS_AT_ONCE = 50
+MARKS = ".,"
 
 
 def binary_lengths(tokens: int, longest: int) -> list[int]:
@@ -26,13 +27,24 @@ def binary_lengths(tokens: int, longest: int) -> list[int]:
     return [longest] * (tokens // longest) + [1 << bit for bit in reversed(range(longest.bit_length())) if rest >> bit & 1]
 
 
+def _simple(text: str) -> bool:
+    """Whether lower case, the vocabulary's own step after the normal form, can be taken first: no letters but Latin-1, no special tokens."""
+    if text.isascii():
+        return "<|" not in text
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return "<|" not in text
+
+
 class ChunkEncoder:
     """Ids of texts as little-endian unsigned 32-bit numbers, remembering what it has encoded.
 
     The vocabulary drops white space and never joins across it, so a text is the sum of its chunks between blanks and line ends. The
     ids of known chunks lie in one array; a text is put together by gathering their ranges. Once ``CACHED_CHUNKS`` are known, all are
-    forgotten before the next texts. New chunks go to the tokenizer many at a time: where each is a word or a word and one mark, the
-    ends of words in the result tell them apart; all others are encoded each for itself.
+    forgotten before the next texts. New words go to the tokenizer many at a time, and the ends of words in the result tell them apart; a
+    word with a mark behind it is put together from both; all other chunks are encoded each for itself.
     """
 
     def __init__(self, path: str):
@@ -57,9 +69,7 @@ class ChunkEncoder:
         chunks: list[str] = []
         sizes = []
         for text in texts:
-            # lower case is the vocabulary's own first step; for ASCII it can be taken before
-            plain = text.lower() if text.isascii() and "<|" not in text else text
-            found = plain.replace("\n", " ").split(" ")
+            found = (text.lower() if _simple(text) else text).replace("\n", " ").split(" ")
             sizes.append(len(found))
             chunks += found
         places = np.fromiter(map(self.place.get, chunks, repeat(-1)), dtype=np.int64, count=len(chunks))
@@ -67,35 +77,43 @@ class ChunkEncoder:
         if len(new):
             self._learn(list(dict.fromkeys(chunks[i] for i in new.tolist())))
             places[new] = [self.place[chunks[i]] for i in new.tolist()]
-        starts = self.bounds[places]
-        lengths = self.bounds[places + 1] - starts
-        ends = np.cumsum(lengths)
-        gathered = self.ids[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        gathered, ends = self._gather(places)
         cuts = np.concatenate([[0], ends])[np.cumsum([0, *sizes])] * 4
         data = gathered.tobytes()
         return [data[start:end] for start, end in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
+    def _gather(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of known chunks one after another, and where each chunk ends."""
+        starts = self.bounds[places]
+        lengths = self.bounds[places + 1] - starts
+        ends = np.cumsum(lengths)
+        return self.ids[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)], ends
+
     def _learn(self, chunks: list[str]) -> None:
-        single = [chunk for chunk in chunks if chunk.isalpha()]
-        marked = [chunk for chunk in chunks if chunk[-1] in ".," and chunk[:-1].isalpha()]
-        taken = {*single, *marked}
-        rest = [chunk for chunk in chunks if chunk not in taken]
-        for words, parts in ((single, 1), (marked, 2)):
-            groups = [words[at:at + WORDS_AT_ONCE] for at in range(0, len(words), WORDS_AT_ONCE)]
-            fitting, encoded, limits, size = [], [], [], 0
-            for group, found in zip(groups, self._encoded([" ".join(group) for group in groups])):
-                ids = np.array(found.ids, dtype="<u4")
-                ends = np.flatnonzero(self.ends_word[ids]) + 1
-                if len(ends) != parts * len(group):
-                    rest += group
-                    continue
-                fitting += group
-                encoded.append(ids)
-                limits.append(ends[parts - 1::parts] + size)
-                size += len(ids)
-            self._remember(fitting, encoded, limits)
+        marked = [chunk for chunk in chunks if chunk[-1] in MARKS and chunk[:-1].isalpha()]
+        words = dict.fromkeys([chunk for chunk in chunks if chunk.isalpha()] + [chunk[:-1] for chunk in marked])
+        taken = {*words, *marked}
+        rest = [chunk for chunk in chunks if chunk not in taken] + [mark for mark in MARKS if mark not in self.place and mark not in chunks]
+        words = [word for word in words if word not in self.place]
+        groups = [words[at:at + WORDS_AT_ONCE] for at in range(0, len(words), WORDS_AT_ONCE)]
+        fitting, encoded, limits, size = [], [], [], 0
+        for group, found in zip(groups, self._encoded([" ".join(group) for group in groups])):
+            ids = np.array(found.ids, dtype="<u4")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(group):
+                rest += group
+                continue
+            fitting += group
+            encoded.append(ids)
+            limits.append(ends + size)
+            size += len(ids)
+        self._remember(fitting, encoded, limits)
         encoded = [np.array(found.ids, dtype="<u4") for found in self._encoded(rest)]
         self._remember(rest, encoded, [np.cumsum([len(ids) for ids in encoded], dtype=np.int64)])
+        # a word and its mark are two pieces of text to the vocabulary
+        both = np.array([self.place[part] for chunk in marked for part in (chunk[:-1], chunk[-1])], dtype=np.int64)
+        ids, ends = self._gather(both)
+        self._remember(marked, [ids], [ends[1::2]])
 
     def _remember(self, chunks: list[str], encoded: list[np.ndarray], limits: list[np.ndarray]) -> None:
         first = len(self.bounds) - 1
