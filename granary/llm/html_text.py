@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.llm.common import others
+from granary.llm.components import stored
 
 DECAY = 0.75
 MIN_SHARE = 0.1
@@ -248,7 +249,8 @@ def main_text(pages: DataFrame, source: str = "html", url: str = "url", min_shar
     votes. ``source`` is left out, and a column named like an added one gives way. An empty table gives an empty result.
     """
     rows = pages.select(*others(pages, ("text", "path", source)), F.col(f"`{source}`").alias("_html"), host_of(F.col(f"`{url}`")).alias("_host"))
-    won = winning_paths(rows.select("_host", "_html"), min_share)
+    # a table of its own, so that the pages of a large host can be cut in the join
+    won = stored(winning_paths(rows.select("_host", "_html"), min_share), "paths")
 
     @F.pandas_udf("struct<text: string, path: string>")
     def read(sources: pd.Series, paths: pd.Series) -> pd.DataFrame:
