@@ -15,7 +15,8 @@ from granary.llm.common import others
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
-CHARS_AT_ONCE = 1_000_000
+CHARS_AT_ONCE = 500_000
+DOCS_AT_ONCE = 256
 DENSE_CODES = 1 << 22
 
 
@@ -141,8 +142,9 @@ def learn_profiles(docs: DataFrame, text: str = "text", lang: str = "lang") -> L
         for batch in batches:
             names = sorted(set(batch["_lang"]))
             place = {name: i for i, name in enumerate(names)}
-            order = batch.sort_values("_lang", kind="stable")
-            made = bundles(order["_text"].tolist(), [place[name] for name in order["_lang"]], len(names))
+            # texts of one language side by side are bundled in one step
+            order = np.argsort(batch["_lang"].map(place).to_numpy(), kind="stable")
+            made = bundles(batch["_text"].iloc[order].tolist(), [place[name] for name in batch["_lang"].iloc[order]], len(names))
             for name, vector in zip(names, np.rint(made).astype(np.int64)):
                 sums[name] = sums.get(name, 0) + vector
         if sums:
@@ -167,8 +169,13 @@ def predict_language(docs: DataFrame, profiles: LanguageProfiles, text: str = "t
     @F.pandas_udf("struct<lang_pred: string, score: double>")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            names, scores = profiles.predict(batch.tolist())
-            yield pd.DataFrame({"lang_pred": names, "score": scores})
+            names, scores = [], []
+            # a bundle is many times as large as a short text, so only so many are held at a time
+            for at in range(0, len(batch), DOCS_AT_ONCE):
+                found, cosines = profiles.predict(batch.iloc[at:at + DOCS_AT_ONCE].tolist())
+                names += found
+                scores += cosines.tolist()
+            yield pd.DataFrame({"lang_pred": pd.Series(names, dtype=object), "score": np.array(scores, dtype=np.float64)})
 
     kept = others(docs, ("lang_pred", "score"))
     return docs.select(*kept, predict.asNondeterministic()(F.col(f"`{text}`")).alias("_language")).select(*kept, "_language.lang_pred", "_language.score")
