@@ -1,4 +1,4 @@
-"""Main text of web pages: containers are scored page by page, hosts agree on where their articles stand, pages are read there."""
+"""Main text of web pages: containers are scored page by page and widened to whole articles, hosts agree on where these stand."""
 
 from __future__ import annotations
 
@@ -76,6 +76,40 @@ class Page:
         # the innermost of equals, as it comes last
         return max(((score, node) for node, score in scores.items()), default=(0.0, -1))[::-1]
 
+    def whole(self, node: int) -> int:
+        """The container that holds the whole article of which ``node`` is the densest part.
+
+        That is the article element around it; else, and from there on, the next container above while what stands beside is mostly
+        unlinked. The page itself, and what is around an article, is taken only for text that stands directly in it (or, beside
+        another container, in sections of it), as other containers there are other things.
+        """
+        if node < 0:
+            return node
+        above = [node]
+        while self.parents[above[-1]] >= 0:
+            above.append(self.parents[above[-1]])
+        place = {element: i for i, element in enumerate(above)}
+        beside: list[list[tuple[int, int, int]]] = [[] for _ in above]
+        for at, text, linked in self.blocks:
+            apart = 0
+            while at not in place:
+                if self.tags[at] in CONTAINERS:
+                    apart = max(apart, 1 if self.tags[at] == "section" else 2)
+                at = self.parents[at]
+            beside[place[at]].append((len(text), linked, apart))
+        chosen = next((i for i, element in enumerate(above) if self.tags[element] == "article"), 0)
+        rest: list[tuple[int, int, int]] = []
+        for i in range(chosen + 1, len(above)):
+            rest += beside[i]
+            if not rest or self.tags[above[i]] not in CONTAINERS:
+                continue
+            in_article = self.tags[above[chosen]] in ("article", "main")
+            bound = 0 if in_article else 1 if self.tags[above[i]] in ("html", "body") else 2
+            if 2 * sum(linked for _, linked, _ in rest) > sum(letters for letters, _, _ in rest) or max(apart for _, _, apart in rest) > bound:
+                break
+            chosen, rest = i, []
+        return above[chosen]
+
     def within(self, nodes: list[int]) -> str:
         """The blocks in the subtrees of some elements, in page order."""
         found, last = [], -1
@@ -85,9 +119,14 @@ class Page:
                 found += [text for node, text, _ in self.blocks if start <= node <= last]
         return " ".join(found)
 
-    def at(self, path: str) -> str:
+    def at(self, path: str) -> list[int]:
         leaf = path.rpartition(">")[2]
-        return self.within([node for node, label in enumerate(self.labels) if label == leaf and self.path(node) == path])
+        return [node for node, label in enumerate(self.labels) if label == leaf and self.path(node) == path]
+
+    def unlinked(self, start: int) -> bool:
+        """Whether an element has text that is mostly no link."""
+        held = [(len(text), linked) for node, text, linked in self.blocks if start <= node <= self.ends[start]]
+        return bool(held) and 2 * sum(linked for _, linked in held) <= sum(letters for letters, _ in held)
 
 
 def _look(tag: str, attributes: str, by_words: bool) -> tuple[str, bool]:
@@ -197,13 +236,22 @@ def _read(source: str | None) -> Page:
 
 
 def extract(source: str | None, paths: list[str]) -> tuple[str, str]:
-    """Text of a page at the first of some paths that has any, else in its own best container, and that path."""
+    """Text of a page at all of some paths, in page order, else in the container of its own article; and the first path with text.
+
+    What stands at a later path is left out if it is mostly links.
+    """
     page = _read(source)
+    nodes: list[int] = []
+    first = ""
     for path in paths:
-        text = page.at(path)
-        if text:
-            return text, path
-    node, _ = page.best()
+        here = page.at(path)
+        if first:
+            nodes += [node for node in here if page.unlinked(node)]
+        elif page.within(here):
+            nodes, first = here, path
+    if first:
+        return page.within(sorted(nodes)), first
+    node = page.whole(page.best()[0])
     return (page.within([node]), page.path(node)) if node >= 0 else ("", "")
 
 
@@ -214,9 +262,9 @@ def host_of(url: Column) -> Column:
 
 
 def winning_paths(pages: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
-    """Host and paths: where the best containers of at least ``min_share`` of a host's pages stand, most voted first.
+    """Host and paths: where the articles of at least ``min_share`` of a host's pages stand, most voted first.
 
-    Each page has one vote, for the general path of its best container: tags with classes and ids, digits made equal. Votes are
+    Each page has one vote, for the general path of the container around its densest one that holds the whole article: tags with classes and ids, digits made equal. Votes are
     added up within the map tasks first, so a host with a large part of all pages costs one row per path and task.
     """
     @F.pandas_udf("string")
@@ -225,7 +273,7 @@ def winning_paths(pages: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
             found = []
             for source in batch:
                 page = _read(source)
-                node, _ = page.best()
+                node = page.whole(page.best()[0])
                 found.append(page.path(node) if node >= 0 else None)
             yield pd.Series(found, dtype=object)
 
@@ -240,8 +288,8 @@ def winning_paths(pages: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
 def main_text(pages: DataFrame, source: str = "html", url: str = "url", min_share: float = MIN_SHARE) -> DataFrame:
     """Add ``text``, the main text of each page, and ``path``, where it was found.
 
-    The pages of a host vote on where their article stands; each page is then read at the winning paths of its host, or in its own
-    best container where it has none of them. Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and
+    The pages of a host vote on where their article stands; each page is then read at all winning paths of its host, or in the
+    container of its own article where it has none of them. Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and
     styles are left out, by element, role and the words in class and id. Character references are decoded, white space inside a
     block becomes one blank, blocks are joined in page order by one blank.
 

@@ -48,6 +48,33 @@ def test_comments_may_be_articles_too():
     assert extract(page, [])[0] == f"Title By me {LONG}"
 
 
+BODY = "<div class='body'>" + f"<p>{LONG}</p>" * 9 + "</div>"
+NINE = " ".join([LONG] * 9)
+
+
+def test_what_stands_beside_the_densest_container_belongs_to_the_article():
+    for tag in ("article", "div"):
+        page = f"<body><{tag}><h1>Title</h1><p class='lead'>Lead.</p>{BODY}<figure><figcaption>Caption</figcaption></figure><p>The end.</p></{tag}></body>"
+        assert extract(page, []) == (f"Title Lead. {NINE} Caption The end.", f"html>body>{tag}")
+    assert extract(f"<body><h1>Title</h1>{BODY}<p>The end.</p></body>", [])[0] == f"Title {NINE} The end."
+    sections = f"<section id='a'><p>{LONG} {LONG}</p></section><section id='b'><p>short</p></section>"
+    for page in (f"<body><div>{sections}</div></body>", f"<body>{sections}</body>"):
+        assert extract(page, [])[0] == f"{LONG} {LONG} short"
+    # lists of links and other containers of the page stay out
+    links = "<ul>" + "<li><a href=/>Another story of this site</a>" * 9 + "</ul>"
+    assert extract(f"<body><div><div class='list'>{links}</div>{BODY}</div></body>", [])[0] == NINE
+    assert extract(f"<body><div class='list'><p>Other</p></div>{BODY}</body>", [])[0] == NINE
+
+
+def test_hosts_are_read_at_all_winning_paths(spark):
+    one, two = f"<p>{LONG}</p>" * 3, f"<p>{LONG}</p>"
+    pages = [f"<body><div id='intro'>{one if i % 2 else two}</div><div id='story'>{two if i % 2 else one}</div></body>" for i in range(10)]
+    pages += [f"<body><article><h1>Title {i + 10}</h1><p>Lead.</p>{BODY}</article></body>" for i in range(10)]
+    rows = [(i, f"http://{'ab'[i // 10]}.example/{i}", page) for i, page in enumerate(pages)]
+    found = main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    assert {r.page_id: r.text for r in found} == {i: " ".join([LONG] * 4) if i < 10 else f"Title {i} Lead. {NINE}" for i in range(20)}
+
+
 def test_hosts_agree_on_a_path(spark):
     def page(body):
         return f"<html><body>{body}</body></html>"
