@@ -36,12 +36,20 @@ ASIDE_WORDS = frozenset("""ad ads adv advert advertisement advertising adverts a
     toolbar topbar widget widgets""".split())
 # Of these words an article is set aside itself; others may name what it is about or holds.
 ASIDE_ARTICLE_WORDS = frozenset("ad ads advert advertisement comment comments promo promoted related recommended replies reply sponsored".split())
+# What these words set aside may be long and is never the article; what others set aside is read if it is most of a page.
+NEVER_ARTICLE_WORDS = ASIDE_ARTICLE_WORDS | frozenset("commentary consent cookie cookies disqus gdpr login newsletter popup reply respond signup".split())
+# A name may begin with a word if only these follow, and may end in one unless one of the others stands before it.
+PART_WORDS = frozenset("""area articles author block body box button buttons bar container content count form group holder icon icons image
+    inner item items left link links list main media message meta outer panel post posts right row section stories text title top bottom
+    wrap wrapper""".split())
+STATE_WORDS = frozenset("""category closed disabled enabled fixed has hide no not open overflow show sticky tag under with without""".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ASIDE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation note search toolbar".split())
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>", re.S | re.I)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _LETTERS = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"\d+")
 
@@ -55,6 +63,8 @@ class Page:
     parents: list[int] = field(default_factory=lambda: [-1])
     ends: list[int] = field(default_factory=lambda: [0])
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
+    # letters outside links that only words set aside, others than those that never name an article
+    doubtful: int = 0
 
     def path(self, node: int) -> str:
         parts = []
@@ -129,31 +139,56 @@ class Page:
         return bool(held) and 2 * sum(linked for _, linked in held) <= sum(letters for letters, _ in held)
 
 
-def _look(tag: str, attributes: str, by_words: bool) -> tuple[str, bool]:
-    """The label of an element, with class and id in general form, and whether it is set aside."""
+def _named(name: str, words: frozenset[str]) -> bool:
+    """Whether a class or id says one of some words: as a whole, as its end (site-header) or before a part (comments-area, comment-5)."""
+    if name in words:
+        return True
+    parts = _LETTERS.findall(name)
+    if len(parts) == 0 or ":" in name:
+        return False
+    if parts[-1] in words and STATE_WORDS.isdisjoint(parts[:-1]):
+        return True
+    return parts[0] in words and all(part in PART_WORDS or part in ASIDE_WORDS for part in parts[1:])
+
+
+def _look(tag: str, attributes: str, words: frozenset[str]) -> tuple[str, int]:
+    """The label of an element, with class and id in general form, and whether it is set aside: 2 surely, 1 by words that may mislead, 0 not."""
+    aside = 2 * (tag in SKIPPED)
     if tag in ("html", "body") or not attributes or attributes.isspace():
-        return tag, tag in SKIPPED
-    aside, names = tag in SKIPPED, []
+        return tag, aside
+    names, seen = [], set()
+    if tag in ("article", "main"):
+        words = words & ASIDE_ARTICLE_WORDS
     for found in _ATTRIBUTE.finditer(attributes):
         name = found.group(1).lower()
+        if name in seen:
+            continue
+        seen.add(name)
         value = (found.group(2) or found.group(3) or found.group(4) or "").lower()
         if name in ("class", "id"):
-            names += [("." if name == "class" else "#") + _DIGITS.sub("0", part) for part in value.split()]
-            words = ASIDE_ARTICLE_WORDS if tag in ("article", "main") else ASIDE_WORDS
-            aside = aside or (by_words and not words.isdisjoint(_LETTERS.findall(value)))
+            parts = value.split()
+            names += [("." if name == "class" else "#") + _DIGITS.sub("0", part) for part in parts]
+            if name == "id" and (tag in HEADINGS or tag == "section"):
+                # an anchor, named after what the part is about
+                if tag == "section" and not (words & ASIDE_ARTICLE_WORDS).isdisjoint(parts):
+                    aside = 2
+                continue
+            for part in parts:
+                if _named(part, words):
+                    aside = max(aside, 2 if _named(part, words & NEVER_ARTICLE_WORDS) else 1)
         elif name == "role":
-            aside = aside or value in ASIDE_ROLES
+            aside = 2 if value in ASIDE_ROLES else aside
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-            aside = True
+            aside = 2
         elif name == "style":
-            aside = aside or "display:none" in value.replace(" ", "")
+            aside = 2 if "display:none" in value.replace(" ", "") else aside
     return tag + "".join(sorted(names)), aside
 
 
-def read_page(source: str, by_words: bool = True) -> Page:
-    """Elements and text blocks of a page. Broken markup is read as far as it makes sense; nothing is an error."""
+def read_page(source: str, by_words: frozenset[str] = ASIDE_WORDS) -> Page:
+    """Elements and text blocks of a page, without what some words in class and id set aside. Broken markup is read as far as it makes sense; nothing is an error."""
     page = Page()
-    stack, aside, links = [0], [False], 0
+    stack, aside, links = [0], [0], 0
     words: list[str] = []
     linked = 0
 
@@ -180,6 +215,8 @@ def read_page(source: str, by_words: bool = True) -> Page:
             words.append(text)
             if links:
                 linked += len(text)
+        elif text and aside[-1] == 1 and not links:
+            page.doubtful += len(text.strip())
 
     position = 0
     for token in _TOKEN.finditer(source):
@@ -221,7 +258,7 @@ def read_page(source: str, by_words: bool = True) -> Page:
         page.parents.append(stack[-1])
         page.ends.append(0)
         stack.append(len(page.tags) - 1)
-        aside.append(aside[-1] or off)
+        aside.append(max(aside[-1], off))
         links += tag == "a"
     add(source[position:])
     flush()
@@ -230,9 +267,11 @@ def read_page(source: str, by_words: bool = True) -> Page:
 
 
 def _read(source: str | None) -> Page:
-    """A page; one that would have no text is read again without regard to class names."""
+    """A page; one whose text words set aside for the most part is read again without these words, one without text without any."""
     page = read_page(source or "")
-    return page if page.blocks else read_page(source or "", by_words=False)
+    if page.doubtful > sum(len(text) - linked for _, text, linked in page.blocks):
+        page = read_page(source or "", NEVER_ARTICLE_WORDS)
+    return page if page.blocks else read_page(source or "", frozenset())
 
 
 def extract(source: str | None, paths: list[str]) -> tuple[str, str]:
@@ -290,7 +329,7 @@ def main_text(pages: DataFrame, source: str = "html", url: str = "url", min_shar
 
     The pages of a host vote on where their article stands; each page is then read at all winning paths of its host, or in the
     container of its own article where it has none of them. Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and
-    styles are left out, by element, role and the words in class and id. Character references are decoded, white space inside a
+    styles are left out, by element, role and the words in class and id, unless the words would leave out most of a page. Character references are decoded, white space inside a
     block becomes one blank, blocks are joined in page order by one blank.
 
     A null or empty page gives an empty text. A page without a host votes nowhere and is read by itself. Repeated rows stay; each

@@ -66,6 +66,23 @@ def test_what_stands_beside_the_densest_container_belongs_to_the_article():
     assert extract(f"<body><div class='list'><p>Other</p></div>{BODY}</body>", [])[0] == NINE
 
 
+def test_words_name_what_is_set_aside_as_whole_names():
+    kept = ["class='overflow-hidden'", "class='row has-sidebar'", "class='no-sidebar'", "class='header-fixed'", "title='a hidden gem'",
+            "data-hidden='false'", "data-id='comment-5'", "data-x='class=comments'", "class='share-prices'"]
+    for attributes in kept:
+        page = read_page(f"<body><div {attributes}><p>inside</p></div><p>{LONG}</p></body>")
+        assert [text for _, text, _ in page.blocks] == ["inside", LONG], attributes
+    for attributes in ("class='site-header'", "class='x comments-area'", "id=comment-5", "hidden", "class='cookie-notice'", "aria-hidden='true'", "class=sidebar-left"):
+        assert [text for _, text, _ in read_page(f"<body><div {attributes}><p>inside</p></div><p>{LONG}</p></body>").blocks] == [LONG], attributes
+    page = "<article><h2 id='related-work'>Related</h2><section id='search'><p>Search</p></section><h2 id='share-prices'>Prices</h2><section id='comments'>No</section></article>"
+    assert extract(page, [])[0] == "Related Search Prices"
+
+
+def test_words_never_leave_out_most_of_a_page():
+    assert extract(f"<body><div class='hidden'><p>{LONG}</p><p>{LONG}</p></div><p>tail</p></body>", [])[0].startswith(f"{LONG} {LONG}")
+    assert extract(f"<body><div class='cookie-consent'><p>{LONG} {LONG} {LONG}</p></div><div><p>{LONG}</p></div></body>", [])[0] == LONG
+
+
 def test_hosts_are_read_at_all_winning_paths(spark):
     one, two = f"<p>{LONG}</p>" * 3, f"<p>{LONG}</p>"
     pages = [f"<body><div id='intro'>{one if i % 2 else two}</div><div id='story'>{two if i % 2 else one}</div></body>" for i in range(10)]
