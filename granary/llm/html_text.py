@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm.common import others
@@ -16,6 +16,9 @@ from granary.llm.components import stored
 
 DECAY = 0.75
 MIN_SHARE = 0.1
+# What the paths of a level that get MIN_SHARE must hold together for the level to count.
+AGREED = 0.5
+LEVELS = 3
 
 # Elements by their role in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -51,9 +54,22 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _LETTERS = re.compile(r"[a-z]+")
+_NAMES = re.compile(r"([.#])")
+_FIRST_PART = re.compile(r"[^_-]*")
 _DIGITS = re.compile(r"\d+")
 
 
+def general(label: str, level: int) -> str:
+    """A label as it is, with the first parts of its classes and ids only (post-my-title: post), or as its tag alone."""
+    if level == 0:
+        return label
+    tag, *names = _NAMES.split(label)
+    if level == 2:
+        return tag
+    firsts = {kind + _FIRST_PART.match(name).group() for kind, name in zip(names[::2], names[1::2])}
+    return tag + "".join(sorted(first for first in firsts if len(first) > 1))
+
+
 @dataclass
 class Page:
     """The elements of a page in their order (tag, label, parent, end of subtree) and its blocks of text outside what is skipped."""
@@ -66,12 +82,13 @@ class Page:
     # letters outside links that only words set aside, others than those that never name an article
     doubtful: int = 0
 
-    def path(self, node: int) -> str:
+    def path(self, node: int, level: int = 0) -> str:
+        """Where an element stands: the labels down to it, on level 1 and 2 in a more general form and marked with the level."""
         parts = []
         while node >= 0:
-            parts.append(self.labels[node])
+            parts.append(general(self.labels[node], level))
             node = self.parents[node]
-        return ">".join(reversed(parts))
+        return (f"{level}:" if level else "") + ">".join(reversed(parts))
 
     def best(self) -> tuple[int, float]:
         """The container with the highest score. A block gives its length, less twice its links, to all containers above it, less with distance."""
@@ -130,8 +147,20 @@ class Page:
         return " ".join(found)
 
     def at(self, path: str) -> list[int]:
-        leaf = path.rpartition(">")[2]
-        return [node for node, label in enumerate(self.labels) if label == leaf and self.path(node) == path]
+        """The elements at a path; of those at the same tags, the one with most text that is no link."""
+        level = int(path[0]) if path[1:2] == ":" else 0
+        leaf = path[2 * (level > 0):].rpartition(">")[2]
+        nodes = [node for node, label in enumerate(self.labels) if general(label, level) == leaf and self.path(node, level) == path]
+        if level < LEVELS - 1 or len(nodes) < 2:
+            return nodes
+        place = {node: i for i, node in enumerate(nodes)}
+        held = [0] * len(nodes)
+        for node, text, linked in self.blocks:
+            while node >= 0:
+                if node in place:
+                    held[place[node]] += len(text) - linked
+                node = self.parents[node]
+        return [nodes[held.index(max(held))]]
 
     def unlinked(self, start: int) -> bool:
         """Whether an element has text that is mostly no link."""
@@ -303,25 +332,30 @@ def host_of(url: Column) -> Column:
 def winning_paths(pages: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
     """Host and paths: where the articles of at least ``min_share`` of a host's pages stand, most voted first.
 
-    Each page has one vote, for the general path of the container around its densest one that holds the whole article: tags with classes and ids, digits made equal. Votes are
-    added up within the map tasks first, so a host with a large part of all pages costs one row per path and task.
+    Each page has one vote, for the path of the container around its densest one that holds the whole article, in three forms: tags with
+    classes and ids, digits made equal; with the first parts of these; tags alone. The finest form holds in which the paths with
+    enough votes have at least half of the host's, so that names made for each page do not split them. Votes are added up within the
+    map tasks first; totals of hosts are a table of their own, so no host is one task.
     """
-    @F.pandas_udf("string")
+    @F.pandas_udf("array<string>")
     def vote(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             found = []
             for source in batch:
                 page = _read(source)
                 node = page.whole(page.best()[0])
-                found.append(page.path(node) if node >= 0 else None)
+                found.append([page.path(node, level) for level in range(LEVELS)] if node >= 0 else None)
             yield pd.Series(found, dtype=object)
 
-    cast = pages.where("_host IS NOT NULL").select("_host", vote.asNondeterministic()("_html").alias("_path"))
-    votes = cast.where("_path IS NOT NULL").groupBy("_host", "_path").agg(F.count(F.lit(1)).alias("_votes"))
-    shares = votes.withColumn("_all", F.sum("_votes").over(Window.partitionBy("_host")))
-    won = shares.where(F.col("_votes") >= min_share * F.col("_all"))
+    cast = pages.where("_host IS NOT NULL").select("_host", F.posexplode(vote.asNondeterministic()("_html")).alias("_level", "_path"))
+    votes = stored(cast.groupBy("_host", "_level", "_path").agg(F.count(F.lit(1)).alias("_votes")), "votes")
+    totals = votes.where("_level = 0").groupBy(F.col("_host").alias("_voting")).agg(F.sum("_votes").alias("_all"))
+    won = votes.join(totals, F.col("_host") == F.col("_voting")).where(F.col("_votes") >= min_share * F.col("_all"))
     order = F.sort_array(F.collect_list(F.struct((-F.col("_votes")).alias("v"), F.col("_path").alias("p"))))
-    return won.groupBy(F.col("_host").alias("_voted")).agg(F.transform(order, lambda s: s["p"]).alias("_paths"))
+    levels = won.groupBy("_host", "_level").agg(F.transform(order, lambda s: s["p"]).alias("_paths"), (F.sum("_votes") >= AGREED * F.first("_all")).alias("_agreed"))
+    # the finest level that agrees, else the finest with a winner
+    finest = F.min_by("_paths", F.struct(~F.col("_agreed"), "_level"))
+    return levels.groupBy(F.col("_host").alias("_voted")).agg(finest.alias("_paths"))
 
 
 def main_text(pages: DataFrame, source: str = "html", url: str = "url", min_share: float = MIN_SHARE) -> DataFrame:

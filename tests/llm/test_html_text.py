@@ -92,6 +92,23 @@ def test_hosts_are_read_at_all_winning_paths(spark):
     assert {r.page_id: r.text for r in found} == {i: " ".join([LONG] * 4) if i < 10 else f"Title {i} Lead. {NINE}" for i in range(20)}
 
 
+def test_names_made_for_each_page_do_not_split_the_votes(spark):
+    def slug(i):
+        return "".join(chr(97 + int(digit)) for digit in str(i))
+
+    # on odd pages the other container would win; classes differ in their ends on the one host, altogether on the other
+    rows = []
+    for i in range(40):
+        own = f"post-{slug(i)}" if i < 20 else slug(i) + "x"
+        story, more = ("brief", f"<p>{LONG}</p>") if i % 20 == 19 else (LONG, "<p>short</p>")
+        second = "div" if i < 20 else "blockquote"
+        rows.append((i, f"http://{'ab'[i // 20]}.example", f"<body><div class='{own}'><p>{story}</p></div><{second} class='more'>{more}</{second}></body>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    found = {r.page_id: (r.text, r.path) for r in main_text(pages).collect()}
+    assert found[3] == (LONG, "1:html>body>div.post") and found[23] == (LONG, "2:html>body>div")
+    assert found[19][0] == found[39][0] == "brief"
+
+
 def test_hosts_agree_on_a_path(spark):
     def page(body):
         return f"<html><body>{body}</body></html>"
