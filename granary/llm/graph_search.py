@@ -185,8 +185,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vector: str = "em
 
     Rows are dealt to shards by a hash of the vector; each shard of bounded size gets a graph, and every block of queries searches
     every shard with a beam of ``width``. Scores are inner products of the original vectors in double precision; ties go to smaller
-    ids. All rows are indexed: rows with equal vectors are one node, of which the first ``k + 1`` ids are kept, as no further one can
-    be among a query's best, whoever asks.
+    ids. All rows are indexed: rows with equal vectors are one node, of which the first ``k + 1`` different ids are kept, each with
+    ``k`` rows at most, as no further one can be among a query's best, whoever asks.
 
     Vectors that are null, empty, zero or hold a null or a value that is not finite take no part, nor do rows without an id. Rows with
     the id of the query are the query's own. Repeated rows count each. Vectors of another length than the query's are not compared
@@ -196,8 +196,11 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vector: str = "em
     valid = vectors.where(finite(v) & F.coalesce(F.exists(v, lambda x: x != 0), F.lit(False)) & F.col(f"`{vec_id}`").isNotNull())
     rows = valid.select(F.col(f"`{vec_id}`").cast("bigint").alias("vec_id"), F.transform(v, lambda x: x.cast("double")).alias("v"), is_query.alias("q"))
     rows = rows.withColumns({"dim": F.size("v"), "spread": F.xxhash64("v")})
+    same = rows.groupBy("vec_id", "v", "dim", "spread").agg(F.count(F.lit(1)).alias("rows"))
     first = Window.partitionBy("dim", "spread", "v").orderBy("vec_id")
-    nodes = rows.select("vec_id", "v", "dim", "spread").withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1)
+    kept = same.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1)
+    copies = F.sequence(F.lit(1), F.least(F.col("rows"), F.lit(k)).cast("int"))
+    nodes = kept.select("vec_id", "v", "dim", "spread", F.explode(copies).alias("n"))
     counts = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if("q").alias("queries")).head()
     shards, query_blocks = blocks_for(counts["rows"], rows_per_shard), blocks_for(counts["queries"], QUERIES_PER_BLOCK)
 

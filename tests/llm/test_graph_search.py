@@ -59,3 +59,13 @@ def test_bad_vectors_ties_and_few_candidates(spark):
     few = spark.createDataFrame([(20, [1.0]), (20, [1.0]), (21, [2.0])], SCHEMA)
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in nearest(few, F.col("vec_id") == 20).collect()) == [(20, 1, 21, 2.0)] * 2
     assert nearest(docs.limit(0), F.col("vec_id") == 20).count() == 0
+
+
+def test_other_ids_behind_many_rows_of_the_query(spark):
+    rows = [(20, [1.0, 0.0])] * 25 + [(i, [1.0, 0.0]) for i in range(21, 30)] + [(21, [1.0, 0.0])] * 2 + [(1, [0.5, 0.0]), (40, [0.0, 1.0])]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    found = {}
+    for r in nearest(docs, F.col("vec_id") % 20 == 0, k=5).collect():
+        found.setdefault(r.query_id, {}).setdefault((r.rank, r.vec_id, r.score), []).append(r)
+    assert found[20].keys() == {(1, 21, 1.0), (2, 21, 1.0), (3, 21, 1.0), (4, 22, 1.0), (5, 23, 1.0)} and {len(same) for same in found[20].values()} == {25}
+    assert found[40].keys() == {(rank, vec_id, 0.0) for rank, vec_id in ((1, 1), *((n, 20) for n in range(2, 6)))}
