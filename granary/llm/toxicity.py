@@ -19,13 +19,16 @@ LEXICON_TERMS = 2_000
 MIN_DOCS = 5
 MIN_PURITY = 0.8
 STEM_LETTERS = (4, 5, 6)
-FUZZY_LETTERS = 5
+# From so many letters on a term may be misspelled by one edit, and by two.
+FUZZY_LETTERS = (3, 8)
 WINDOW_WORDS = 10
 KNOWN_WORDS = 300_000
 AUTOMATON_STATES = 50_000
 
 _WORD = re.compile(r"[^\W_]+")
-_QUOTED = re.compile(r"[\"“„«][^\"“”„«»\n]{1,300}[\"“”»]")
+# Words with marks inside, and single letters with blanks between them.
+_MASKED = re.compile(r"(?<![^\W_])(?:[^\W_]++(?:(?:[^\w\s]|_){1,3}[^\W_]++)++|[^\W_](?:[^\S\n][^\W_]){2,}(?![^\W_]))")
+_MARK = re.compile(r"[\"'“”„«»‘’\n]")
 
 
 @dataclass(frozen=True)
@@ -36,10 +39,44 @@ class Term:
     stem: bool
     exact: float
     fuzzy: float = 0.0
+    far: float = 0.0
 
     @property
     def edits(self) -> int:
-        return 1 if len(self.text) >= FUZZY_LETTERS else 0
+        return sum(len(self.text) >= letters for letters in FUZZY_LETTERS)
+
+    def evidence(self, edits: int) -> float:
+        """Of the exact form, of one edit, and of more."""
+        return (self.exact, self.fuzzy, self.far)[min(edits, 2)]
+
+
+def quotations(text: str) -> list[tuple[int, int]]:
+    """Start and end of each quotation of a text, in order and apart: marks are paired, however far from each other.
+
+    Straight marks open before a word and close behind one, as do single ones, which are apostrophes else; a single straight mark
+    is not paired over lines. A further opening mark before the closing one, as of each paragraph, is inside.
+    """
+    opened: dict[str, int] = {}
+    spans: list[tuple[int, int]] = []
+    for found in _MARK.finditer(text):
+        at, mark = found.start(), found.group()
+        before, after = text[at - 1:at], text[at + 1:at + 2]
+        if mark == "\n":
+            opened.pop("'", None)
+            continue
+        closes = {'"': '"', "'": "'", "”": "“„", "“": "„", "»": "«", "’": "‘"}.get(mark, "")
+        ends = mark not in "\"'’" or not before.isspace() and not after.isalnum()
+        first = min((opened[kind] for kind in closes if kind in opened), default=-1)
+        if first >= 0 and ends:
+            for kind in closes:
+                opened.pop(kind, None)
+            while spans and spans[-1][0] >= first:
+                spans.pop()
+            if not spans or spans[-1][1] < at:
+                spans.append((first, at + 1))
+        elif mark in "“„«‘" or mark in "\"'" and not before.isalnum() and after and not after.isspace():
+            opened.setdefault(mark, at)
+    return spans
 
 
 @dataclass
@@ -71,8 +108,25 @@ class LexiconAutomaton:
                     self.allowed.append(0)
                 self.allowed[node] = max(self.allowed[node], term.edits)
             self.ends[node].append(number)
+        # two neighbouring letters in each other's place are one step
+        self.swapped: dict[tuple[str, bool], int] = {}
+        for number in sorted(range(len(self.terms)), key=lambda i: (-self.terms[i].fuzzy, i)):
+            term = self.terms[number]
+            for i in range(len(term.text) - 1 if term.edits else 0):
+                form = term.text[:i] + term.text[i + 1] + term.text[i] + term.text[i + 2:]
+                self.swapped.setdefault((form, term.stem), number)
+        self.stem_sizes = sorted({len(form) for form, stem in self.swapped if stem}, reverse=True)
         self._restart()
 
+    def near(self, word: str) -> Match | None:
+        """The match of a word, with a swap of neighbours as one edit."""
+        found = self.match(word)
+        if found is not None and found.edits <= 1:
+            return found
+        forms = [(word, False), *((word[:size], True) for size in self.stem_sizes)]
+        number = next((self.swapped[form] for form in forms if form in self.swapped), None)
+        return found if number is None else Match(number, 1)
+
     def _restart(self) -> None:
         self.numbers: dict[tuple, int] = {}
         self.states: list[tuple[dict[int, int], dict[int, int]]] = []
@@ -106,7 +160,7 @@ class LexiconAutomaton:
         return self.numbers[key]
 
     def _evidence(self, number: int, edits: int) -> float:
-        return self.terms[number].fuzzy if edits else self.terms[number].exact
+        return self.terms[number].evidence(edits)
 
     def _step(self, state: int, letter: str) -> int:
         nodes, stems = self.states[state]
@@ -158,7 +212,7 @@ class ToxicityModel:
             if word in self._hot:
                 some = True
                 continue
-            found = self._automaton.match(word)
+            found = self._automaton.near(word)
             if found is None:
                 self._clean.add(word)
             else:
@@ -169,24 +223,42 @@ class ToxicityModel:
     def matches(self, text: str) -> list[dict]:
         """The terms in a text: term, word, start, end (code points), edits, its place among the words and whether it is quoted."""
         lowered = text.lower()
-        if not self._hot_words(set(_WORD.findall(lowered))):
+        masked = [(found.start(), found.end(), "".join(_WORD.findall(found.group()))) for found in _MASKED.finditer(lowered)]
+        if not self._hot_words({*_WORD.findall(lowered), *(word for _, _, word in masked)}):
             return []
-        quoted = [found.span() for found in _QUOTED.finditer(lowered)]
+        hot = [(start, end, word) for start, end, word in masked if word in self._hot]
+        quoted = quotations(lowered)
         result, inside = [], 0
+
+        def add(start: int, end: int, found: Match, edits: int, place: int) -> None:
+            nonlocal inside
+            while inside < len(quoted) and quoted[inside][1] <= start:
+                inside += 1
+            cited = inside < len(quoted) and quoted[inside][0] <= start
+            result.append({"term": self.terms[found.term].text, "word": lowered[start:end], "start": start, "end": end,
+                           "edits": edits, "place": place, "quoted": cited, "number": found.term})
+
+        pending = iter([*hot, (len(lowered) + 1, 0, "")])
+        ahead, within, first = next(pending), None, 0
         for place, word in enumerate(_WORD.finditer(lowered)):
+            start, end = word.span()
+            if within is not None and start >= within[1]:
+                # none of its parts was a term itself
+                if not result or result[-1]["end"] <= within[0]:
+                    add(within[0], within[1], self._hot[within[2]], self._hot[within[2]].edits + 1, first)
+                within = None
+            if start == ahead[0]:
+                within, first, ahead = ahead, place, next(pending)
             found = self._hot.get(word.group())
-            if found is None:
-                continue
-            while inside < len(quoted) and quoted[inside][1] <= word.start():
-                inside += 1
-            cited = inside < len(quoted) and quoted[inside][0] <= word.start()
-            result.append({"term": self.terms[found.term].text, "word": word.group(), "start": word.start(), "end": word.end(),
-                           "edits": found.edits, "place": place, "quoted": cited, "number": found.term})
+            if found is not None:
+                add(start, end, found, found.edits, place)
+        if within is not None and (not result or result[-1]["end"] <= within[0]):
+            add(within[0], within[1], self._hot[within[2]], self._hot[within[2]].edits + 1, first)
         return result
 
     def evidence(self, matches: Sequence[dict]) -> list[float]:
         """What a document is judged by: open evidence, its densest window, quoted evidence; each on a logarithmic scale."""
-        weight = [self.terms[m["number"]].fuzzy if m["edits"] else self.terms[m["number"]].exact for m in matches]
+        weight = [self.terms[m["number"]].evidence(m["edits"]) for m in matches]
         open_ = [w if not m["quoted"] else 0.0 for w, m in zip(weight, matches)]
         densest, total, first = 0.0, 0.0, 0
         for i, match in enumerate(matches):
@@ -291,21 +363,24 @@ def _with_fuzzy(sample: DataFrame, model: ToxicityModel) -> list[Term]:
     """The terms with the evidence of their misspelled forms."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(number, toxic) for value, toxic in zip(batch["text"], batch["toxic"])
-                    for number in {m["number"] for m in model.matches(value) if m["edits"]}]
-            yield pd.DataFrame(rows, columns=["number", "toxic"], dtype="int64")
+            rows = [(number, edits, toxic) for value, toxic in zip(batch["text"], batch["toxic"])
+                    for number, edits in {(m["number"], min(m["edits"], 2)) for m in model.matches(value) if m["edits"]}]
+            yield pd.DataFrame(rows, columns=["number", "edits", "toxic"], dtype="int64")
 
-    found = sample.mapInPandas(count, "number bigint, toxic bigint").groupBy("number").agg(
+    found = sample.mapInPandas(count, "number bigint, edits bigint, toxic bigint").groupBy("number", "edits").agg(
         F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("all")).collect()
     totals = sample.agg(F.coalesce(F.sum("toxic"), F.lit(0)).alias("bad"), F.count(F.lit(1)).alias("all")).head()
     base = np.log(totals["bad"] + 1) - np.log(totals["all"] - totals["bad"] + 1)
-    seen = {row["number"]: (row["bad"], row["all"] - row["bad"]) for row in found}
+    seen = {(row["number"], row["edits"]): (row["bad"], row["all"] - row["bad"]) for row in found}
     result = []
     for number, term in enumerate(model.terms):
-        bad, good = seen.get(number, (0, 0))
-        # an unseen form is trusted half as much as the term itself
-        fuzzy = np.log(bad + 0.5) - np.log(good + 0.5) - base if bad + good else term.exact / 2
-        result.append(Term(term.text, term.stem, term.exact, float(min(max(fuzzy, 0.0), term.exact))))
+        weights = []
+        for edits in (1, 2):
+            bad, good = seen.get((number, edits), (0, 0))
+            # an unseen form is trusted half as much as the term itself
+            fuzzy = np.log(bad + 0.5) - np.log(good + 0.5) - base if bad + good else term.exact / 2
+            weights.append(float(min(max(fuzzy, 0.0), term.exact)))
+        result.append(Term(term.text, term.stem, term.exact, *weights))
     return result
 
 
