@@ -30,8 +30,11 @@ def _as_documents(made: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter go; a missing language is filled in."""
-    found = predict_language(docs, learn_profiles(docs)).where(F.col("lang_pred") != UNKNOWN)
+    """Documents without a letter go; a missing language is filled in, by ``und`` if the table names no language to learn."""
+    profiles = learn_profiles(docs)
+    found = predict_language(docs, profiles)
+    # without a profile every prediction is unknown, which says nothing about the text
+    found = found.where(F.col("lang_pred") != UNKNOWN if profiles.languages else F.rlike("text", F.lit(r"\p{L}")))
     return same_columns(found.withColumn("lang", F.coalesce("lang", "lang_pred")), docs.columns)
 
 

@@ -78,3 +78,10 @@ def test_run_packs_what_is_left(spark, directory):
 def test_run_over_an_empty_table(spark, directory, tmp_path):
     spark.read.parquet(f"{directory[0]}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_documents_stay_when_no_language_is_known(spark):
+    rows = [(1, "the house", None, "src", 9), (2, "12345 !!", None, "src", 8), (3, None, None, "src", 0), (4, "la maison", None, "src", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = corpus_pipeline.identify_language(spark, docs, "").collect()
+    assert sorted((r.doc_id, r.text, r.lang) for r in found) == [(1, "the house", "und"), (4, "la maison", "und")]
