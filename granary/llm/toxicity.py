@@ -15,7 +15,8 @@ from granary.llm.common import others
 from granary.llm.components import stored
 
 SAMPLE_ROWS = 20_000
-LEXICON_TERMS = 2_000
+# The chance that any form at all becomes a term though it stands in documents of label 1 no more often than others do.
+FALSE_TERMS = 0.01
 MIN_DOCS = 5
 MIN_PURITY = 0.8
 STEM_LETTERS = (4, 5, 6)
@@ -189,34 +190,55 @@ class LexiconAutomaton:
         return self.results[state]
 
 
+class _Words:
+    """The automaton of a lexicon and the words it has judged so far."""
+
+    def __init__(self, terms: Sequence[Term]):
+        self.automaton = LexiconAutomaton(terms)
+        self.clean: set[str] = set()
+        self.hot: dict[str, Match] = {}
+
+
+# A worker serves many tasks of one model; it keeps the words of the last model it met.
+_met: dict[tuple[Term, ...], _Words] = {}
+
+
 @dataclass
 class ToxicityModel:
     """Terms and the weights of a logistic score over a document's evidence."""
 
     terms: list[Term]
     weights: list[float]
-    _automaton: LexiconAutomaton | None = field(default=None, repr=False)
-    _clean: set[str] = field(default_factory=set, repr=False)
-    _hot: dict[str, Match] = field(default_factory=dict, repr=False)
+    _words: _Words | None = field(default=None, repr=False, compare=False)
 
     def __getstate__(self) -> dict:
-        return {"terms": self.terms, "weights": self.weights, "_automaton": None, "_clean": set(), "_hot": {}}
+        return {"terms": self.terms, "weights": self.weights, "_words": None}
+
+    @property
+    def _hot(self) -> dict[str, Match]:
+        return self._words.hot
 
     def _hot_words(self, words: set[str]) -> bool:
-        if self._automaton is None:
-            self._automaton = LexiconAutomaton(self.terms)
-        if len(self._clean) > KNOWN_WORDS or len(self._hot) > KNOWN_WORDS:
-            self._clean, self._hot = set(), {}
+        if self._words is None:
+            key = tuple(self.terms)
+            if key not in _met:
+                _met.clear()
+                _met[key] = _Words(self.terms)
+            self._words = _met[key]
+        known = self._words
+        if len(known.clean) > KNOWN_WORDS or len(known.hot) > KNOWN_WORDS:
+            known.clean.clear()
+            known.hot.clear()
         some = False
-        for word in words - self._clean:
-            if word in self._hot:
+        for word in words - known.clean:
+            if word in known.hot:
                 some = True
                 continue
-            found = self._automaton.near(word)
+            found = known.automaton.near(word)
             if found is None:
-                self._clean.add(word)
+                known.clean.add(word)
             else:
-                self._hot[word] = found
+                known.hot[word] = found
                 some = True
         return some
 
@@ -275,16 +297,22 @@ class ToxicityModel:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, rows: int) -> DataFrame:
-    """At most ``rows`` labelled documents, chosen by a hash of the id; one label per id."""
+    """At most ``rows`` labelled documents, chosen by a hash of the id; one label per id and per text, and whether a row picks terms."""
     known = labels.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{label}`").cast("int").alias("toxic")).where("id IS NOT NULL AND toxic IN (0, 1)")
     chosen = known.groupBy("id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(rows)
     found = docs.select(F.col(f"`{doc_id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    # the sample has a fixed bound, so it may be broadcast
-    return stored(found.join(F.broadcast(chosen), "id").select("text", "toxic"), "labelled")
+    # the sample has a fixed bound, so it may be broadcast; copies of a text are evidence once
+    texts = found.join(F.broadcast(chosen), "id").groupBy("text").agg(F.max("toxic").alias("toxic"))
+    return stored(texts.withColumn("picks", F.pmod(F.xxhash64("text"), F.lit(3)) > 0), "labelled")
 
 
 def _lexicon(sample: DataFrame) -> list[Term]:
-    """Words and stems that stand almost only in documents with label 1, at most ``LEXICON_TERMS``."""
+    """Words and stems that stand almost only in documents with label 1, and there more often than chance explains.
+
+    By Chernoff's bound a form in n documents, a share s of them with label 1, comes about by chance with a probability of at most
+    exp(-n KL(s, base rate)); times the number of forms that must not exceed ``FALSE_TERMS``. So a term needs about ten documents, and
+    the sample bounds the number of terms.
+    """
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]{3,}"), F.lit(0)))
     split = sample.select("toxic", words.alias("words"))
 
@@ -294,11 +322,15 @@ def _lexicon(sample: DataFrame) -> list[Term]:
 
     forms = split.select("toxic", F.explode(F.concat("words", *[stems(size) for size in STEM_LETTERS])).alias("form"))
     counted = forms.groupBy("form").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
-    pure = counted.where((F.col("bad") >= MIN_DOCS) & (F.col("bad") >= MIN_PURITY * (F.col("bad") + F.col("good"))))
     totals = sample.agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("all")).head()
     base = np.log((totals["bad"] or 0) + 1) - np.log(totals["all"] - (totals["bad"] or 0) + 1)
-    # words also occur as their own longest stem, so twice the bound is asked for before the choice between them
-    rows = pure.orderBy(F.desc("bad"), "form").limit(2 * LEXICON_TERMS).collect()
+    pure = counted.where((F.col("bad") >= MIN_DOCS) & (F.col("bad") >= MIN_PURITY * (F.col("bad") + F.col("good"))))
+    rate = ((totals["bad"] or 0) + 1) / (totals["all"] + 2)
+    n = F.col("bad") + F.col("good")
+    surprise = F.col("bad") * F.ln(F.col("bad") / n / rate) + F.when(F.col("good") > 0, F.col("good") * F.ln(F.col("good") / n / (1 - rate))).otherwise(0.0)
+    # a share below the base rate is as far from it, but says the opposite
+    enough = np.log(max(counted.count(), 1) / FALSE_TERMS)
+    rows = pure.where((F.col("bad") / n > rate) & (surprise > enough)).orderBy(F.desc("bad"), "form").collect()
     bad = {row["form"]: row["bad"] for row in rows}
     evidence = {row["form"]: float(np.log(row["bad"] + 0.5) - np.log(row["good"] + 0.5) - base) for row in rows}
     most = dict.fromkeys(bad, 0)
@@ -316,37 +348,65 @@ def _lexicon(sample: DataFrame) -> list[Term]:
         covered = any(size < len(bare) and f"{bare[:size]}*" in stems_kept for size in STEM_LETTERS)
         if not covered and (form in stems_kept or not form.endswith("*")):
             kept.append(Term(bare, form.endswith("*"), evidence[form]))
-    return kept[:LEXICON_TERMS]
+    return kept
+
+
+PRIOR = np.array([-3.0, 1.5, 1.5, 0.75])
 
 
 def _fitted(features: np.ndarray, toxic: np.ndarray) -> list[float]:
-    """Weights of a logistic score, drawn towards a prior in which quoted evidence counts a quarter and nothing means clean."""
-    prior = np.array([-3.0, 1.5, 1.5, 0.75])
+    """Weights of a logistic score, drawn towards a prior in which quoted evidence counts a quarter and nothing means clean.
+
+    The penalised likelihood has one maximum. Newton's steps towards it are halved until the likelihood rises enough, so that it is
+    reached from everywhere. More open evidence never makes a document cleaner: a weight that would be negative is held at zero.
+    """
     x = np.hstack([np.ones((len(features), 1)), features])
-    weights = prior.copy()
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-        gradient = x.T @ (toxic - p) - (weights - prior)
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.eye(len(prior))
-        step = np.linalg.solve(hessian, gradient)
-        weights = weights + step
-        if np.abs(step).max() < 1e-8:
+    free = np.ones(len(PRIOR), dtype=bool)
+    while True:
+        weights = np.where(free, PRIOR, 0.0)
+        weights = _maximised(x, toxic, weights, free)
+        negative = free & (weights < 0)
+        negative[0] = False
+        if not negative.any():
+            return [float(w) for w in weights]
+        free &= ~negative
+
+
+def _maximised(x: np.ndarray, toxic: np.ndarray, weights: np.ndarray, free: np.ndarray) -> np.ndarray:
+    def likelihood(w: np.ndarray) -> float:
+        z = x @ w
+        return float(toxic @ z - np.logaddexp(0.0, z).sum() - 0.5 * ((w - PRIOR)[free] ** 2).sum())
+
+    value = likelihood(weights)
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-np.clip(x @ weights, -500, 500)))
+        gradient = (x.T @ (toxic - p) - (weights - PRIOR))[free]
+        hessian = ((x * (p * (1 - p))[:, None]).T @ x + np.eye(len(PRIOR)))[np.ix_(free, free)]
+        step = np.zeros(len(PRIOR))
+        step[free] = np.linalg.solve(hessian, gradient)
+        gain, part = float(gradient @ step[free]), 1.0
+        while part > 1e-12 and likelihood(weights + part * step) < value + 1e-4 * part * gain:
+            part /= 2
+        if part <= 1e-12:
+            break
+        weights = weights + part * step
+        value = likelihood(weights)
+        if gain < 1e-10:
             break
-    # more open evidence never makes a document cleaner
-    return [float(weights[0]), *[float(max(w, 0.0)) for w in weights[1:]]]
+    return weights
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
                    sample_rows: int = SAMPLE_ROWS) -> ToxicityModel:
     """Learn terms and weights from at most ``sample_rows`` labelled documents, chosen by a hash of their ids.
 
-    First the words and stems that mark label 1 are found. Then the automaton is run over the sample, and the misspelled forms of each
-    term get evidence from the labels of the documents they stand in: a form that is common in clean documents gets none. Last, a
-    logistic score is fitted to the evidence. Null labels, ids and labels other than 0 and 1 teach nothing; with two labels for an id
+    First the words and stems that mark label 1 are found, by two thirds of the texts. Then the automaton is run over the sample, and
+    the misspelled forms of each term get evidence from the labels of the documents they stand in: a form that is common in clean
+    documents gets none. Last, a logistic score is fitted to the evidence of the other third, which picked no term. Null labels, ids and labels other than 0 and 1 teach nothing; with two labels for an id
     the greater holds. Without labelled documents the lexicon is empty and all scores are low.
     """
     sample = _sample(docs, labels, doc_id, text, label, sample_rows)
-    model = ToxicityModel(_lexicon(sample), [0.0, 0.0, 0.0, 0.0])
+    model = ToxicityModel(_lexicon(sample.where("picks")), [0.0, 0.0, 0.0, 0.0])
     model = ToxicityModel(_with_fuzzy(sample, model), model.weights)
 
     def evidence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -354,7 +414,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
             rows = [model.evidence(model.matches(value)) for value in batch["text"]]
             yield pd.DataFrame(rows, columns=["a", "b", "c"], dtype=float).assign(toxic=batch["toxic"].to_numpy())
 
-    rows = sample.mapInPandas(evidence, "a double, b double, c double, toxic int").toPandas()
+    rows = sample.where("NOT picks").mapInPandas(evidence, "a double, b double, c double, toxic int").toPandas()
     weights = _fitted(rows[["a", "b", "c"]].to_numpy(), rows["toxic"].to_numpy())
     return ToxicityModel(model.terms, weights)
 

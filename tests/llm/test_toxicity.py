@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from granary.llm.queries import QUERIES
-from granary.llm.toxicity import LexiconAutomaton, Term, ToxicityModel, learn_toxicity, score_toxicity
+from granary.llm.toxicity import LexiconAutomaton, Term, ToxicityModel, _fitted, learn_toxicity, score_toxicity
 from tests.llm.brute import edit_distance
 
 TERMS = [Term("moron", False, 5.0, 2.0), Term("trash", False, 4.0, 1.0), Term("scum", False, 4.0), Term("lowei", True, 6.0, 3.0),
@@ -130,3 +130,61 @@ def test_held_out_accuracy(spark):
     held = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
     assert np.mean([predicted == label for predicted, label in held]) > 0.93
     assert np.mean([predicted for predicted, label in held if label]) > 0.5
+
+
+@pytest.mark.parametrize("kind", ["rare", "noisy", "separable", "heavy"])
+def test_fit_reaches_its_maximum(kind):
+    """Against many small steps up the slope; few clean documents are called toxic, whatever the evidence looks like."""
+    for seed in range(6):
+        draw = np.random.default_rng(seed)
+        n = 4_000
+        toxic = (draw.random(n) < {"rare": 0.01, "noisy": 0.1, "separable": 0.1, "heavy": 0.1}[kind]).astype(float)
+        hit = np.where(toxic > 0, draw.random(n) < (1.0 if kind == "separable" else 0.9), draw.random(n) < (0.0 if kind == "separable" else 0.03))
+        strength = draw.gamma(2.0, 20.0 if kind == "heavy" else 2.0, n) * hit
+        features = np.log1p(np.column_stack([strength, strength * draw.random(n), strength * (draw.random(n) < 0.2)]))
+        weights = np.array(_fitted(features, toxic))
+        x = np.hstack([np.ones((n, 1)), features])
+        z = x @ weights
+        assert np.abs(weights).max() < 50
+        assert np.mean(z[toxic == 0] >= 0) < 0.05
+        # nobody toxic at all would be wrong for a tenth
+        assert np.mean((z >= 0) != toxic) < {"rare": 0.02, "separable": 0.01}.get(kind, 0.06)
+        prior = np.array([-3.0, 1.5, 1.5, 0.75])
+
+        def likelihood(w):
+            return toxic @ (x @ w) - np.logaddexp(0, x @ w).sum() - 0.5 * ((w - prior) ** 2).sum()
+
+        best = likelihood(weights) if (weights[1:] > 0).all() else None
+        for _ in range(300 if best is not None else 0):
+            assert likelihood(weights + draw.normal(0, 0.05, 4)) <= best + 1e-6
+
+
+def slow_score(model, text):
+    """Evidence and score of a document whose words are told apart by blanks, by plain sums over its matches."""
+    words = text.lower().split(" ")
+    hits = [(place, *found) for place, found in enumerate(map(slow_match, words)) if found]
+    weights = [(place, TERMS[number].evidence(edits)) for place, edits, _, number in hits]
+    densest = max((sum(w for p, w in weights if place - 10 <= p <= place) for place, _ in weights), default=0.0)
+    z = model.weights[0] + model.weights[1] * np.log1p(sum(w for _, w in weights)) + model.weights[2] * np.log1p(densest)
+    return 1 / (1 + np.exp(-z))
+
+
+def test_scores_equal_brute_force(spark):
+    draw = random.Random(9)
+    known = ["moron", "mor0n", "trash", "scum", "loweist", "vequx", "vequ", "disgustng", "house", "tree", "hill", "corn"]
+    rows = [(i, " ".join(draw.choice(known + ["plain"] * 40) for _ in range(draw.randrange(1, 80)))) for i in range(200)]
+    model = ToxicityModel(TERMS, [-3.0, 1.5, 1.0, 0.3])
+    found = {r.doc_id: r.score for r in score_toxicity(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert found == {i: pytest.approx(slow_score(model, text), abs=1e-12) for i, text in rows}
+
+
+def test_rare_forms_by_chance_are_no_terms(spark):
+    """Many forms, each in few documents: some stand in documents of label 1 only, which says nothing."""
+    draw = random.Random(8)
+    rows = [(i, " ".join(f"w{draw.randrange(9_000)}x" for _ in range(60)) + (" moron" if i % 10 == 0 else "")) for i in range(1_500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    model = learn_toxicity(docs, labels)
+    assert {term.text for term in model.terms} <= {"moron", "moro", "moron"} and model.terms
+    rows = {r.doc_id: r.predicted for r in score_toxicity(docs, model).collect()}
+    assert np.mean([rows[i] == (i % 10 == 0) for i in rows]) > 0.99
