@@ -23,6 +23,15 @@ def register_batch_udf(spark: SparkSession, name: str, function: Callable[[pd.Se
     return spark.udf.register(name, batch_udf(function, return_type))
 
 
+def register_sql_function(spark: SparkSession, name: str, parameters: str, returns: str, body: str) -> None:
+    """Make an SQL expression callable by ``name`` in this session.
+
+    ``parameters`` are names with types, as in ``"salary DOUBLE"``. A call is replaced by the expression when the query is planned, so it
+    runs where built-in functions do, without Python.
+    """
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS {returns} RETURN {body}")
+
+
 def shared_lookup_udf(spark: SparkSession, entries: Mapping[object, object], return_type: str = "string"):
     """Look values up in a mapping that is sent to each executor once; a missing or null key gives null.
 

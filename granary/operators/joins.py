@@ -35,6 +35,16 @@ def equi_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], how: str
     return left.join(right, condition, how)
 
 
+def pruned_join(partitioned: DataFrame, dimension: DataFrame, on: Mapping[str, str]) -> DataFrame:
+    """Inner join of a table in partition directories with a filtered ``dimension``, by partition columns.
+
+    The filter of the dimension becomes one of the scan while the query runs: of the partitioned table only the directories whose
+    values the dimension holds are read. That needs the dimension broadcast, which happens behind a check of its size; a larger one
+    makes a plain join. ``partitioned`` must be a plain read, with the values of its partitions as columns.
+    """
+    return equi_join(partitioned, dimension, on, "inner", "broadcast")
+
+
 def join_left_when(left: DataFrame, right: DataFrame, on: Mapping[str, str], when: Column) -> DataFrame:
     """Left outer join that only looks for partners of left rows fulfilling ``when``; every left row stays.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
@@ -144,6 +145,45 @@ def optimize_files(spark: SparkSession, path: str, destination: str, partition_b
     return files
 
 
+def compact_partitions(spark: SparkSession, table: str, destination: str, where: str | None = None, target_bytes: int = 256 * 1024 * 1024,
+                       cluster_by: str | Sequence[str] = ()) -> int:
+    """Give the partitions of a catalog table that ``where`` selects new files, of about ``target_bytes``, below ``destination``.
+
+    Each partition of the catalog has a location of its own. Only the selected ones are read; their rows are written to new
+    directories, clustered by ``cluster_by`` if given, and then the catalog is told, partition by partition, where they are now. All other
+    partitions are neither read nor written and keep their files. A reader sees a partition before or after its switch, and the old
+    files stay, so a query that runs meanwhile and a lost driver are no danger; a call that ended early can be repeated with another
+    destination. ``where`` may use partition columns only. Returns the number of partitions switched.
+    """
+    by = [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
+    rows = spark.table(table)
+    if not by or where is not None and not _uses_only(spark, rows, where, by):
+        raise ValueError(f"where may only use the partition columns {by}: {where}")
+    chosen = rows.where(where) if where else rows
+    files = chosen.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")).distinct()
+    aimed = max(1, math.ceil(files.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).head()["bytes"] / target_bytes))
+    placed = chosen.withColumn("_place", F.xxhash64("_metadata.file_path", "_metadata.row_index"))
+    names = as_list(cluster_by)
+    placed = cluster(placed, names, aimed, within=by, spread_by=["_place"]) if names else placed.repartitionByRange(aimed, *by, "_place")
+    placed.drop("_place").write.partitionBy(*by).parquet(destination)
+    # directories as Spark named them, with values of the table's types
+    written = spark.read.schema(rows.schema).parquet(destination)
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+    switched = written.select(*by, folder.alias("_folder")).distinct().collect()
+    for row in switched:
+        spec = ", ".join(f"`{name}` = {_sql_literal(row[name])}" for name in by)
+        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION {_sql_literal(unquote(row['_folder']))}")
+    spark.catalog.refreshTable(table)
+    return len(switched)
+
+
+def _sql_literal(value: object) -> str:
+    if value is None:
+        return "null"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
 def _writer(df: DataFrame, by: Sequence[str]) -> DataFrameWriter:
     return df.write.partitionBy(*by) if by else df.write
 

@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 PIECE = "_piece"
 PIECES = "_pieces"
 _ROWS = "_rows"
+# The most items a sketch may track, and the tasks that merge sketches before the last one does.
+MOST_TRACKED = 1_000_000
+SKETCH_MERGERS = 64
 
 
 def as_list(names: str | Sequence[str]) -> list[str]:
@@ -27,16 +30,42 @@ def key_rows(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     return df.groupBy(*as_list(key)).agg(F.count(F.lit(1)).alias(_ROWS))
 
 
+def _key_hash(keys: Sequence[str]) -> Column:
+    """A whole number for a key; null is told from every value."""
+    return F.xxhash64(*[part for name in keys for part in (F.col(f"`{name}`").isNull(), F.col(f"`{name}`"))])
+
+
+def key_sketch(df: DataFrame, key: str | Sequence[str], pieces: int) -> DataFrame:
+    """One row: the number of rows and the hashes of the most frequent keys with their estimated rows.
+
+    Each task counts in a sketch of frequent items, and sketches are merged in two steps, so what travels is their fixed size for
+    each task, however many keys there are. A sketch that tracks m items is wrong by at most 2.7 / m of all rows; with 16 items for
+    each piece no key of more than ``1/pieces`` of the rows is missed.
+    """
+    tracked = min(16 * max(pieces, 2), MOST_TRACKED)
+    hashed = df.select(_key_hash(as_list(key)).alias("_hash"))
+    places = hashed.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_MERGERS)).alias("_place")).agg(
+        F.count(F.lit(1)).alias(_ROWS), F.expr(f"approx_top_k_accumulate(_hash, {tracked})").alias("_sketch"))
+    merged = places.agg(F.sum(_ROWS).alias(_ROWS), F.expr(f"approx_top_k_combine(_sketch, {tracked})").alias("_sketch"))
+    return merged.select(_ROWS, F.expr(f"approx_top_k_estimate(_sketch, {min(2 * max(pieces, 2), tracked)})").alias("_items"))
+
+
 def heavy_keys(df: DataFrame, key: str | Sequence[str], pieces: int) -> DataFrame:
     """Keys that hold more than ``1/pieces`` of the rows, with the number of pieces each should be cut into.
 
-    Fewer than ``pieces`` keys can qualify, and their pieces add up to less than ``2 * pieces``, whatever the data. So they are
-    found once, by one job over the key column with partial counts, and returned as a table of literals that is safe to broadcast.
+    Fewer than ``pieces`` keys can qualify, and their pieces add up to less than ``2 * pieces``, whatever the data. Candidates come
+    from ``key_sketch``; only if there are some, their rows alone are counted, one row for each candidate and task. The result is a table
+    of literals that is safe to broadcast.
     """
     keys = as_list(key)
-    total = df.agg(F.count(F.lit(1)).alias("total")).scalar()
+    sketch = key_sketch(df, keys, pieces).head()
+    total = sketch[_ROWS] or 0
+    hashes = [item["item"] for item in sketch["_items"] or [] if item["count"] * pieces > total]
     scaled = F.col(_ROWS) * F.lit(pieces)
-    found = key_rows(df, keys).where(scaled > total).select(*keys, F.ceil(scaled / total).cast("int").alias(PIECES))
+    chosen = df.where(_key_hash(keys).isin(hashes)) if hashes else df.limit(0)
+    found = key_rows(chosen, keys).where(scaled > total).select(*keys, F.ceil(scaled / max(total, 1)).cast("int").alias(PIECES))
+    if not hashes:
+        return df.sparkSession.createDataFrame([], found.schema)
     return df.sparkSession.createDataFrame(found.toArrow(), found.schema)
 
 

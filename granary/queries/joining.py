@@ -22,7 +22,7 @@ from granary.operators.sizing import proven_small
 from granary.operators.views import broadcast_hint, sql_over
 from granary.queries.registry import Tables, query
 from granary.session import scratch_path
-from granary.sinks.tables import bucket_count, bucketed_join, save_bucketed_pair
+from granary.sinks.tables import bucket_count, bucketed_join, save_bucketed, save_bucketed_pair
 from granary.sources.rows import sequence_table
 
 CUSTOMER_NATION = "SELECT c_custkey, c_name, n_name FROM customer {} JOIN nation ON c_nationkey = n_nationkey"
@@ -105,6 +105,23 @@ def join_bucketed(t: Tables) -> DataFrame:
     return joined
 
 
+@query("""SELECT l_orderkey, l_linenumber, l_extendedprice, o_custkey, o_orderstatus FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+def join_buckets_coalesced(t: Tables) -> DataFrame:
+    """Tables saved apart, one in twice as many buckets as the other."""
+    path = scratch_path(t.spark, "buckets")
+    name = path.rpartition("/")[2].replace("-", "_")
+    items, orders = f"{name}_items", f"{name}_orders"
+    left = t("lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    right = t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus")
+    buckets = bucket_count(left, right)
+    save_bucketed(left, items, 2 * buckets, "l_orderkey", f"{path}/items")
+    save_bucketed(right, orders, buckets, "l_orderkey", f"{path}/orders")
+    joined = bucketed_join(t.spark, items, orders, "l_orderkey")
+    for table in (items, orders):
+        t.spark.sql(f"DROP TABLE {table}")
+    return joined
+
+
 SKEWED_USER = "CASE WHEN event_type <> 'error' THEN 1 ELSE user_id END"
 SKEWED_SQL = f"""SELECT event_id, value, {SKEWED_USER} AS user_key, c_name, c_mktsegment
                  FROM events LEFT JOIN customer ON c_custkey = {SKEWED_USER}"""

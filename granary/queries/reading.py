@@ -13,6 +13,7 @@ from granary.session import scratch_path
 from granary.sinks.extracts import TARGET, multi_extract
 from granary.sinks.files import write_csv, write_files, write_json, write_orc, write_parquet, write_partitioned
 from granary.sinks.keyed import append_files, keyed_append, keyed_delete
+from granary.sinks.listed import delete_from_files, read_listed
 from granary.sinks.tables import drop_versions, publish_version, save_partitioned_table, save_table
 from granary.sources.columnar import read_nested, read_orc, read_parquet, read_partitioned, read_table, with_source_file
 from granary.sources.delimited import mark_bad, read_csv, read_csv_plain
@@ -275,6 +276,17 @@ def keyed_delete_version(t: Tables) -> DataFrame:
     return read_partitioned(t.spark, path)
 
 
+@query("SELECT event_id, event_type, value FROM events WHERE NOT (event_type = 'error' AND event_id % 1000 < 300)")
+def keyed_delete_files(t: Tables) -> DataFrame:
+    """A delete that writes anew only the files that hold a deleted key."""
+    path = scratch_path(t.spark, "events-listed")
+    write_partitioned(t("events").select("event_id", "event_type", "value"), path, "event_type")
+    gone = t("events").where((F.col("event_type") == "error") & (F.col("event_id") % 1000 < 300))
+    schema = "event_id bigint, value double, event_type string"
+    delete_from_files(t.spark, path, gone.select("event_id"), "event_id", by="event_type", schema=schema)
+    return read_listed(t.spark, path, schema).select("event_id", "event_type", "value")
+
+
 EXTRACTED = ("Nation_3", "NATION_7", "nation_11", "Nation_19")
 
 

@@ -3,33 +3,45 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+# The schema of each path of an application, together with the state of the files it was read from.
+_known: dict[tuple[str, str], tuple[tuple, StructType]] = {}
+
+
+def _files_state(spark: SparkSession, path: str) -> tuple:
+    """Number, bytes and newest time of the files of a table, by one listing; no file is opened and no job started."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = files.listStatus(place)
+    return len(found), sum(status.getLen() for status in found), max((status.getModificationTime() for status in found), default=0)
+
+
 @dataclass(frozen=True)
 class Tables:
-    """The parquet tables of one data directory, for one run of a query."""
+    """The parquet tables of one data directory."""
 
     spark: SparkSession
     directory: str
-    schemas: dict[str, StructType] = field(default_factory=dict, repr=False)
 
     def __call__(self, name: str) -> DataFrame:
         path = self.path(name)
-        if path not in self.schemas:
-            # each read without a schema starts a job that opens file footers; one per table and run is enough
-            self.schemas[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(self.schemas[path]).parquet(path)
+        key, state = (self.spark.sparkContext.applicationId, path), _files_state(self.spark, path)
+        if key not in _known or _known[key][0] != state:
+            # a read without a schema starts a job that opens file footers; it is needed again only when the files change
+            _known[key] = state, self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_known[key][1]).parquet(path)
 
     def path(self, name: str) -> str:
         return f"{self.directory}/{name}.parquet"
 
     def through(self, spark: SparkSession) -> Tables:
         """The same tables read through another session."""
-        return Tables(spark, self.directory, self.schemas)
+        return Tables(spark, self.directory)
 
 
 @dataclass(frozen=True)

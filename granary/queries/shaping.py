@@ -6,8 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.dates import format_date, in_zone, parse_date, year_text
-from granary.functions.text import joined_text, or_default, parse_json, render_json, replace_pattern
-from granary.functions.udfs import batch_udf, bonus, register_batch_udf
+from granary.functions.text import (
+    explode_variant,
+    joined_text,
+    or_default,
+    parse_json,
+    parse_variant,
+    render_json,
+    replace_pattern,
+    variant_field,
+    variant_shape,
+)
+from granary.functions.udfs import batch_udf, bonus, register_batch_udf, register_sql_function
 from granary.operators.nested import expand_struct, explode_array, flatten
 from granary.operators.projection import (
     case_map,
@@ -236,6 +246,46 @@ def udf_sql_bonus(t: Tables) -> DataFrame:
     return t.through(session)("customer").selectExpr("c_custkey", "bonus(c_acctbal) as bonus")
 
 
+@query("SELECT c_custkey, c_acctbal * CAST(0.2 AS DOUBLE) AS bonus FROM customer")
+def sql_function_bonus(t: Tables) -> DataFrame:
+    """The bonus by a function that SQL text can call and that is an expression itself."""
+    session = view_session(t.spark)
+    register_sql_function(session, "fifth_of", "amount DOUBLE", "DOUBLE", "amount * 0.2D")
+    return t.through(session)("customer").selectExpr("c_custkey", "fifth_of(c_acctbal) as bonus")
+
+
+# events.props and other documents, of a shape that differs from row to row
+MIXED_JSON = """CASE event_id % 6 WHEN 0 THEN props WHEN 1 THEN concat('[', user_id, ', "', event_type, '"]') WHEN 2 THEN concat('"', event_type, '"')
+                WHEN 3 THEN concat('{"k": "', event_type, '", "who": {"user": ', user_id, '}}') WHEN 4 THEN concat('{"k": ', user_id) ELSE '[]' END"""
+
+
+def _documents(t: Tables) -> DataFrame:
+    return t("events").select("event_id", parse_variant(F.expr(MIXED_JSON)).alias("document"))
+
+
+@query(f"""WITH d AS (SELECT event_id, {MIXED_JSON} AS p FROM events),
+                v AS (SELECT event_id, CASE WHEN json_valid(p) THEN CAST(p AS JSON) END AS p FROM d)
+           SELECT event_id, json_extract_string(p, '$.k') AS k, TRY_CAST(json_extract_string(p, '$.who.user') AS BIGINT) AS user_id,
+                  json_extract_string(p, '$[1]') AS second, CASE json_type(p) WHEN 'VARCHAR' THEN 'STRING' ELSE json_type(p) END AS shape FROM v""")
+def json_variant(t: Tables) -> DataFrame:
+    return _documents(t).select("event_id", variant_field("document", "$.k", "string").alias("k"),
+                                variant_field("document", "$.who.user", "bigint").alias("user_id"),
+                                variant_field("document", "$[1]", "string").alias("second"), variant_shape("document").alias("shape"))
+
+
+@query(f"""WITH d AS (SELECT event_id, {MIXED_JSON} AS p FROM events),
+                v AS (SELECT event_id, CAST(p AS JSON) AS p FROM d WHERE json_valid(p)),
+                o AS (SELECT event_id, p, unnest(json_keys(p)) AS key FROM v WHERE json_type(p) = 'OBJECT'),
+                a AS (SELECT event_id, p, unnest(range(CAST(json_array_length(p) AS BIGINT))) AS pos FROM v WHERE json_type(p) = 'ARRAY')
+           SELECT event_id, key, CASE WHEN json_type(p, '$.' || key) <> 'OBJECT' THEN json_extract_string(p, '$.' || key) END AS value FROM o
+           UNION ALL SELECT event_id, NULL, json_extract_string(p, '$[' || pos || ']') FROM a""")
+def json_variant_fields(t: Tables) -> DataFrame:
+    """Each field and element of documents of any shape."""
+    fields = explode_variant(_documents(t), "document")
+    value = F.when(variant_shape("value") != "OBJECT", variant_field("value", "$", "string"))
+    return fields.select("event_id", "key", value.alias("value"))
+
+
 @query("SELECT c_custkey, c_acctbal * CAST(0.2 AS DOUBLE) AS bonus FROM customer")
 def native_bonus(t: Tables) -> DataFrame:
     return t("customer").selectExpr("c_custkey", "c_acctbal * 0.2D as bonus")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
@@ -17,6 +18,20 @@ def write_parquet(df: DataFrame, path: str, mode: str = "error") -> None:
     df.write.mode(mode).parquet(path)
 
 
+def write_with_blooms(df: DataFrame, path: str, distinct: Mapping[str, int], mode: str = "error") -> None:
+    """Parquet files whose row groups carry a Bloom filter for each column of ``distinct``.
+
+    A lookup of a value that is absent from a row group then skips it, also where the value lies between its least and greatest one, as
+    in a table that is not clustered by the column. ``distinct`` gives the values expected in a file, by which a filter is sized. These
+    columns go without a dictionary, which a filter does the work of.
+    """
+    writer = df.write.mode(mode)
+    for name, values in distinct.items():
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true").option(f"parquet.bloom.filter.expected.ndv#{name}", str(values))
+        writer = writer.option(f"parquet.enable.dictionary#{name}", "false")
+    writer.parquet(path)
+
+
 def write_orc(df: DataFrame, path: str, mode: str = "error") -> None:
     df.write.mode(mode).orc(path)
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from granary.operators.sizing import scanned_bytes
 from granary.operators.skew import PIECE, copy_rows, heavy_keys, salt_rows
+from granary.session import profile_session
 
 
 def save_table(df: DataFrame, name: str, mode: str = "error", path: str | None = None) -> None:
@@ -77,10 +78,16 @@ def save_bucketed_pair(left: DataFrame, right: DataFrame, names: tuple[str, str]
 
 
 def bucketed_join(spark: SparkSession, left: str, right: str, key: str, how: str = "inner") -> DataFrame:
-    """Sort-merge join of two tables saved as a bucketed pair, without a shuffle; the key appears once."""
+    """Sort-merge join of two tables saved as a bucketed pair, without a shuffle; the key appears once.
+
+    The tables may differ in their number of buckets if the greater is up to four times the lesser and a multiple of it: several
+    buckets are then read by one task. Settings for that are those of a sibling session.
+    """
     if how not in ("inner", "left_outer"):
         raise ValueError("a bucketed pair serves inner and left outer joins")
-    one, other = spark.read.table(left), spark.read.table(right)
+    session = profile_session(spark, {"spark.sql.bucketing.coalesceBucketsInJoin.enabled": True,
+                                      "spark.sql.bucketing.coalesceBucketsInJoin.maxBucketRatio": 4})
+    one, other = session.read.table(left), session.read.table(right)
     salted = {PIECE in one.columns, PIECE in other.columns}
     if len(salted) == 2:
         raise ValueError("the tables were not saved as a pair")

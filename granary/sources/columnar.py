@@ -16,6 +16,18 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_footers(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet files whose counts, minima and maxima come from their footers, without a look at the values.
+
+    Serves ``count``, ``min`` and ``max`` over whole files, by partition column if grouped, without filters on other columns; anything
+    else is computed as usual. Minima and maxima of numbers, dates and truth values are in the footers, those of text are not used. The
+    read is planned in a sibling session.
+    """
+    session = profile_session(spark, {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text",
+                                      "spark.sql.parquet.aggregatePushdown": True})
+    return session.read.parquet(path)
+
+
 def read_partitioned(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
     """Parquet files in partition directories, with the partition values as the text that stands in the path, or as ``schema`` says.
 
