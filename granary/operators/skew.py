@@ -36,7 +36,7 @@ def _key_hash(keys: Sequence[str]) -> Column:
 
 
 def key_sketch(df: DataFrame, key: str | Sequence[str], pieces: int) -> DataFrame:
-    """One row: the number of rows and the hashes of the most frequent keys with their estimated rows.
+    """One row, or none for an empty frame: the number of rows and the hashes of the most frequent keys with their estimated rows.
 
     Each task counts in a sketch of frequent items, and sketches are merged in two steps, so what travels is their fixed size for
     each task, however many keys there are. A sketch that tracks m items is wrong by at most 2.7 / m of all rows; with 16 items for
@@ -46,7 +46,7 @@ def key_sketch(df: DataFrame, key: str | Sequence[str], pieces: int) -> DataFram
     hashed = df.select(_key_hash(as_list(key)).alias("_hash"))
     places = hashed.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_MERGERS)).alias("_place")).agg(
         F.count(F.lit(1)).alias(_ROWS), F.expr(f"approx_top_k_accumulate(_hash, {tracked})").alias("_sketch"))
-    merged = places.agg(F.sum(_ROWS).alias(_ROWS), F.expr(f"approx_top_k_combine(_sketch, {tracked})").alias("_sketch"))
+    merged = places.groupBy(F.lit(0).alias("_all")).agg(F.sum(_ROWS).alias(_ROWS), F.expr(f"approx_top_k_combine(_sketch, {tracked})").alias("_sketch"))
     return merged.select(_ROWS, F.expr(f"approx_top_k_estimate(_sketch, {min(2 * max(pieces, 2), tracked)})").alias("_items"))
 
 
@@ -59,8 +59,8 @@ def heavy_keys(df: DataFrame, key: str | Sequence[str], pieces: int) -> DataFram
     """
     keys = as_list(key)
     sketch = key_sketch(df, keys, pieces).head()
-    total = sketch[_ROWS] or 0
-    hashes = [item["item"] for item in sketch["_items"] or [] if item["count"] * pieces > total]
+    total = sketch[_ROWS] if sketch else 0
+    hashes = [item["item"] for item in (sketch["_items"] if sketch else []) if item["count"] * pieces > total]
     scaled = F.col(_ROWS) * F.lit(pieces)
     chosen = df.where(_key_hash(keys).isin(hashes)) if hashes else df.limit(0)
     found = key_rows(chosen, keys).where(scaled > total).select(*keys, F.ceil(scaled / max(total, 1)).cast("int").alias(PIECES))

@@ -47,9 +47,8 @@ def read_listed(spark: SparkSession, root: str, schema: str | StructType | None
     State a ``schema`` where partition values are not to be guessed.
     """
     paths = [unquote(row["path"]) for row in listed_files(spark, root).collect()]
-    if not paths:
-        raise FileNotFoundError(f"no files of a table at {root}")
-    return _read(spark, root, paths, schema)
+    # a table that has lost all rows has no files either
+    return _read(spark, root, paths, schema) if paths else _read(spark, root, [root], schema).limit(0)
 
 
 def delete_from_files(spark: SparkSession, root: str, ids: DataFrame, key: str, by: str | Sequence[str] = (),

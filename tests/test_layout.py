@@ -4,8 +4,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from granary.operators.layout import cluster, curve_bits, file_bytes, file_stats, optimize_files, point_lookup, with_curve_key
+from granary.operators.layout import cluster, compact_partitions, curve_bits, file_bytes, file_stats, optimize_files, point_lookup, with_curve_key
 from granary.plans.inspect import plan_text
+from granary.sinks.files import write_with_blooms
 from granary.sources.columnar import read_partitioned
 from tests.fixtures import rows
 
@@ -176,3 +177,87 @@ def test_point_lookup_prunes(spark, orders, by_status):
     text = plan_text(found, "formatted")
     assert "PartitionFilters: [isnotnull(o_orderstatus" in text
     assert "PushedFilters: [IsNotNull(o_custkey), EqualTo(o_custkey,77)]" in text
+
+
+def stats(path):
+    """Name, size, time and inode of every file, to tell whether it was written anew."""
+    return {name: (os.stat(name).st_size, os.stat(name).st_mtime_ns, os.stat(name).st_ino)
+            for name in glob.glob(f"{path}/**/*.parquet", recursive=True)}
+
+
+@pytest.fixture
+def located(spark, tmp_path):
+    """A catalog table of small files with partition values that are hard to write down."""
+    name, path = f"located_{os.path.basename(tmp_path).replace('-', '_')}", str(tmp_path / "table")
+    df = spark.range(2_000).select("id", F.expr("id % 7").alias("v"),
+                                   F.expr("element_at(array('001', '1', null, \"it's a b/ü\\\\\", '2020-01-01'), cast(id % 5 + 1 as int))").alias("d"))
+    df.repartition(6).write.partitionBy("d").option("path", path).saveAsTable(name)
+    yield name, path, rows(df.select("id", "v", "d"))
+    spark.sql(f"DROP TABLE {name}")
+
+
+@pytest.mark.parametrize("where", ["d = '001'", "d is null", "d like 'it%'", "d in ('1', '2020-01-01')"])
+def test_compaction_leaves_other_partitions_alone(spark, located, tmp_path, where):
+    name, path, expected = located
+    before, target = stats(path), str(tmp_path / "new")
+    chosen = spark.table(name).where(where)
+    old, asked = set(chosen.inputFiles()), len(set(chosen.select("d").distinct().collect()))
+    kept = set(spark.table(name).inputFiles()) - old
+    assert compact_partitions(spark, name, target, where) == asked
+    # not a file of the old table is gone or changed, and all new ones are of the partitions asked for
+    assert stats(path) == before
+    now = spark.table(name).where(where).inputFiles()
+    assert len(now) < len(old) and all("/new/" in file for file in now)
+    assert set(spark.table(name).inputFiles()) - set(now) == kept
+    assert len(stats(target)) == len(now)
+    assert rows(spark.table(name).select("id", "v", "d")) == expected
+
+
+def test_compaction_reads_the_chosen_partitions_only(spark, located, tmp_path):
+    """Files of another partition are no parquet files any more, which a read of them would notice."""
+    name, path, expected = located
+    for file in glob.glob(f"{path}/d=1/*.parquet"):
+        with open(file, "wb") as out:
+            out.write(b"not parquet")
+    assert compact_partitions(spark, name, str(tmp_path / "new"), "d = '001'", cluster_by="id") == 1
+    found = rows(spark.table(name).where("d = '001'").select("id", "v", "d"))
+    assert found == [row for row in expected if row[2] == "001"]
+
+
+def test_compaction_of_partitions_refuses_and_repeats(spark, located, tmp_path):
+    name, path, expected = located
+    with pytest.raises(ValueError):
+        compact_partitions(spark, name, str(tmp_path / "x"), "v = 3")
+    assert compact_partitions(spark, name, str(tmp_path / "none"), "d = 'absent'") == 0
+    assert compact_partitions(spark, name, str(tmp_path / "all"), target_bytes=4_000) == 5
+    assert compact_partitions(spark, name, str(tmp_path / "again"), "d is null") == 1
+    assert rows(spark.table(name).select("id", "v", "d")) == expected
+    spark.range(3).write.saveAsTable("unpartitioned_located")
+    with pytest.raises(ValueError):
+        compact_partitions(spark, "unpartitioned_located", str(tmp_path / "y"))
+    spark.sql("DROP TABLE unpartitioned_located")
+
+
+def scanned(df):
+    """Rows and files that the scans of a finished query read."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    metrics = [leaves.apply(i).metrics() for i in range(leaves.size())]
+    return [sum(m.apply(name).value() for m in metrics if m.contains(name)) for name in ("numOutputRows", "numFiles")]
+
+
+def test_bloom_filters_skip_row_groups(spark, tmp_path):
+    ids = spark.range(0, 40_000, 2).select(F.xxhash64("id").alias("key"), "id")
+    write_with_blooms(ids.repartition(8), str(tmp_path / "blooms"), {"key": 5_000})
+    ids.repartition(8).write.option("parquet.enable.dictionary", "false").parquet(str(tmp_path / "plain"))
+    low, high = ids.agg(F.min("key"), F.max("key")).head()
+    present = [row.key for row in ids.limit(5).collect()]
+    for key in (present[0], present[3]):
+        found = point_lookup(spark, str(tmp_path / "blooms"), {"key": key})
+        assert scanned(found)[0] <= 3 * 2_500 and found.count() == 1
+    absent = [key for key in range(low // 2, low // 2 + 5)]
+    for key in absent:
+        assert low < key < high
+        assert scanned(point_lookup(spark, str(tmp_path / "blooms"), {"key": key}))[0] == 0
+        assert scanned(point_lookup(spark, str(tmp_path / "plain"), {"key": key}))[0] == 20_000
+    assert rows(spark.read.parquet(str(tmp_path / "blooms"))) == rows(ids)

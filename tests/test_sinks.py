@@ -12,6 +12,7 @@ from granary.session import drop_scratch, scratch_path
 from granary.sinks.extracts import TARGET, multi_extract, multi_extract_by_size, select_extracts
 from granary.sinks.files import run_fully, write_csv, write_few_files, write_json, write_orc, write_parquet, write_partitioned
 from granary.sinks.keyed import append_files, keyed_append, keyed_delete, new_rows
+from granary.sinks.listed import LISTS, delete_from_files, listed_files, read_listed
 from granary.sinks.tables import bucket_count, drop_versions, publish_version, save_bucketed, save_partitioned_table, save_table
 from granary.sources.delimited import read_csv
 from tests.fixtures import STAFF, STAFF_SCHEMA, rows
@@ -265,3 +266,56 @@ def test_multi_extract_without_matches(spark, cities, tmp_path):
     assert multi_extract_by_size(cities, "country", ["Chad"], str(tmp_path / "x")) == {}
     multi_extract(cities, "country", ["Chad"], str(tmp_path / "y"))
     assert not [d for d in os.listdir(tmp_path / "y") if "=" in d]
+
+
+def listed_state(path):
+    return {name: (os.stat(name).st_size, os.stat(name).st_mtime_ns, os.stat(name).st_ino) for name in files(path, "part-*.parquet") if LISTS not in name}
+
+
+def test_delete_by_file_keeps_the_other_files(spark, tmp_path):
+    path = str(tmp_path / "plain table")
+    df = spark.range(10_000).select("id", (F.col("id") % 9).alias("v"))
+    df.repartitionByRange(10, "id").write.parquet(path)
+    before = listed_state(path)
+    ids = spark.createDataFrame([(5,), (7,), (7,), (9_999,), (123_456,), (None,)], "id long")
+    # the first and the last file hold the keys
+    assert delete_from_files(spark, path, ids, "id") == 2
+    after = listed_state(path)
+    assert {name: after[name] for name in before} == before and len(after) > len(before)
+    left = df.where("id not in (5, 7, 9999)")
+    assert rows(read_listed(spark, path)) == rows(left)
+    live = {row.path.rpartition("/")[2] for row in listed_files(spark, path).collect()}
+    assert len(live & {os.path.basename(name) for name in before}) == 8
+    # the next delete starts from the list, and unknown keys make none
+    assert delete_from_files(spark, path, spark.range(123_456, 123_460), "id") == 0
+    assert delete_from_files(spark, path, spark.range(4_000, 4_010), "id") in (1, 2)
+    assert rows(read_listed(spark, path)) == rows(left.where("id not between 4000 and 4009"))
+
+
+def test_delete_by_file_in_partitions(spark, tmp_path):
+    path, schema = str(tmp_path / "parts"), "id bigint, d string"
+    df = spark.range(900).select("id", F.expr("element_at(array('001', 'a b/ü', null), cast(id % 3 + 1 as int))").alias("d"))
+    write_partitioned(df, path, "d")
+    before = listed_state(path)
+    gone = spark.createDataFrame([(i,) for i in (0, 3, 6)], "id long")
+    assert delete_from_files(spark, path, gone, "id", by="d", schema=schema) == 1
+    fresh = set(listed_state(path)) - set(before)
+    assert fresh and all("/d=001/" in name for name in fresh)
+    assert rows(read_listed(spark, path, schema)) == rows(df.where("id not in (0, 3, 6)"))
+    # every row of a partition, then every row
+    assert delete_from_files(spark, path, spark.range(1, 900, 3), "id", by="d", schema=schema) == 1
+    assert rows(read_listed(spark, path, schema)) == rows(df.where("id % 3 <> 1 and id not in (0, 3, 6)"))
+    delete_from_files(spark, path, spark.range(900), "id", by="d", schema=schema)
+    assert read_listed(spark, path, schema).count() == 0
+
+
+def test_an_unfinished_delete_is_not_seen(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).repartition(4).write.parquet(path)
+    delete_from_files(spark, path, spark.range(3), "id")
+    # rows were written but no list names them; a list without its mark of success does not count
+    spark.range(50).write.mode("append").parquet(path)
+    os.makedirs(f"{path}/{LISTS}/0000000009")
+    assert rows(read_listed(spark, path)) == rows(spark.range(3, 100))
+    assert delete_from_files(spark, path, spark.range(3, 5), "id") > 0
+    assert rows(read_listed(spark, path)) == rows(spark.range(5, 100))

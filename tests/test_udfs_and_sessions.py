@@ -1,7 +1,9 @@
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from granary.functions.udfs import batch_udf, bonus, random_salt_udf, register_batch_udf, shared_lookup_udf
+from granary.functions.text import explode_variant, parse_variant, variant_field, variant_shape
+from granary.functions.udfs import batch_udf, bonus, random_salt_udf, register_batch_udf, register_sql_function, shared_lookup_udf
 from granary.operators.joins import unique_entries
 from granary.operators.skew import spread
 from granary.operators.views import sql_over, view_session
@@ -124,3 +126,25 @@ def test_lookup_entries_listed_twice_raise(spark):
     with pytest.raises(Exception, match="duplicate lookup key"):
         unique_entries(table, "k").collect()
     assert dict(unique_entries(table.where("v <> 'b'"), "k").collect()) == {1: "a", 2: "c"}
+
+
+def test_sql_function_belongs_to_its_session(spark):
+    one, other = spark.newSession(), spark.newSession()
+    register_sql_function(one, "doubled", "x INT, y INT DEFAULT 2", "INT", "x * y")
+    assert one.sql("SELECT doubled(21), doubled(21, 3), doubled(null)").collect() == [(42, 63, None)]
+    with pytest.raises(AnalysisException):
+        other.sql("SELECT doubled(21)").collect()
+    register_sql_function(one, "doubled", "x INT", "INT", "x + x + 1")
+    assert one.sql("SELECT doubled(21)").head()[0] == 43
+
+
+def test_variants_of_any_shape(spark):
+    given = [(1, '{"a": 1, "b": {"c": [1, "x"]}}'), (2, '[1, null, "t"]'), (3, '"text"'), (4, "broken {"), (5, None), (6, "{}"), (7, "[]"), (8, "3.5")]
+    df = spark.createDataFrame(given, "id int, p string").select("id", parse_variant("p").alias("v"))
+    found = {row.id: tuple(row)[1:] for row in df.select("id", variant_shape("v"), variant_field("v", "$.a", "int"),
+                                                          variant_field("v", "$.b.c[1]", "string"), variant_field("v", "$[2]", "string")).collect()}
+    assert {i: row[0] for i, row in found.items()} == {1: "OBJECT", 2: "ARRAY", 3: "STRING", 4: None, 5: None, 6: "OBJECT", 7: "ARRAY", 8: "DECIMAL"}
+    assert found[1][1:] == (1, "x", None) and found[2][1:] == (None, None, "t") and found[3][1:] == (None, None, None)
+    fields = explode_variant(df, "v").select("id", "pos", "key", variant_field("value", "$", "string")).collect()
+    assert sorted((r[0], r[1], r[2]) for r in fields) == [(1, 0, "a"), (1, 1, "b"), (2, 0, None), (2, 1, None), (2, 2, None)]
+    assert [r[3] for r in sorted(fields, key=lambda r: (r[0], r[1]))[2:]] == ["1", None, "t"]
