@@ -8,12 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from granary.operators.sizing import scanned_bytes
+
 PIECE = "_piece"
 PIECES = "_pieces"
 _ROWS = "_rows"
 # The most items a sketch may track, and the tasks that merge sketches before the last one does.
 MOST_TRACKED = 1_000_000
 SKETCH_MERGERS = 64
+# What a task reads by default, and how many tracked items one task may merge.
+TASK_BYTES = 128 * 1024 * 1024
+MERGED_AT_ONCE = 4_000_000
 
 
 def as_list(names: str | Sequence[str]) -> list[str]:
@@ -38,15 +43,18 @@ def _key_hash(keys: Sequence[str]) -> Column:
 def key_sketch(df: DataFrame, key: str | Sequence[str], pieces: int) -> DataFrame:
     """One row, or none for an empty frame: the number of rows and the hashes of the most frequent keys with their estimated rows.
 
-    Each task counts in a sketch of frequent items, and sketches are merged in two steps, so what travels is their fixed size for
-    each task, however many keys there are. A sketch that tracks m items is wrong by at most 2.7 / m of all rows; with 16 items for
+    Each task counts in a sketch of frequent items, so what travels is their fixed size for each task, however many keys there are.
+    The sketches of many tasks are merged in two steps. A sketch that tracks m items is wrong by at most 2.7 / m of all rows; with 16 items for
     each piece no key of more than ``1/pieces`` of the rows is missed.
     """
     tracked = min(16 * max(pieces, 2), MOST_TRACKED)
     hashed = df.select(_key_hash(as_list(key)).alias("_hash"))
-    places = hashed.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_MERGERS)).alias("_place")).agg(
+    tasks = scanned_bytes(df) / TASK_BYTES
+    place = F.lit(0) if tasks * tracked <= MERGED_AT_ONCE else F.pmod(F.spark_partition_id(), F.lit(SKETCH_MERGERS))
+    places = hashed.groupBy(place.alias("_place")).agg(
         F.count(F.lit(1)).alias(_ROWS), F.expr(f"approx_top_k_accumulate(_hash, {tracked})").alias("_sketch"))
-    merged = places.groupBy(F.lit(0).alias("_all")).agg(F.sum(_ROWS).alias(_ROWS), F.expr(f"approx_top_k_combine(_sketch, {tracked})").alias("_sketch"))
+    merged = places if tasks * tracked <= MERGED_AT_ONCE else places.groupBy(F.lit(0).alias("_all")).agg(
+        F.sum(_ROWS).alias(_ROWS), F.expr(f"approx_top_k_combine(_sketch, {tracked})").alias("_sketch"))
     return merged.select(_ROWS, F.expr(f"approx_top_k_estimate(_sketch, {min(2 * max(pieces, 2), tracked)})").alias("_items"))
 
 

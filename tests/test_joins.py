@@ -319,13 +319,17 @@ def test_unpaired_tables_are_refused(spark, hot, side, names):
         bucketed_join(spark, names[0], names[2], "k")
 
 
-def test_heavy_keys_come_from_a_sketch(spark):
+@pytest.mark.parametrize("at_once, steps", [(4_000_000, 1), (0, 2)])
+def test_heavy_keys_come_from_a_sketch(spark, monkeypatch, at_once, steps):
     """What is shuffled is a sketch for each task, never the keys."""
-    sketch = key_sketch(spark.range(1_000).selectExpr("if(id % 3 = 0, 7, id) as k"), "k", 16)
+    monkeypatch.setattr("granary.operators.skew.MERGED_AT_ONCE", at_once)
+    df = spark.range(1_000).selectExpr("if(id % 3 = 0, 7, id) as k")
+    sketch = key_sketch(df, "k", 16)
     text = plan_text(sketch)
     assert "hashpartitioning(k" not in text and "hashpartitioning(_hash" not in text
-    assert count_nodes(sketch, "Exchange") == 2 and "partial_approx_top_k_accumulate" in text
-    assert sketch.count() == 1
+    assert count_nodes(sketch, "Exchange") == steps and "partial_approx_top_k_accumulate" in text
+    assert sketch.count() == 1 and rows(heavy_keys(df, "k", 16)) == [(7, 6)]
+    assert key_sketch(df.limit(0), "k", 16).count() == 0 and heavy_keys(df.limit(0), "k", 16).isEmpty()
 
 
 @pytest.mark.parametrize("pieces", [2, 7, 64, 300])
