@@ -8,14 +8,14 @@ from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm.common import others
 
 MADE = ("doc_tokens", "start", "length", "ids", "bucket", "sequence_id", "offset")
-CACHED_CHUNKS = 1_000_000
+CACHED_CHUNKS = 400_000
 DOCS_AT_ONCE = 128
 WORDS_AT_ONCE = 50
 MARKS = ".,"
@@ -146,20 +146,23 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, longest: int =
         raise ValueError("longest must be a power of two")
     end = end_id.to_bytes(4, "little")
 
-    @F.pandas_udf("array<binary>")
-    def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<binary>")
+    def pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = encoder(tokenizer).encode
         for batch in batches:
-            out = []
+            # only so many texts and ids are Python objects at a time
+            parts = [pa.array([], pa.list_(pa.binary()))]
             for at in range(0, len(batch), DOCS_AT_ONCE):
-                for ids in encode([value or "" for value in batch.iloc[at:at + DOCS_AT_ONCE]]):
+                out = []
+                for ids in encode([value or "" for value in batch.slice(at, DOCS_AT_ONCE).to_pylist()]):
                     ids += end
                     cuts, start = [], 0
                     for length in binary_lengths(len(ids) // 4, longest):
                         cuts.append(ids[start:start + 4 * length])
                         start += 4 * length
                     out.append(cuts)
-            yield pd.Series(out, dtype=object)
+                parts.append(pa.array(out, pa.list_(pa.binary())))
+            yield pa.concat_arrays(parts)
 
     kept = others(docs, (text, *MADE))
     # marked as not deterministic, or the optimizer runs it once for each use of its result
