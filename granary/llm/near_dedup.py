@@ -20,6 +20,7 @@ WORDS = 5
 SIMILARITY = 0.8
 FEW = 8
 NODES_PER_BLOCK = 1000
+BYTES_PER_BLOCK = 16 * 1024 * 1024
 
 
 def _row_key(doc_id: str, text: str):
@@ -75,18 +76,22 @@ def _many(found: Shingles, one: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
 def _settled(rest: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
     """All links between nodes of one bucket but of different components: node, leader.
 
-    ``rest`` holds bucket, node and root. In each bucket the component with most nodes is not compared with itself; all other nodes
+    ``rest`` holds bucket, node, root and the bytes of the node's text. In each bucket the component with most nodes is not compared with itself; all other nodes
     are, with everything. Both are cut into blocks of bounded size, and each pair of blocks is one group of rows with their texts,
-    compared inside its task: what leaves it are links alone.
+    compared inside its task: what leaves it are links alone, at most one less than the components it holds.
     """
-    sizes = rest.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("rows"))
-    sizes = sizes.groupBy("bucket").agg(F.max_by("root", "rows").alias("main"), F.max("rows").alias("largest"), F.sum("rows").alias("all"))
-
-    def blocks(rows: str) -> Column:
-        return F.ceil(F.expr(rows) / NODES_PER_BLOCK).cast("int")
-
-    placed = rest.join(sizes, "bucket").select("bucket", "node", "root", (F.col("root") != F.col("main")).alias("apart"),
-                                               blocks("largest").alias("mains"), blocks("all - largest").alias("others"))
+    sizes = rest.groupBy("bucket", "root").agg(F.struct(F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("bytes")).alias("size"))
+    sizes = sizes.groupBy("bucket").agg(F.max_by("root", "size").alias("main"), F.max("size").alias("largest"),
+                                        F.sum("size.rows").alias("rows"), F.sum("size.bytes").alias("bytes"))
+    # stored, or the join would take over the aggregate's partitions, and those of a large bucket could not be cut
+    sizes = stored(sizes, "bucket-sizes")
+
+    def blocks(rows: str, size: str) -> Column:
+        return F.ceil(F.greatest(F.expr(rows) / NODES_PER_BLOCK, F.expr(size) / BYTES_PER_BLOCK)).cast("int")
+
+    placed = rest.drop("bytes").join(sizes, "bucket").select(
+        "bucket", "node", "root", (F.col("root") != F.col("main")).alias("apart"), blocks("largest.rows", "largest.bytes").alias("mains"),
+        blocks("rows - largest.rows", "bytes - largest.bytes").alias("others"))
     own = F.pmod(F.xxhash64("node"), F.when(F.col("apart"), F.col("others")).otherwise(F.col("mains"))).cast("int")
     placed = placed.withColumn("own", own)
     main = placed.where("NOT apart").withColumn("other", F.explode(F.expr("sequence(0, others - 1)"))).select(
@@ -97,13 +102,19 @@ def _settled(rest: DataFrame, texts: DataFrame, words: int, similarity: float) -
         "bucket", F.lit(False).alias("with_main"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "root", "apart")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        nodes, roots = group["node"].to_numpy(), group["root"].to_numpy()
+        nodes, component = group["node"].to_numpy(), group["root"].to_numpy().copy()
         parts = [shingles(part, words) for part in portions(group["text"].tolist())]
         every = [part.of(i) for part in parts for i in range(len(part.contents))]
         links = []
         for i in np.flatnonzero(group["apart"].to_numpy()):
-            similar = np.concatenate([_many(part, every[i]) for part in parts])
-            links += [(nodes[i], nodes[j]) for j in np.flatnonzero((similar >= similarity) & (roots != roots[i]))]
+            if (component == component[i]).all():
+                continue
+            similar = np.concatenate([_many(part, every[i]) for part in parts]) >= similarity
+            # one link joins two components, further ones say nothing new
+            for j in np.flatnonzero(similar & (component != component[i])):
+                if component[j] != component[i]:
+                    links.append((nodes[i], nodes[j]))
+                    component[component == component[j]] = component[i]
         return pd.DataFrame(links, columns=["node", "leader"], dtype="int64")
 
     groups = main.unionAll(beside).unionAll(among).join(texts, "node")
@@ -116,19 +127,21 @@ def _linked_nodes(buckets: DataFrame, texts: DataFrame, words: int, similarity:
     First one node of each bucket leads it, the one that meets most others: one aggregate, whatever the bucket's size. A bucket whose
     nodes are then in one component is settled. In the others all pairs of different components are compared.
     """
-    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    sizes = stored(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "bucket-sizes")
     met = buckets.join(sizes, "bucket").groupBy("node").agg(F.sum("n").alias("met"))
+    met = met.join(texts.select("node", F.octet_length("text").alias("bytes")), "node")
     # the sum leads, a hash settles ties: a single number, which an aggregate by hash can hold
     turn = F.shiftleft(F.col("met"), 20) + F.pmod(F.xxhash64("node"), F.lit(1 << 20))
-    ranked = stored(buckets.join(met, "node").select("bucket", "node", turn.alias("turn")).join(sizes, "bucket"), "ranked")
-    first = ranked.groupBy("bucket").agg(F.max_by("node", "turn").alias("leader"))
+    ranked = stored(buckets.join(met, "node").select("bucket", "node", turn.alias("turn"), "bytes").join(sizes, "bucket"), "ranked")
+    first = stored(ranked.groupBy("bucket").agg(F.max_by("node", "turn").alias("leader")), "leaders")
     pairs = ranked.join(first, "bucket").where("node <> leader").select("node", "leader").distinct()
     links = stored(checked(pairs, texts, words, similarity), "checked").where("linked").select("node", "leader")
     roots = connected_components(links.select(F.col("node").alias("a"), F.col("leader").alias("b")))
     named = ranked.drop("turn").join(roots, "node", "left_outer").withColumn("root", F.coalesce("root", "node"))
     several = named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     # a bucket of two has been compared
-    rest = stored(named.where("n > 2").join(several.select("bucket"), "bucket"), "unsettled")
+    several = stored(several.select("bucket"), "unsettled-buckets")
+    rest = stored(named.where("n > 2").join(several, "bucket"), "unsettled")
     if rest.isEmpty():
         return roots
     few = rest.where(F.col("n") <= FEW)
@@ -163,7 +176,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     single = worded.groupBy("node").agg(F.first("bands").alias("bands"))
     buckets = single.select("node", F.posexplode("bands").alias("band", "value")).select(
         "node", F.xxhash64("band", "value").alias("bucket"))
-    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    sizes = stored(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "shared-buckets")
     buckets = stored(buckets.join(sizes, "bucket"), "buckets")
     nodes = worded.groupBy("node").agg(F.min("key").alias("key")).join(buckets.select("node").distinct(), "node")
     texts = stored(keyed.select("key", "text").join(nodes, "key").groupBy("node").agg(F.min("text").alias("text")), "texts")

@@ -126,3 +126,24 @@ def test_query_equals_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     found = {r.doc_id: r.class_id for r in QUERIES["op6_minhash_near_dedup"](spark, sf).collect()}
     assert found == brute.near_classes(rows)
+
+
+def test_links_of_a_bucket_are_a_forest(spark):
+    """Nodes that are all similar, each a component of its own: links grow with the nodes, not with their pairs."""
+    from granary.llm.near_dedup import _settled
+
+    common = " ".join(f"word{i}" for i in range(200))
+    texts = spark.createDataFrame([(i, f"{common} end{i}") for i in range(300)], "node long, text string")
+    rest = spark.range(300).selectExpr("1L as bucket", "id as node", "id as root", "1700 as bytes")
+    links = [tuple(row) for row in _settled(rest, texts, 5, 0.8).collect()]
+    assert len(links) <= 2 * 299
+    root = list(range(300))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in links:
+        root[find(a)] = find(b)
+    assert len({find(i) for i in range(300)}) == 1

@@ -85,3 +85,20 @@ def test_documents_stay_when_no_language_is_known(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     found = corpus_pipeline.identify_language(spark, docs, "").collect()
     assert sorted((r.doc_id, r.text, r.lang) for r in found) == [(1, "the house", "und"), (4, "la maison", "und")]
+
+
+def test_columns_of_the_caller_stay(spark):
+    """Columns named like those that operators make or use inside."""
+    words = [f"word{i} of a text about hills and houses and fields with number {i} in it" for i in range(12)]
+    rows = [(i, f"{text}\nA line that all of the texts hold", "en", "src", 0, 7.5, 99, ["s"], "k", i, True, 1, "z", "o")
+            for i, text in enumerate(words)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score double, n_lines int, "
+                                       "spans array<string>, key string, _row_key long, _gone boolean, lang_pred int, _line_id string, others string")
+    expected = {row[0]: row[5:] for row in rows}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        made = stage(spark, docs, "")
+        assert made.schema.names == docs.schema.names and [f.dataType for f in made.schema] == [f.dataType for f in docs.schema], name
+        found = made.collect()
+        assert {row.doc_id: tuple(row[5:]) for row in found} == expected, name
+        docs = spark.createDataFrame(found, docs.schema)
+    assert corpus_pipeline.pack(spark, docs, "").where("others.score = 7.5 AND others.others = 'o'").count() >= len(rows)
