@@ -20,14 +20,16 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 # A word with white space, a quote or a bracket before it and an end of word behind it.
 WORD = r"(?<![^\s(\"'“„«])%s(?=[\s,;:!?)\"'”»]|\.(?:\s|$)|$)"
-ANY_WORD = WORD % r"\p{L}{2,}"
+# At least two letters or digits, with single hyphens, apostrophes and underscores inside.
+ANY_WORD = WORD % r"(?=[\p{L}\p{N}]['’_-]?+[\p{L}\p{N}])[\p{L}\p{N}]++(?:['’_-][\p{L}\p{N}]++)*+"
+# What the patterns above can match, checked or not, from the first character at which they can begin; shorter numbers are words.
+COVERED = (r"(?<![A-Za-z0-9._%+-])" + EMAIL, r"(?<![0-9])" + IP, r"(?<![0-9])[0-9](?:[\x20-]?[0-9]){12,}+", PHONE)
 
-WINDOW_WORDS = 5
-WINDOW_CHARS = 160
 MIN_TEXTS = 3
 GENERALISE_AT = 0.8
 REMOVE_AT = 0.95
 FILTER_WORDS = 8192
+CHUNK = 256
 SPAN = "array<struct<kind: string, start: bigint, end: bigint, value: string>>"
 MADE = ("n_email", "n_ip", "n_card", "n_phone", "base_spans", "spans")
 
@@ -38,7 +40,6 @@ def _matches(text: Column, pattern: Column, kind: str) -> Column:
     The text between the matches gives the positions; text and matches are each found once.
     """
     pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("match"))
-    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(SPAN).alias("found"))
 
     def step(so_far: Column, pair: Column) -> Column:
         start = so_far["at"] + F.char_length(pair["gap"])
@@ -47,7 +48,17 @@ def _matches(text: Column, pattern: Column, kind: str) -> Column:
         longer = F.struct(end.alias("at"), F.concat(so_far["found"], F.array(span)).alias("found"))
         return F.when(pair["match"].isNull(), so_far).otherwise(longer)
 
-    return F.aggregate(pairs, begin, step, lambda so_far: so_far["found"])
+    def moved(so_far: Column, chunk: Column) -> Column:
+        spans = F.transform(chunk["found"], lambda s: F.struct(
+            s["kind"].alias("kind"), (s["start"] + so_far["at"]).alias("start"), (s["end"] + so_far["at"]).alias("end"), s["value"].alias("value")))
+        return F.struct((so_far["at"] + chunk["at"]).alias("at"), F.concat(so_far["found"], F.array(spans)).alias("found"))
+
+    # appending to an array copies it, so spans are gathered chunk by chunk, with places counted from the chunk's begin
+    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(SPAN).alias("found"))
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / CHUNK).cast("int")),
+                         lambda i: F.aggregate(F.slice(pairs, i * CHUNK + 1, CHUNK), begin, step))
+    none = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{SPAN}>").alias("found"))
+    return F.aggregate(chunks, none, moved, lambda so_far: F.flatten(so_far["found"]))
 
 
 def _digits(value: Column) -> Column:
@@ -95,16 +106,16 @@ def _entity(span: Column) -> Column:
     return F.concat(span["kind"], F.lit(":"), plain)
 
 
-def _company(text: Column, span: Column) -> Column:
-    """The nearest words before and after a span, in lower case. Words that the window cuts are left out."""
-    first = F.greatest(span["start"] - WINDOW_CHARS, F.lit(0))
-    before = F.substring(text, (first + 1).cast("int"), (span["start"] - first).cast("int"))
-    after = F.substring(text, (span["end"] + 1).cast("int"), F.lit(WINDOW_CHARS))
-    before = F.when(first > 0, F.regexp_replace(before, r"^\S+", "")).otherwise(before)
-    after = F.when(F.char_length(after) == WINDOW_CHARS, F.regexp_replace(after, r"\S+$", "")).otherwise(after)
-    left = F.regexp_extract_all(F.lower(before), F.lit(ANY_WORD), F.lit(0))
-    right = F.regexp_extract_all(F.lower(after), F.lit(ANY_WORD), F.lit(0))
-    return F.concat(F.slice(F.reverse(left), 1, WINDOW_WORDS), F.slice(right, 1, WINDOW_WORDS))
+def _entities(text: Column) -> Column:
+    """The different entities of a text, in one spelling each."""
+    return F.array_sort(F.array_distinct(F.transform(base_spans(text), _entity)))
+
+
+def _words(text: Column) -> Column:
+    """The different words of a text in lower case, without what the patterns of protected entities cover."""
+    covered = F.regexp_replace(text, "|".join(f"(?:{pattern})" for pattern in COVERED), "@")
+    bare = F.when(F.rlike(text, F.lit("[0-9@]")), covered).otherwise(text)
+    return F.array_distinct(F.regexp_extract_all(F.lower(bare), F.lit(ANY_WORD), F.lit(0)))
 
 
 def _fixed_size_filter(terms: DataFrame) -> np.ndarray:
@@ -120,39 +131,59 @@ def _fixed_size_filter(terms: DataFrame) -> np.ndarray:
 def _words_among(texts: DataFrame, terms: DataFrame) -> DataFrame:
     """The different words of each text that may be among ``terms``; one row for each."""
     bits = F.lit(_fixed_size_filter(terms))
-    words = texts.select(*texts.columns, F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(ANY_WORD), F.lit(0)))).alias("term"))
+    words = texts.select(*texts.columns, F.explode(_words(F.col("text"))).alias("term"))
     place = F.pmod(F.xxhash64("term"), F.lit(64 * FILTER_WORDS))
     here = F.get(bits, F.shiftright(place, 6).cast("int"))
     return words.where(F.getbit(here, F.pmod(F.xxhash64("term"), F.lit(64)).cast("int")) == 1)
 
 
 def revealing_terms(texts: DataFrame, min_texts: int = MIN_TEXTS, generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT) -> DataFrame:
-    """Words that give a protected entity away: term, disclosure and action (generalise or remove).
+    """Words that give a protected entity away: term, disclosure and action (the kind of span that replaces them).
+
+    The entities are the base spans. A word and an entity meet in every document that holds both, however far apart. With ``P(e)``
+    the share of all documents with the entity and ``P(e|t)`` the share of those with word ``t`` that hold ``e``, the disclosure is
+    the part of the entity's information that the word supplies: ``1 - log P(e|t) / log P(e)``. A pair counts if it is seen in at
+    least ``min_texts`` different texts, so copies of one text prove nothing. Counts cover all rows. The action is ``remove`` or, from
+    ``generalise_at`` on, the kind of the entity that the word reveals most of (the first by name among equals), as ``email_term``.
 
-    The entities are the base spans. A word keeps company with an entity if it is among the nearest words around it. With
-    ``P(e)`` the share of all documents with the entity and ``P(e|t)`` the share of those with word ``t`` in which it keeps company
-    with ``e``, the disclosure is the part of the entity's information that the word supplies: ``1 - log P(e|t) / log P(e)``. A pair
-    counts if it is seen in at least ``min_texts`` different texts, so copies of one text prove nothing. Counts cover all rows.
+    A word in more than ``P(e) ** (generalise_at - 1)`` times as many documents as its entity cannot reach ``generalise_at``: such
+    pairs are left out before they are counted, which loses none.
     """
-    whole = texts.select("text", *[part.alias(name) for part, name in zip(hash128(F.col("text")), ("h1", "h2"))])
-    spans = whole.where(F.rlike("text", F.lit("[0-9@+]"))).withColumn("span", F.explode(base_spans(F.col("text"))))
-    seen = spans.select("h1", "h2", _entity(F.col("span")).alias("entity"), _company(F.col("text"), F.col("span")).alias("company"))
-    # the rows of a text are counted once for each text, entity and word: an entity may stand in it several times
-    copies = whole.where(F.rlike("text", F.lit("[0-9@+]"))).groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("rows"))
-    met = seen.withColumn("term", F.explode("company")).groupBy("h1", "h2", "entity", "term").agg(F.lit(1).alias("one"))
-    pairs = met.join(copies, ["h1", "h2"]).groupBy("entity", "term").agg(F.sum("rows").alias("both"), F.count(F.lit(1)).alias("texts"))
-    pairs = stored(pairs.where(F.col("texts") >= min_texts), "company")
-    asked = pairs.select("entity").distinct()
-    holders = seen.select("h1", "h2", "entity").distinct().join(asked, "entity").join(copies, ["h1", "h2"])
-    entities = holders.groupBy("entity").agg(F.sum("rows").alias("holding"))
-    frequency = _words_among(texts.select("text"), pairs.select("term").distinct()).groupBy("term").agg(F.count(F.lit(1)).alias("rows"))
-    total = F.lit(texts.count())
-    share = -F.log2(F.col("both") / F.col("rows"))
-    whole_share = -F.log2(F.col("holding") / total)
-    rated = pairs.join(entities, "entity").join(frequency, "term").withColumn(
-        "disclosure", F.when(whole_share > 0, 1 - share / whole_share).otherwise(0.0))
-    best = rated.groupBy("term").agg(F.max("disclosure").alias("disclosure")).where(F.col("disclosure") >= generalise_at)
-    return stored(best.withColumn("action", F.when(F.col("disclosure") >= remove_at, "remove").otherwise("generalise")), "terms")
+    h1, h2 = hash128(F.col("text"))
+    whole = texts.select("text", h1.alias("h1"), h2.alias("h2"))
+    likely = whole.where(F.rlike("text", F.lit("[0-9@+]")))
+    total = texts.count()
+    # the copies of a text are one row with their number
+    holders = likely.select("h1", "h2", _entities(F.col("text")).alias("entities")).where(F.size("entities") > 0)
+    holders = stored(holders.groupBy("h1", "h2", "entities").agg(F.count(F.lit(1)).alias("rows")), "holders")
+    held = holders.select("h1", "h2", "rows", F.explode("entities").alias("entity"))
+    entities = held.groupBy("entity").agg(F.sum("rows").alias("holding"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= min_texts)
+    # rounded up a little, as the exact rating follows
+    limit = F.col("holding") * F.pow(F.lit(float(total)) / F.col("holding"), F.lit(1.0 - generalise_at)) * 1.000001
+    entities = stored(entities.select("entity", "holding", limit.alias("limit")), "entities")
+    # the entities of one text, so bounded by its length
+    asked = held.join(entities, "entity").groupBy("h1", "h2").agg(
+        F.first("rows").alias("rows"), F.max("limit").alias("limit"), F.collect_list(F.struct("entity", "holding", "limit")).alias("entities"))
+    asked = stored(asked, "asked")
+
+    frequency = whole.select(F.explode(_words(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("in_rows"))
+    words = likely.join(asked.select("h1", "h2"), ["h1", "h2"]).select("h1", "h2", F.explode(_words(F.col("text"))).alias("term")).distinct()
+    words = stored(words, "words")
+    frequency = stored(frequency.where(F.col("in_rows") >= min_texts).join(words.select("term").distinct(), "term", "left_semi"), "frequency")
+    met = words.join(frequency, "term").join(asked, ["h1", "h2"]).where(F.col("in_rows") <= F.col("limit"))
+    met = met.select("term", "in_rows", "rows", F.explode("entities").alias("e")).where(F.col("in_rows") <= F.col("e.limit"))
+    pairs = met.groupBy(F.col("e.entity").alias("entity"), "term", F.col("e.holding").alias("holding"), "in_rows").agg(
+        F.sum("rows").alias("both"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= min_texts)
+    share = -F.log2(F.col("both") / F.col("in_rows"))
+    whole_share = -F.log2(F.col("holding") / F.lit(total))
+    rated = pairs.withColumn("disclosure", F.when(whole_share > 0, 1 - share / whole_share).otherwise(0.0)).where(F.col("disclosure") >= generalise_at)
+    kind = F.substring_index("entity", ":", 1)
+    # the greatest disclosure, then the least kind
+    best = rated.groupBy("term", kind.alias("kind")).agg(F.max("disclosure").alias("disclosure")).groupBy("term").agg(
+        F.min(F.struct((-F.col("disclosure")).alias("less"), "kind")).alias("best"))
+    best = best.select("term", (-F.col("best.less")).alias("disclosure"), F.col("best.kind").alias("kind"))
+    action = F.when(F.col("disclosure") >= remove_at, "remove").otherwise(F.concat("kind", F.lit("_term")))
+    return stored(best.select("term", "disclosure", action.alias("action")), "terms")
 
 
 def _count_of(spans: str, kind: str) -> Column:
@@ -184,11 +215,12 @@ def sanitise(docs: DataFrame, text: str = "text", min_texts: int = MIN_TEXTS, ge
     """Find personal data in every text and replace it.
 
     Adds ``base_spans`` (kind, start, end, value of emails, addresses, cards and phones), ``spans`` (these, then the words that give
-    an entity away, as kind ``generalise`` or ``remove``), and a count for each base kind. In ``text`` a base span becomes its kind in
-    brackets, a revealing word becomes ``[GENERALISE]`` or nothing. Revealing words are replaced wherever they stand, also where the
+    an entity away, as kind ``remove`` or ``email_term``, ``ip_term``, ``card_term``, ``phone_term``), and a count for each base kind. In
+    ``text`` a base span becomes its kind in brackets; a revealing word becomes the broader ``[EMAIL_TERM]``, which says what kind of entity it
+    reveals, or nothing. Revealing words are replaced wherever they stand, also where the
     entity is not named, but not inside a base span; letter case does not matter.
 
-    Positions are code points, ends exclusive. A null text counts as empty and becomes empty. Repeated rows are treated alike, all
+    Positions are code points, ends exclusive. Texts are read whole, however long they are. A null text counts as empty and becomes empty. Repeated rows are treated alike, all
     rows stay, an empty table gives an empty result, and a column named like an added one gives way.
     """
     texts = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
@@ -196,7 +228,7 @@ def sanitise(docs: DataFrame, text: str = "text", min_texts: int = MIN_TEXTS, ge
     h1, h2 = hash128(F.col("text"))
     hit = _words_among(texts.select("text", h1.alias("h1"), h2.alias("h2")), terms.select("term"))
     hit = hit.select("h1", "h2", "term").distinct().join(terms, "term").groupBy("h1", "h2").agg(
-        *[F.array_join(F.sort_array(F.collect_list(F.when(F.col("action") == action, F.col("term")))), "|").alias(f"_{action}") for action in ("generalise", "remove")])
+        F.sort_array(F.collect_list(F.struct("term", "action"))).alias("_revealing"))
 
     # a table of its own, so that the copies of one text can be cut in the join
     hit = stored(hit, "hits")
@@ -207,12 +239,13 @@ def sanitise(docs: DataFrame, text: str = "text", min_texts: int = MIN_TEXTS, ge
     joined = rows.join(hit, (rows["_h1"] == hit["h1"]) & (rows["_h2"] == hit["h2"]), "left_outer")
     found = joined.withColumn("base_spans", base_spans(F.col("_plain")))
 
-    def named(kind: str) -> Column:
-        words = F.concat(F.lit("(?iu)"), F.lit(WORD.split("%s")[0]), F.lit("(?:"), F.col(f"_{kind}"), F.lit(")"), F.lit(WORD.split("%s")[1]))
-        spans = _clear_of(_matches(F.col("_plain"), words, kind), F.col("base_spans"))
-        return F.when(F.coalesce(F.col(f"_{kind}"), F.lit("")) != "", spans).otherwise(F.array().cast(SPAN))
-
-    found = found.withColumn("spans", F.concat("base_spans", named("generalise"), named("remove")))
+    before, behind = WORD.split("%s")
+    words = F.concat(F.lit(f"(?iu){before}(?:"), F.array_join(F.col("_revealing.term"), "|"), F.lit(f"){behind}"))
+    actions = F.map_from_entries("_revealing")
+    # a spelling that only the pattern takes for the word is removed
+    named = F.transform(_clear_of(_matches(F.col("_plain"), words, "remove"), F.col("base_spans")), lambda s: F.struct(
+        F.coalesce(F.try_element_at(actions, F.lower(s["value"])), F.lit("remove")).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
+    found = found.withColumn("spans", F.concat("base_spans", F.when(F.col("_revealing").isNotNull(), named).otherwise(F.array().cast(SPAN))))
     counts = [_count_of("base_spans", kind).alias(f"n_{kind}") for kind in KINDS]
     return found.select(*others(docs, (text, *MADE)), _redacted(F.col("_plain"), F.col("spans")).alias(text), *counts, "base_spans", "spans")
 
