@@ -166,10 +166,12 @@ def revealing_terms(texts: DataFrame, min_texts: int = MIN_TEXTS, generalise_at:
         F.first("rows").alias("rows"), F.max("limit").alias("limit"), F.collect_list(F.struct("entity", "holding", "limit")).alias("entities"))
     asked = stored(asked, "asked")
 
-    frequency = whole.select(F.explode(_words(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("in_rows"))
     words = likely.join(asked.select("h1", "h2"), ["h1", "h2"]).select("h1", "h2", F.explode(_words(F.col("text"))).alias("term")).distinct()
     words = stored(words, "words")
-    frequency = stored(frequency.where(F.col("in_rows") >= min_texts).join(words.select("term").distinct(), "term", "left_semi"), "frequency")
+    # a pair needs so many texts, so its word does; only what is left is counted in the whole corpus
+    candidates = stored(words.groupBy("term").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= min_texts).select("term"), "candidates")
+    frequency = _words_among(texts.select("text"), candidates).groupBy("term").agg(F.count(F.lit(1)).alias("in_rows"))
+    frequency = stored(frequency.join(candidates, "term"), "frequency")
     met = words.join(frequency, "term").join(asked, ["h1", "h2"]).where(F.col("in_rows") <= F.col("limit"))
     met = met.select("term", "in_rows", "rows", F.explode("entities").alias("e")).where(F.col("in_rows") <= F.col("e.limit"))
     pairs = met.groupBy(F.col("e.entity").alias("entity"), "term", F.col("e.holding").alias("holding"), "in_rows").agg(
