@@ -238,7 +238,8 @@ def sanitise(docs: DataFrame, text: str = "text", min_texts: int = MIN_TEXTS, ge
     rows = docs.select(*others(docs, (text, *MADE)), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_plain"))
     h1, h2 = hash128(F.col("_plain"))
     rows = rows.withColumns({"_h1": h1, "_h2": h2})
-    joined = rows.join(hit, (rows["_h1"] == hit["h1"]) & (rows["_h2"] == hit["h2"]), "left_outer")
+    # the hits grow with the corpus, so they are never broadcast: the plan is the same at every size
+    joined = rows.join(hit.hint("merge"), (rows["_h1"] == hit["h1"]) & (rows["_h2"] == hit["h2"]), "left_outer")
     found = joined.withColumn("base_spans", base_spans(F.col("_plain")))
 
     before, behind = WORD.split("%s")
