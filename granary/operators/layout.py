@@ -11,10 +11,13 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from granary.operators.sizing import measured_bytes
 from granary.operators.skew import as_list
 from granary.session import profile_session
 from granary.sources.columnar import TEXT_PARTITIONS, read_partitioned
 
+TASK_BYTES = 128 * 1024 * 1024
+
 
 def file_stats(df: DataFrame, column: str, by: str | Sequence[str] = ()) -> DataFrame:
     """Minimum, maximum and rows of ``column`` per file (and per partition column in ``by``) of a plain file read."""
@@ -117,10 +120,21 @@ def cluster(df: DataFrame, columns: str | Sequence[str], files: int, bits: int |
     return ranged.sortWithinPartitions(*leading, "_curve").drop("_curve")
 
 
+def _aimed_files(rows: DataFrame, packed_bytes: int, target_bytes: int, task_bytes: int) -> int:
+    """How many files ``rows`` need, so that none has more than about ``target_bytes`` and none more than ``task_bytes`` of unpacked rows.
+
+    One task reads, sorts and writes all rows of a file, and packed bytes say little of how many these are.
+    """
+    return max(1, math.ceil(packed_bytes / target_bytes), math.ceil(measured_bytes(rows) / task_bytes))
+
+
 def optimize_files(spark: SparkSession, path: str, destination: str, partition_by: str | Sequence[str] = (), where: str | None = None,
-                   target_bytes: int = 256 * 1024 * 1024, cluster_by: str | Sequence[str] = ()) -> int:
+                   target_bytes: int = 256 * 1024 * 1024, cluster_by: str | Sequence[str] = (), task_bytes: int = TASK_BYTES) -> int:
     """Write a parquet table anew at ``destination``, in files of about ``target_bytes``, clustered by ``cluster_by`` if given.
 
+    Files are smaller where their rows unpack to more than ``task_bytes``, which one task would have to take and sort; a larger
+    ``task_bytes`` gives larger files for more memory. A sort takes two to four times these bytes for narrow rows.
+
     The new table is complete: ``where`` selects the partitions that get new files, all others are copied row by row as they are
     read. The old table stays, so readers and a lost driver are no danger; switch to the new one when the call returns, for example
     by a view. Partition values are read as the text that stands in the path, so ``001`` stays ``001``. Returns the number of files
@@ -132,8 +146,8 @@ def optimize_files(spark: SparkSession, path: str, destination: str, partition_b
     if where is not None and not (by and _uses_only(spark, table, where, by)):
         raise ValueError(f"where may only use the partition columns {by}: {where}")
     chosen = F.coalesce(F.expr(where), F.lit(False)) if where else F.lit(True)
-    files = max(1, math.ceil(file_bytes(spark, path, where) / target_bytes))
     placed = table.where(chosen).withColumn("_place", F.xxhash64("_metadata.file_path", "_metadata.row_index"))
+    files = _aimed_files(placed, file_bytes(spark, path, where), target_bytes, task_bytes)
     names = as_list(cluster_by)
     if names:
         placed = cluster(placed, names, files, within=by, spread_by=["_place"])

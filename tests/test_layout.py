@@ -164,6 +164,20 @@ def test_heavy_value_is_cut_into_several_files(spark, tmp_path):
         assert rows(df) == rows(spark.read.parquet(plain))
 
 
+def test_well_packed_rows_are_cut_by_what_a_task_takes(spark, tmp_path):
+    """400 MB of rows that pack to a few: a task that writes a file takes the rows, not the packed bytes."""
+    plain = str(tmp_path / "plain")
+    spark.range(4000).selectExpr("id", "id % 50 as k", "repeat('x', 100000) as v").repartition(8).write.parquet(plain)
+    assert file_bytes(spark, plain) < 100 * 1024 * 1024
+    for columns in (["id"], ["id", "k"]):
+        target = str(tmp_path / f"clustered-{len(columns)}")
+        assert optimize_files(spark, plain, target, cluster_by=columns) == 3
+        found = file_stats(spark.read.parquet(target), "id").collect()
+        assert len(found) == 3 and max(row["rows"] for row in found) < 2000 and sum(row["rows"] for row in found) == 4000
+        assert spark.read.parquet(target).where("length(v) = 100000").select("id").distinct().count() == 4000
+    assert optimize_files(spark, plain, str(tmp_path / "large"), cluster_by="id", task_bytes=2**30) == 1
+
+
 def test_empty_table(spark, orders, tmp_path):
     plain, clustered = str(tmp_path / "plain"), str(tmp_path / "clustered")
     orders.limit(0).write.parquet(plain)
