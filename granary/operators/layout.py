@@ -160,9 +160,11 @@ def optimize_files(spark: SparkSession, path: str, destination: str, partition_b
 
 
 def compact_partitions(spark: SparkSession, table: str, destination: str, where: str | None = None, target_bytes: int = 256 * 1024 * 1024,
-                       cluster_by: str | Sequence[str] = ()) -> int:
+                       cluster_by: str | Sequence[str] = (), task_bytes: int = TASK_BYTES) -> int:
     """Give the partitions of a catalog table that ``where`` selects new files, of about ``target_bytes``, below ``destination``.
 
+    As in ``optimize_files``, files are smaller where their rows unpack to more than ``task_bytes``.
+
     Each partition of the catalog has a location of its own. Only the selected ones are read; their rows are written to new
     directories, clustered by ``cluster_by`` if given, and then the catalog is told, partition by partition, where they are now. All other
     partitions are neither read nor written and keep their files. A reader sees a partition before or after its switch, and the old
@@ -175,8 +177,9 @@ def compact_partitions(spark: SparkSession, table: str, destination: str, where:
         raise ValueError(f"where may only use the partition columns {by}: {where}")
     chosen = rows.where(where) if where else rows
     files = chosen.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")).distinct()
-    aimed = max(1, math.ceil(files.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).head()["bytes"] / target_bytes))
+    packed = files.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).head()["bytes"]
     placed = chosen.withColumn("_place", F.xxhash64("_metadata.file_path", "_metadata.row_index"))
+    aimed = _aimed_files(placed, packed, target_bytes, task_bytes)
     names = as_list(cluster_by)
     placed = cluster(placed, names, aimed, within=by, spread_by=["_place"]) if names else placed.repartitionByRange(aimed, *by, "_place")
     placed.drop("_place").write.partitionBy(*by).parquet(destination)
