@@ -121,7 +121,7 @@ def cluster(df: DataFrame, columns: str | Sequence[str], files: int, bits: int |
 
 
 def _aimed_files(rows: DataFrame, packed_bytes: int, target_bytes: int, task_bytes: int) -> int:
-    """How many files ``rows`` need, so that none has more than about ``target_bytes`` and none more than ``task_bytes`` of unpacked rows.
+    """How many files ``rows`` need, so that each has at most about ``target_bytes``, and about ``task_bytes`` of unpacked rows.
 
     One task reads, sorts and writes all rows of a file, and packed bytes say little of how many these are.
     """
