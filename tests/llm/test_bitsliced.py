@@ -3,6 +3,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
+from granary.llm import bitsliced
 from granary.llm.bitsliced import SlicedBlock, exact_top_k
 from granary.llm.queries import ORACLES, QUERIES
 from tests.oracle import connect, oracle_rows, spark_rows
@@ -53,6 +54,57 @@ def test_repeated_rows_count_each(spark):
     assert found == sorted(2 * [(20, 1, 1, 4096), (20, 2, 1, 4096), (20, 3, 2, 2048)])
 
 
+def exchanged_bytes(df):
+    """Bytes of the rows that went through the exchanges of a frame that has run."""
+    def walk(node):
+        kind, total = node.getClass().getSimpleName(), 0
+        if kind == "ShuffleExchangeExec":
+            total += node.metrics().apply("dataSize").value()
+        inner = [node.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [node.plan()] if kind.endswith("QueryStageExec") else []
+        children = node.children()
+        return total + sum(map(walk, inner + [children.apply(i) for i in range(children.size())]))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_index_is_not_repeated_for_each_block_of_queries(spark):
+    draw = np.random.default_rng(8)
+    rows = [(i, draw.normal(0, 0.1, 16).tolist()) for i in range(2000)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(2)
+    found = exact_top_k(docs, F.col("vec_id") % 2 == 0, k=3, queries_per_block=4)
+    assert sorted(map(tuple, found.collect())) == brute(rows, lambda i: i % 2 == 0, 3)
+    # 250 blocks of queries times 2,000 rows of 16 numbers were 34 MB
+    assert 100_000 < exchanged_bytes(found) < 8_000_000
+
+
+def test_block_is_restored_from_its_parts():
+    draw = np.random.default_rng(3)
+    for rows in (1, 64, 1000):
+        values = draw.integers(-50, 51, (rows, 12))
+        values[:, 3] = 7
+        block = SlicedBlock(draw.permutation(rows * 2)[:rows].astype(np.int64), values.astype(np.int32))
+        again = SlicedBlock.restored(*block.parts())
+        for query in values[:3]:
+            for own, other in zip(block.top(query, 1, 9), again.top(query, 1, 9)):
+                assert (own == other).all()
+
+
+def test_long_vectors_get_small_blocks_and_lanes(spark, monkeypatch):
+    monkeypatch.setattr(bitsliced, "NUMBERS", 160)
+    draw = np.random.default_rng(4)
+    rows = [(i, draw.normal(0, 0.2, 5).tolist()) for i in range(200)] + [(i, draw.normal(0, 0.2, 2).tolist()) for i in range(300, 330)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    found = exact_top_k(docs, F.col("vec_id") % 10 == 0, k=4)
+    assert sorted(map(tuple, found.collect())) == brute(rows, lambda i: i % 10 == 0, 4)
+
+
+def test_a_row_repeated_more_often_than_a_block_holds(spark):
+    rows = [(20, [1.0, 0.5])] + 30 * [(7, [1.0, 0.0])] + [(8, [2.0, 0.0])]
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    found = exact_top_k(docs, F.col("vec_id") % 20 == 0, k=25, rows_per_block=4)
+    assert sorted(map(tuple, found.collect())) == [(20, 1, 8, 8192)] + [(20, rank, 7, 4096) for rank in range(2, 26)]
+
+
 def test_query_equals_oracle(spark, data):
     names, rows = spark_rows(QUERIES["op7_bit_sliced_top_k"](spark, data))
     assert (names, rows) == oracle_rows(connect(data), ORACLES["op7_bit_sliced_top_k"])
