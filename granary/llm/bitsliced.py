@@ -57,6 +57,8 @@ class SlicedBlock:
         self.bits = bits.tolist()
         self.first = np.concatenate([[0], np.cumsum(self.bits)]).astype(int)
         self.every = self._packed(np.ones(self.rows, dtype=np.uint8))
+        # the complements stand behind the slices
+        self.turned = np.concatenate([slices, ~slices])
 
     def parts(self) -> tuple[bytes, bytes, bytes, bytes]:
         """What makes up the index: ids in their order, least values, bits of each component and the slices."""
@@ -71,37 +73,38 @@ class SlicedBlock:
 
     def scores(self, query: np.ndarray) -> tuple[list[np.ndarray], int]:
         """Slices of the inner product with ``query``, least significant first, and a constant to be added."""
+        size, less, bits = np.abs(query), query < 0, np.array(self.bits, dtype=np.int64)
+        constant = int((query * self.low).sum()) - int((size[less] * ((1 << bits[less]) - 1)).sum())
+        start = self.first[:-1] + less * len(self.slices)
         planes: dict[int, list[np.ndarray]] = {}
-        constant = int((query * self.low).sum())
-        picked: dict[int, list[int]] = {}
-        turned: dict[int, list[int]] = {}
-        for d, weight in enumerate(query.tolist()):
-            size, wanted = abs(weight), picked if weight >= 0 else turned
-            if weight < 0:
-                constant -= size * ((1 << self.bits[d]) - 1)
-            for t in range(size.bit_length()):
-                if size >> t & 1:
-                    for b in range(self.bits[d]):
-                        wanted.setdefault(t + b, []).append(self.first[d] + b)
-        for level in picked.keys() | turned.keys():
-            planes[level] = [self.slices[picked.get(level, [])], ~self.slices[turned.get(level, [])]]
-        result, level = [], 0
-        while planes:
-            rows = np.concatenate(planes.pop(level)) if level in planes else np.zeros((0, len(self.every)), dtype=np.uint64)
+        for t in range(int(size.max()).bit_length()):
+            weighted = size >> t & 1 == 1
+            for b in range(max(self.bits)):
+                if len(wanted := start[weighted & (bits > b)]):
+                    planes.setdefault(t + b, []).append(wanted + b)
+        own = [np.concatenate(planes[level]) if level in planes else np.zeros(0, dtype=np.int64) for level in range(max(planes, default=-1) + 1)]
+        result, rows = [], np.take(self.turned, own[0] if own else [], axis=0)
+        while len(result) < len(own) or len(rows):
+            above = own[len(result) + 1] if len(result) + 1 < len(own) else own[0][:0]
+            following, made = np.empty((len(rows) // 2 + len(above), len(self.every)), dtype=np.uint64), 0
+            spare = np.empty((len(rows) // 3, len(self.every)), dtype=np.uint64)
             while len(rows) > 1:
-                # full adders on three slices at a time; what is left over waits for the next turn
+                # full adders on three slices at a time, in place; what is left over waits for the next turn
                 thirds = len(rows) // 3 or 1
-                a, b = rows[:thirds], rows[thirds:2 * thirds]
-                c = rows[2 * thirds:3 * thirds]
-                either = a ^ b
+                a, b, c = rows[:thirds], rows[thirds:2 * thirds], rows[2 * thirds:3 * thirds]
+                carry = np.bitwise_and(a, b, out=following[made:made + thirds])
                 if len(c):
-                    carry, total = (a & b) | (c & either), either ^ c
+                    either = np.bitwise_xor(a, b, out=spare[:thirds])
+                    carry |= np.bitwise_and(either, c, out=a)
+                    c ^= either
+                    rows = rows[2 * thirds:]
                 else:
-                    carry, total = a & b, either
-                planes.setdefault(level + 1, []).append(carry)
-                rows = np.concatenate([total, rows[3 * thirds:]]) if len(rows) > 3 * thirds else total
-            result.append(rows[0] if len(rows) else np.zeros(len(self.every), dtype=np.uint64))
-            level += 1
+                    b ^= a
+                    rows = rows[thirds:]
+                made += thirds
+            result.append(rows[0].copy() if len(rows) else np.zeros(len(self.every), dtype=np.uint64))
+            np.take(self.turned, above, axis=0, out=following[made:made + len(above)], mode="clip")
+            rows = following[:made + len(above)]
         return result, constant
 
     def top(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -185,7 +188,7 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int =
 
         for batch in batches:
             block = vectors_of(batch.column("v"), width)
-            if len(block) and max(block.max(), -block.min()) >= LARGEST:
+            if len(block) and (block.max() >= LARGEST or block.min() <= -LARGEST):
                 raise ValueError("a component is too large for exact 64-bit scores")
             ids.append(batch.column("vec_id").to_numpy())
             values.append(block.astype(np.int32))
